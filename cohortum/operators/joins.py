@@ -36,14 +36,17 @@ def join_per_key(
     many: DataFrame,
     key: str,
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Join ``one`` (a row per key) with ``many`` (any number of rows per key).
 
     ``how`` is ``"inner"``, or ``"left"`` to keep the rows of ``one`` that have no match. Rows of
     frequent keys stay where they are and meet the few matching rows of ``one`` by broadcast; all
-    others are shuffled as usual. Both parts together are exactly the plain join.
+    others are shuffled as usual. Both parts together are exactly the plain join, which
+    ``hot_rows=None`` asks for where the keys are known to be even.
     """
+    if hot_rows is None:
+        return one.join(many, key, how)
     hot = F.broadcast(hot_keys(many, key, hot_rows))
     usual = one.join(hot, key, "left_anti").join(many.join(hot, key, "left_anti"), key, how)
     frequent = F.broadcast(one.join(hot, key, "left_semi")).join(

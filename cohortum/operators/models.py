@@ -80,7 +80,7 @@ def fit_risk(
 
 
 def risk_scores(
-    model: PipelineModel, engagement: DataFrame, info: DataFrame, hot_rows: int = HOT_ROWS
+    model: PipelineModel, engagement: DataFrame, info: DataFrame, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Class and risk for every enrolment of an active student.
 

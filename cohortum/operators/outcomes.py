@@ -17,7 +17,7 @@ def outcome_rows(
     info: DataFrame,
     outcome: str = "final_result",
     positive: Iterable[str] = fixed.AT_RISK_OUTCOMES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One row per enrolment of an active student: features and label.
 

@@ -142,7 +142,7 @@ def good_history(
     grades: DataFrame | None,
     limits: GoodHistory = fixed.GOOD_HISTORY,
     ordered: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Every row of students with low risk, a good predicted grade and enough active days.
 

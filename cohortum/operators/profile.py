@@ -22,11 +22,13 @@ from cohortum.operators.students import risk_or_default
 def first_score(risk: DataFrame) -> DataFrame:
     """One row per student: the score with the highest risk.
 
-    The maximum of a struct is summed up in the map tasks, so a student with very many scores is
-    never sorted or gathered in one place.
+    The maximum is found in the map tasks first, so a student with very many scores is never
+    sorted or gathered in one place.
     """
-    best = F.max(F.struct("risk_probability", "prediction")).alias("_best")
-    return risk.groupBy("id_student").agg(best).select("id_student", "_best.*")
+    return risk.groupBy("id_student").agg(
+        F.max("risk_probability").alias("risk_probability"),
+        F.max_by("prediction", "risk_probability").alias("prediction"),
+    )
 
 
 def first_grade(grades: DataFrame) -> DataFrame:
@@ -50,44 +52,36 @@ def first_grade(grades: DataFrame) -> DataFrame:
     )
 
 
-def student_profiles(
-    requests: DataFrame,
-    engagement: DataFrame,
-    risk: DataFrame | None,
-    grades: DataFrame | None,
-    search: str = "search",
+def known_students(
+    engagement: DataFrame, risk: DataFrame | None, grades: DataFrame | None
 ) -> DataFrame:
-    """One row per request in the text column ``search``; blank requests give none.
+    """One row per student with activity: engagement, first score, first grade and its status.
 
-    ``lookup_status`` is ``found`` or ``no_such_student``. ``grade_status`` is ``graded``,
-    ``no_grade_for_student`` or ``grades_not_available``, and missing if the student is.
+    ``grade_status`` is ``graded``, ``no_grade_for_student`` or ``grades_not_available``.
     """
     tables = [engagement, risk_or_default(engagement, risk)]
     tables += [grades] if grades is not None else []
     tables = list(with_joinable_keys("id_student", *tables))
-    found = tables[0].join(first_score(tables[1]), "id_student", "left")
-    if grades is not None:
-        found = found.join(first_grade(tables[2]), "id_student", "left")
-        grade_status = F.when(F.col("_graded"), "graded").otherwise("no_grade_for_student")
-    else:
-        found = found.withColumns(
+    scored = tables[0].join(first_score(tables[1]), "id_student", "left")
+    if grades is None:
+        return scored.withColumns(
             {
                 "predicted_gpa": F.lit(None).cast("double"),
                 "predicted_gpa_raw": F.lit(None).cast("double"),
                 "gpa_bounds_note": F.lit(None).cast("string"),
+                "grade_status": F.lit("grades_not_available"),
             }
         )
-        grade_status = F.lit("grades_not_available")
-    found = found.withColumn("grade_status", grade_status)
-
-    text = harmonise_key(F.col(search))
-    whole = is_whole_number(found, "id_student")
-    asked = requests.where(text != "").select(
-        text.alias("searched"),
-        (text.try_cast(found.schema["id_student"].dataType) if whole else text).alias("id_student"),
+    status = F.when(F.col("_graded"), "graded").otherwise("no_grade_for_student")
+    return scored.join(first_grade(tables[2]), "id_student", "left").withColumn(
+        "grade_status", status
     )
-    known = F.col("total_interactions").isNotNull()
-    return asked.join(found, "id_student", "left").select(
+
+
+def _shown(students: DataFrame) -> DataFrame:
+    """What is shown of students that may be unknown, in which case ``grade_status`` is null."""
+    known = F.col("grade_status").isNotNull()
+    return students.select(
         "searched",
         F.when(known, "found").otherwise("no_such_student").alias("lookup_status"),
         "risk_probability",
@@ -105,6 +99,25 @@ def student_profiles(
     )
 
 
+def student_profiles(
+    requests: DataFrame,
+    engagement: DataFrame,
+    risk: DataFrame | None,
+    grades: DataFrame | None,
+    search: str = "search",
+) -> DataFrame:
+    """One row per request in the text column ``search``; blank requests give none.
+
+    ``lookup_status`` is ``found`` or ``no_such_student``.
+    """
+    students = known_students(engagement, risk, grades)
+    text = harmonise_key(F.col(search))
+    whole = is_whole_number(students, "id_student")
+    key = text.try_cast(students.schema["id_student"].dataType) if whole else text
+    asked = requests.where(text != "").select(text.alias("searched"), key.alias("id_student"))
+    return _shown(asked.join(students, "id_student", "left"))
+
+
 def student_lookup(
     search: str,
     engagement: DataFrame,
@@ -121,8 +134,11 @@ def student_lookup(
             return None
         return table.where(same_key(table, "id_student", F.lit(search)))
 
-    request = engagement.sparkSession.range(1).select(F.lit(search).alias("search"))
-    return student_profiles(request, only(engagement), only(risk), only(grades))
+    students = known_students(only(engagement), only(risk), only(grades))
+    # An aggregate without grouping gives a row even where nothing was found.
+    first = students.agg(F.first(F.struct(*students.columns)).alias("_first"))
+    searched = harmonise_key(F.lit(search)).alias("searched")
+    return _shown(first.where(harmonise_key(F.lit(search)) != "").select(searched, "_first.*"))
 
 
 def compared_with_average(

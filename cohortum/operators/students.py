@@ -21,7 +21,7 @@ def risk_or_default(engagement: DataFrame, risk: DataFrame | None) -> DataFrame:
 
 
 def student_rows(
-    engagement: DataFrame, risk: DataFrame | None, hot_rows: int = HOT_ROWS
+    engagement: DataFrame, risk: DataFrame | None, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Engagement with risk: a row per risk score, and one for a student that has none.
 

@@ -19,6 +19,7 @@ from cohortum.plans import jobs
 from cohortum.plans.roles import POSITIVE, Roles
 from cohortum.sources.tables import (
     Layout,
+    materialise,
     read_grades,
     read_risk,
     read_table,
@@ -149,7 +150,7 @@ def harmonised_keys(roles: Roles) -> DataFrame:
 
 @registered
 def outcome_labels(roles: Roles) -> DataFrame:
-    return outcome_rows(roles.engagement, roles.info, positive=POSITIVE)
+    return outcome_rows(roles.stored_engagement, roles.stored_info, positive=POSITIVE)
 
 
 @registered
@@ -196,9 +197,9 @@ def grade_bands(roles: Roles) -> DataFrame:
 
 def _risk_stats(roles: Roles, by: str, count_as: str | None, once: bool = False) -> DataFrame:
     stats = cohorts.cohort_stats(
-        roles.info,
+        roles.stored_info,
         by,
-        cohorts.risk_measures(roles.risk, roles.engagement),
+        cohorts.risk_measures(roles.risk, roles.stored_engagement),
         count_as,
         once_per_student=once,
     )
@@ -242,7 +243,7 @@ def education_gpa_stats(roles: Roles) -> DataFrame:
 
 @registered
 def student_main(roles: Roles) -> DataFrame:
-    return students.student_rows(roles.engagement, roles.risk)
+    return students.student_rows(roles.stored_engagement, roles.risk)
 
 
 @registered
@@ -258,53 +259,53 @@ def student_main_without_risk(roles: Roles) -> DataFrame:
 def good_history_without_grades(roles: Roles) -> DataFrame:
     layout = Layout(roles.folder, roles.folder)
     return overview.good_history_count(
-        roles.engagement, roles.risk, read_grades(roles.spark, layout, fixed.GRADE_TABLE)
+        roles.stored_engagement, roles.risk, read_grades(roles.spark, layout, fixed.GRADE_TABLE)
     )
 
 
 @registered
 def kpi_summary(roles: Roles) -> DataFrame:
-    figures = overview.key_figures(roles.engagement, roles.risk).drop("avg_engagement_rounded")
+    figures = overview.key_figures(roles.stored_engagement, roles.risk).drop("avg_engagement_rounded")
     return rounded(figures, 6, "avg_risk_percent", "avg_engagement")
 
 
 @registered
 def engagement_histogram(roles: Roles) -> DataFrame:
-    rows = students.with_copies(roles.engagement, roles.risk)
+    rows = students.with_copies(roles.stored_engagement, roles.risk)
     bins = overview.histogram(rows, "engagement_index", copies="copies")
     return rounded(bins, 6, "bin_start", "bin_end")
 
 
 @registered
 def high_risk_list(roles: Roles) -> DataFrame:
-    return overview.high_risk_list(roles.engagement, roles.risk)
+    return overview.high_risk_list(roles.stored_engagement, roles.risk)
 
 
 @registered
 def low_risk_list(roles: Roles) -> DataFrame:
-    return overview.low_risk_list(roles.engagement, roles.risk)
+    return overview.low_risk_list(roles.stored_engagement, roles.risk)
 
 
 @registered
 def good_history(roles: Roles) -> DataFrame:
-    return overview.good_history(roles.engagement, roles.risk, roles.grades, ordered=True)
+    return overview.good_history(roles.stored_engagement, roles.risk, roles.grades, ordered=True)
 
 
 @registered
 def good_history_excellent(roles: Roles) -> DataFrame:
     return overview.good_history(
-        roles.engagement, roles.risk, roles.grades, fixed.EXCELLENT_HISTORY
+        roles.stored_engagement, roles.risk, roles.grades, fixed.EXCELLENT_HISTORY
     )
 
 
 @registered
 def good_history_list(roles: Roles) -> DataFrame:
-    return overview.good_history_list(roles.engagement, roles.risk, roles.grades)
+    return overview.good_history_list(roles.stored_engagement, roles.risk, roles.grades)
 
 
 @registered
 def good_history_count(roles: Roles) -> DataFrame:
-    return overview.good_history_count(roles.engagement, roles.risk, roles.grades)
+    return overview.good_history_count(roles.stored_engagement, roles.risk, roles.grades)
 
 
 # Single students.
@@ -316,7 +317,7 @@ def _profiles(roles: Roles) -> DataFrame:
     requests = roles.table("customer").select(
         F.concat(F.lit(" 00"), key, F.lit(".0 ")).alias("search")
     )
-    return profile.student_profiles(requests, roles.engagement, roles.risk, roles.grades)
+    return profile.student_profiles(requests, roles.stored_engagement, roles.risk, roles.grades)
 
 
 @registered
@@ -324,16 +325,27 @@ def student_profiles(roles: Roles) -> DataFrame:
     return _profiles(roles).drop("engagement_shown")
 
 
+@registered
+def student_profiles_without_grades(roles: Roles) -> DataFrame:
+    """The grade table has not been written beside the test tables."""
+    layout = Layout(roles.folder, roles.folder)
+    absent = read_grades(roles.spark, layout, fixed.GRADE_TABLE)
+    requests = roles.table("customer").select(F.col("c_custkey").cast("string").alias("search"))
+    return profile.student_profiles(
+        requests, roles.stored_engagement, roles.risk, absent
+    ).drop("engagement_shown", "predicted_gpa", "predicted_gpa_raw", "gpa_bounds_note")
+
+
 @registered
 def student_lookup(roles: Roles) -> DataFrame:
-    found = profile.student_lookup(" 012.0 ", roles.engagement, roles.risk, roles.grades)
+    found = profile.student_lookup(" 012.0 ", roles.stored_engagement, roles.risk, roles.grades)
     return found.drop("engagement_shown")
 
 
 @registered
 def student_vs_average(roles: Roles) -> DataFrame:
     rows = profile.compared_with_average(
-        _profiles(roles), students.with_copies(roles.engagement, roles.risk), "copies"
+        _profiles(roles), students.with_copies(roles.stored_engagement, roles.risk), "copies"
     )
     return rounded(rows, 6, "average")
 
@@ -357,20 +369,20 @@ def split_sides(roles: Roles) -> DataFrame:
 @registered
 def outcome_auc(roles: Roles) -> DataFrame:
     """How well engagement alone ranks the outcomes: the evaluation step on an exact score."""
-    rows = outcome_rows(roles.engagement, roles.info, positive=POSITIVE)
+    rows = outcome_rows(roles.stored_engagement, roles.stored_info, positive=POSITIVE)
     area = models.area_under_roc(rows, "engagement_index", bins=0)
     return _one_row(roles, auc=area)
 
 
 @registered
 def risk_scores(roles: Roles) -> DataFrame:
-    fitted = models.fit_risk(outcome_rows(roles.engagement, roles.info, positive=POSITIVE))
-    return models.risk_scores(fitted.model, roles.engagement, roles.info)
+    fitted = models.fit_risk(outcome_rows(roles.stored_engagement, roles.stored_info, positive=POSITIVE))
+    return models.risk_scores(fitted.model, roles.stored_engagement, roles.stored_info)
 
 
 @registered
 def risk_auc(roles: Roles) -> DataFrame:
-    fitted = models.fit_risk(outcome_rows(roles.engagement, roles.info, positive=POSITIVE))
+    fitted = models.fit_risk(outcome_rows(roles.stored_engagement, roles.stored_info, positive=POSITIVE))
     return _one_row(roles, auc=fitted.quality)
 
 
@@ -382,7 +394,7 @@ def _grade_rows(roles: Roles) -> DataFrame:
 
 @registered
 def gpa_predictions(roles: Roles) -> DataFrame:
-    rows = _grade_rows(roles)
+    rows = materialise(_grade_rows(roles))
     predictions = models.grade_predictions(models.fit_grades(rows).model, rows)
     return rounded(predictions, 6, "predicted_gpa", "predicted_gpa_raw")
 
@@ -450,8 +462,8 @@ def _written(roles: Roles) -> Layout:
     root = shared_folder(roles.spark)
     layout = Layout(f"{root}/raw", f"{root}/processed")
     for name, frame in {
-        "studentInfo": roles.info,
-        fixed.ENGAGEMENT_TABLE: roles.engagement,
+        "studentInfo": roles.stored_info,
+        fixed.ENGAGEMENT_TABLE: roles.stored_engagement,
         fixed.RISK_TABLE: roles.risk,
         fixed.GRADE_TABLE: roles.grades,
     }.items():

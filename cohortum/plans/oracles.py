@@ -371,6 +371,14 @@ ORACLES: dict[str, str] = {
     ),
     "good_history_count": over(("good",), "SELECT COUNT(*) AS matching_rows FROM good"),
     "student_profiles": over(("profiles",), "SELECT * FROM profiles"),
+    "student_profiles_without_grades": over(
+        ("profiles",),
+        """SELECT * EXCLUDE (predicted_gpa, predicted_gpa_raw, gpa_bounds_note)
+                  REPLACE (CASE WHEN lookup_status = 'found' THEN 'no_prediction' END AS grade_band,
+                           CASE WHEN lookup_status = 'found' THEN 'grades_not_available' END
+                               AS grade_status)
+           FROM profiles""",
+    ),
     "student_lookup": over(("profiles",), "SELECT * FROM profiles WHERE searched = '12'"),
     "student_vs_average": over(("compared",), "SELECT * FROM compared"),
     "job_profile": over(("compared",), "SELECT * FROM compared WHERE searched = '12'"),

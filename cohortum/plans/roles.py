@@ -8,7 +8,7 @@ the share of a customer's orders with status F as risk, and the account balance
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,19 +19,28 @@ from cohortum.operators.cleaning import clean
 from cohortum.operators.engagement import engagement_features
 from cohortum.operators.grades import bounded_grades
 from cohortum.operators.joins import join_per_key
+from cohortum.sources.tables import materialise
 
 POSITIVE = ("F",)
 
 
 @dataclass(frozen=True)
 class Roles:
-    """Learner tables as lazy frames over the tables in ``folder``."""
+    """Learner tables over the tables in ``folder``.
+
+    ``engagement`` and ``info`` are lazy, for queries that read them once. The ``stored`` ones are
+    written first, as they are between jobs, so that queries that need them at several places do
+    not go back to the activity log for each.
+    """
 
     spark: SparkSession
     folder: str
+    _read: dict[str, DataFrame] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     @cached_property
     def activity(self) -> DataFrame:
@@ -93,19 +102,30 @@ class Roles:
     def engagement(self) -> DataFrame:
         return engagement_features(self.activity)
 
+    @cached_property
+    def stored_engagement(self) -> DataFrame:
+        return materialise(self.engagement)
+
+    @cached_property
+    def stored_info(self) -> DataFrame:
+        return materialise(self.info)
+
     @cached_property
     def risk(self) -> DataFrame:
-        """A surrogate score per enrolment of an active student."""
+        """A surrogate score per enrolment of an active student, stored."""
+        info = self.stored_info
         label = at_risk_label(F.col("final_result"), POSITIVE)
-        share = self.info.groupBy("id_student").agg(
+        share = info.groupBy("id_student").agg(
             F.avg(label).cast("float").alias("risk_probability")
         )
         per_student = (
-            self.engagement.select("id_student")
+            self.stored_engagement.select("id_student")
             .join(share, "id_student")
             .withColumn("prediction", (F.col("risk_probability") > 0.5).cast("double"))
         )
-        return join_per_key(per_student, self.info.select("id_student"), "id_student")
+        return materialise(
+            join_per_key(per_student, info.select("id_student"), "id_student")
+        )
 
     @cached_property
     def grades(self) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import cache
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,8 @@ from pyspark.sql import types as T
 from cohortum.functions.keys import coerced_number
 from cohortum.sources import schemas
 
-MISSING_PATH = "PATH_NOT_FOUND"
-NOT_A_TABLE = ("UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
+# How Spark says that a path is absent, holds no files, or holds other files.
+NO_TABLE = ("[PATH_NOT_FOUND]", "[UNABLE_TO_INFER_SCHEMA]", "is not a Parquet file")
 
 
 @dataclass(frozen=True)
@@ -105,20 +107,13 @@ def read_optional(
     """
     try:
         df = read_table(spark, layout, name)
-    except PySparkException as problem:
-        if _no_such_table(problem):
+    except (PySparkException, Py4JJavaError) as problem:
+        if any(sign in str(problem) for sign in NO_TABLE):
             return None
         raise
     return df if set(required) <= set(df.columns) else None
 
 
-def _no_such_table(problem: PySparkException) -> bool:
-    condition = problem.getCondition() or ""
-    if isinstance(problem, AnalysisException) and condition == MISSING_PATH:
-        return True
-    return condition.startswith(NOT_A_TABLE) or any(name in str(problem) for name in NOT_A_TABLE)
-
-
 def read_risk(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
     """Risk scores, or ``None`` if no model has been applied yet."""
     return read_optional(spark, layout, name, ["id_student"])
@@ -133,8 +128,14 @@ def read_grades(spark: SparkSession, layout: Layout, name: str) -> DataFrame | N
     return df.withColumns({c: coerced_number(F.col(c)) for c in numeric}) if numeric else df
 
 
+@cache
+def _folder_of_this_process() -> tempfile.TemporaryDirectory:
+    """A folder for local sessions, removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="cohortum-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables that the cluster names for checkpoints.
+    """A new folder under the one that the cluster names for checkpoints.
 
     Only a local session without that setting, as in tests, gets a temporary folder instead.
     """
@@ -142,7 +143,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="cohortum-")
+        root = _folder_of_this_process().name
     return f"{root.rstrip('/')}/{uuid4().hex}"
 
 
