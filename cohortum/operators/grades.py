@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortum import fixed_values as fixed
 from cohortum.functions.columns import bounds_note, clamp
-from cohortum.operators.joins import BROADCAST_ROWS, SALTS, join_dimension
+from cohortum.operators.joins import BROADCAST_ROWS, HOT_ROWS, join_per_key
 
 
 def weighted_grades(
@@ -18,7 +18,7 @@ def weighted_grades(
     score: str = "score",
     weight: str = "weight",
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Sum of score times weight / 100 over all submissions of a student, as ``current_gpa``.
 
@@ -26,16 +26,18 @@ def weighted_grades(
     The sum is not divided by the total weight, so it may pass 100.
 
     Weights are added up per assessment first, which leaves the sum as it is and makes that side
-    unique. If it is too large to broadcast, scores are also added up per student and assessment
-    before the join, so that repeated submissions shrink in the map tasks.
+    unique. Its rows are counted, and it is broadcast if they are few; then the only shuffle of
+    the submissions is that of their partial sums per student.
     """
     weights = assessments.groupBy(assessment).agg(F.sum(weight).alias("_weight"))
-    rows = assessments.count()
-    scores = submissions.select(student, assessment, F.col(score).alias("_score"))
-    if rows > broadcast_rows:
-        scores = scores.groupBy(student, assessment).agg(F.sum("_score").alias("_score"))
-    products = join_dimension(scores, weights, assessment, student, rows, broadcast_rows, salts)
-    return products.groupBy(F.col(student).alias("id_student")).agg(
+    scores = submissions.select(
+        F.col(student).alias("id_student"), assessment, F.col(score).alias("_score")
+    )
+    if assessments.count() <= broadcast_rows:
+        weighted = scores.join(F.broadcast(weights), assessment)
+    else:
+        weighted = join_per_key(weights, scores, assessment, hot_rows=hot_rows)
+    return weighted.groupBy("id_student").agg(
         F.sum(F.col("_score") * F.col("_weight") / 100).alias("current_gpa")
     )
 

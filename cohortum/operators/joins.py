@@ -14,12 +14,9 @@ from pyspark.sql import functions as F
 # be that frequent, which bounds what is broadcast: a million keys for 5e12 rows.
 HOT_ROWS = 5_000_000
 
-# Dimensions of up to this many rows (one key and one number each) are broadcast.
+# A table counted at no more than this many rows, of a key and a number each, is broadcast.
 BROADCAST_ROWS = 1_000_000
 
-# Tasks that share the rows of one dimension key beyond that.
-SALTS = 32
-
 
 def hot_keys(many: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The keys with more than ``hot_rows`` rows, counted with map-side partial sums."""
@@ -53,24 +50,3 @@ def join_per_key(
         many.join(hot, key, "left_semi"), key
     )
     return usual.unionByName(frequent)
-
-
-def join_dimension(
-    facts: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    spread_by: str,
-    dimension_rows: int,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join facts with a dimension that is unique on ``key`` and known to have that many rows.
-
-    A small dimension is broadcast. A larger one is repeated per salt, and the facts of one key
-    are spread over the salts by another of their columns, so that no task gets a whole key.
-    """
-    if dimension_rows <= broadcast_rows:
-        return facts.join(F.broadcast(dimension), key)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"]).drop("_salt")

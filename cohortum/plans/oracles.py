@@ -282,7 +282,7 @@ ORACLES: dict[str, str] = {
     "weighted_grades": over(
         ("graded",), "SELECT id_student, ROUND(current_gpa, 8) AS current_gpa FROM graded"
     ),
-    "weighted_grades_salted": over(
+    "weighted_grades_shuffled": over(
         ("graded",), "SELECT id_student, ROUND(current_gpa, 8) AS current_gpa FROM graded"
     ),
     "grade_features": over(

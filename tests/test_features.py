@@ -12,7 +12,7 @@ from cohortum.operators.grades import (
     grade_rows,
     weighted_grades,
 )
-from cohortum.operators.joins import join_dimension, join_per_key
+from cohortum.operators.joins import join_per_key
 from cohortum.operators.outcomes import outcome_rows
 from tests import data
 from tests.data import as_set, rows
@@ -30,6 +30,22 @@ def test_engagement_counts_distinct_days_and_filled_items(spark):
     ]
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint", "date", "string", "double"])
+def test_days_of_any_type_are_counted_alike(spark, kind):
+    number = (F.col("id") * 37 % 251 - 120) % 128
+    day = F.date_from_unix_date(number.cast("int")) if kind == "date" else number.cast(kind)
+    log = spark.range(3000).select(
+        (F.col("id") % 7).alias("id_student"),
+        F.when(F.col("id") % 5 > 0, F.col("id")).alias("id_site"),
+        F.when((F.col("id") % 11 > 0) & (F.col("id") % 7 > 0), day).alias("date"),
+        F.when(F.col("id") % 7 != 1, F.col("id")).alias("sum_click"),
+    )
+    plain = log.groupBy("id_student").agg(
+        F.sum("sum_click"), F.countDistinct("date"), F.count("id_site")
+    )
+    assert as_set(engagement_features(log).drop("engagement_index")) == as_set(plain)
+
+
 def test_engagement_takes_calendar_days_and_other_names(spark):
     log = spark.createDataFrame(
         [(1, "a", date(2024, 1, 1), 2), (1, "b", date(2024, 1, 2), 2)],
@@ -73,15 +89,17 @@ def grade_tables(spark):
     return submissions, assessments
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_weighted_grades_either_way(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_rows, hot_rows", [(1000, 1), (0, 1), (0, 100), (0, None)])
+def test_weighted_grades_either_way(spark, broadcast_rows, hot_rows):
     submissions, assessments = grade_tables(spark)
     plain = (
         submissions.join(assessments, "id_assessment")
         .groupBy("id_student")
         .agg(F.sum(F.col("score") * F.col("weight") / 100))
     )
-    result = weighted_grades(submissions, assessments, broadcast_rows=broadcast_rows)
+    result = weighted_grades(
+        submissions, assessments, broadcast_rows=broadcast_rows, hot_rows=hot_rows
+    )
     assert dict(rows(result)) == pytest.approx(dict(rows(plain)))
     assert dict(rows(result)) == pytest.approx({1: 112.0, 2: None, 3: 120.0, 5: None})
 
@@ -132,13 +150,3 @@ def test_join_per_key_is_the_plain_join(spark, how, hot_rows):
     )
     expected = one.join(many, "k", how)
     assert as_set(join_per_key(one, many, "k", how, hot_rows)) == as_set(expected)
-
-
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_join_dimension_is_the_plain_join(spark, broadcast_rows):
-    facts = spark.createDataFrame(
-        [(i % 40, 1 if i % 3 else i % 7) for i in range(300)], "who int, k int"
-    )
-    dimension = spark.createDataFrame([(k, str(k)) for k in range(5)], "k int, name string")
-    result = join_dimension(facts, dimension, "k", "who", 5, broadcast_rows, salts=4)
-    assert as_set(result) == as_set(facts.join(dimension, "k"))
