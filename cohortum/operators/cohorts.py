@@ -69,13 +69,16 @@ def cohort_sums(
 def roll_up(
     sums: DataFrame, by: str, averages: Sequence[str], count_as: str | None = None
 ) -> DataFrame:
-    """Averages, and on request the row count, per value of one cohort column."""
+    """Averages, and on request the row count, per value of one cohort column.
+
+    Products of large counts are added up as decimals; a row count beyond 64 bits is null.
+    """
     wanted = [
         F.try_divide(F.sum(f"total_{name}"), F.sum(f"filled_{name}")).alias(name)
         for name in averages
     ]
     if count_as:
-        wanted.append(F.sum("rows").alias(count_as))
+        wanted.append(F.sum("rows").try_cast("bigint").alias(count_as))
     return sums.groupBy(by).agg(*wanted)
 
 
@@ -126,4 +129,5 @@ def _product(sizes: Sequence[str]) -> Column:
 def _count(sizes: Sequence[str], once_per_student: bool) -> Column:
     if once_per_student:
         return F.count(F.lit(1))
-    return F.sum(reduce(lambda left, right: left * right, map(F.col, sizes)))
+    wide = (F.col(size).cast("decimal(19,0)") for size in sizes)
+    return F.sum(reduce(lambda left, right: left * right, wide))

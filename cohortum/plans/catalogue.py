@@ -388,6 +388,31 @@ def risk_auc(roles: Roles) -> DataFrame:
     return _one_row(roles, auc=fitted.quality)
 
 
+@registered
+def risk_score_checks(roles: Roles) -> DataFrame:
+    """What holds for the scores of any forest: their number, their range, one per student, and a
+    class that agrees with the risk."""
+    engagement, info = roles.stored_engagement, roles.stored_info
+    fitted = models.fit_risk(outcome_rows(engagement, info, positive=POSITIVE))
+    risk = F.col("risk_probability")
+    per_student = (
+        models.risk_scores(fitted.model, engagement, info)
+        .groupBy("id_student")
+        .agg(
+            F.count(F.lit(1)).alias("scores"),
+            (F.min(risk) == F.max(risk)).alias("one_risk"),
+            F.count_if((risk < 0) | (risk > 1)).alias("outside"),
+            F.count_if((risk > 0.5) != (F.col("prediction") == 1)).alias("against"),
+        )
+    )
+    return per_student.agg(
+        F.sum("scores").alias("score_count"),
+        F.count_if("one_risk").alias("students_with_one_risk"),
+        F.sum("outside").alias("outside_range"),
+        F.sum("against").alias("against_class"),
+    )
+
+
 def _grade_rows(roles: Roles) -> DataFrame:
     return grades.grade_rows(
         grades.weighted_grades(roles.submissions, roles.assessments), roles.engagement
@@ -502,6 +527,15 @@ def job_cohorts(roles: Roles) -> DataFrame:
     return result
 
 
+@registered
+def job_overview(roles: Roles) -> DataFrame:
+    """The overview job on written tables: its key figures."""
+    figures = jobs.overview_view(roles.spark, _written(roles)).figures
+    return rounded(
+        figures.drop("avg_engagement_rounded"), 6, "avg_risk_percent", "avg_engagement"
+    )
+
+
 @registered
 def job_profile(roles: Roles) -> DataFrame:
     """The lookup job on written tables: comparison of one student with the average."""

@@ -244,6 +244,15 @@ LIST_COLUMNS = "id_student, engagement_index, risk_probability"
 GOOD_COLUMNS = """id_student, risk_probability, predicted_gpa, engagement_index, days_active,
                   total_clicks"""
 
+KEY_FIGURES = over(
+    ("main",),
+    """SELECT COUNT(*) AS row_count, COUNT(DISTINCT id_student) AS distinct_students,
+              ROUND(AVG(CAST(risk_probability AS DOUBLE)) * 100, 6) AS avg_risk_percent,
+              ROUND(AVG(engagement_index), 6) AS avg_engagement,
+              COUNT(*) FILTER (risk_probability > CAST(0.7 AS FLOAT)) AS high_risk_count
+       FROM main""",
+)
+
 ORACLES: dict[str, str] = {
     "engagement_features": over(("engagement",), "SELECT * FROM engagement"),
     "engagement_top_users": over(
@@ -331,14 +340,7 @@ ORACLES: dict[str, str] = {
         "SELECT *, 0 AS prediction, CAST(0 AS DOUBLE) AS risk_probability FROM engagement",
     ),
     "good_history_without_grades": "SELECT CAST(0 AS BIGINT) AS matching_rows",
-    "kpi_summary": over(
-        ("main",),
-        """SELECT COUNT(*) AS row_count, COUNT(DISTINCT id_student) AS distinct_students,
-                  ROUND(AVG(CAST(risk_probability AS DOUBLE)) * 100, 6) AS avg_risk_percent,
-                  ROUND(AVG(engagement_index), 6) AS avg_engagement,
-                  COUNT(*) FILTER (risk_probability > CAST(0.7 AS FLOAT)) AS high_risk_count
-           FROM main""",
-    ),
+    "kpi_summary": KEY_FIGURES,
     "engagement_histogram": over(
         ("main",),
         """SELECT bin, ROUND(ANY_VALUE(low + bin * width), 6) AS bin_start,
@@ -381,6 +383,7 @@ ORACLES: dict[str, str] = {
     ),
     "student_lookup": over(("profiles",), "SELECT * FROM profiles WHERE searched = '12'"),
     "student_vs_average": over(("compared",), "SELECT * FROM compared"),
+    "job_overview": KEY_FIGURES,
     "job_profile": over(("compared",), "SELECT * FROM compared WHERE searched = '12'"),
     "student_inputs_long": over(
         ("profiles",),
@@ -402,6 +405,12 @@ ORACLES: dict[str, str] = {
                        THEN 'train' ELSE 'held_out' END AS side FROM info""",
     ),
     "outcome_auc": _rank_sum(("labelled",), "engagement_index"),
+    "risk_score_checks": over(
+        ("labelled",),
+        """SELECT COUNT(*) AS score_count, COUNT(DISTINCT id_student) AS students_with_one_risk,
+                  CAST(0 AS BIGINT) AS outside_range, CAST(0 AS BIGINT) AS against_class
+           FROM labelled""",
+    ),
     "gpa_predictions": over(
         ("predicted",),
         """SELECT id_student, ROUND(LEAST(GREATEST(raw, 0), 100), 6) AS predicted_gpa,

@@ -144,7 +144,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _folder_of_this_process().name
-    return f"{root.rstrip('/')}/{uuid4().hex}"
+    return f"{root.rstrip('/')}/cohortum/{uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -99,3 +99,14 @@ def test_large_counts_do_not_build_rows(spark):
     engagement = data.engagement(spark, (1, 10, 1))
     result = cohorts.cohort_stats(info, "region", cohorts.risk_measures(risk, engagement), "n")
     assert rows(result) == [("N", 0.5, pytest.approx(4.6), 10**12)]
+
+
+def test_counts_beyond_64_bits_leave_the_averages_intact(spark):
+    """Four tables with 10**5 rows of a student each make 10**20 joined rows."""
+    rows_of_one = spark.range(100_000).select(F.lit(1).cast("long").alias("id_student"))
+    info = rows_of_one.withColumn("region", F.lit("N"))
+    measures = {
+        f"m{i}": (rows_of_one.withColumn("v", F.lit(float(i))), "v") for i in range(3)
+    }
+    result = cohorts.cohort_stats(info, "region", measures, "n")
+    assert rows(result) == [("N", 0.0, 1.0, 2.0, None)]

@@ -172,3 +172,12 @@ def test_jobs_can_run_again(spark, layout, reports):
     before = as_set(read_table(spark, layout, fixed.ENGAGEMENT_TABLE))
     jobs.build_engagement(spark, layout)
     assert as_set(read_table(spark, layout, fixed.ENGAGEMENT_TABLE)) == before
+
+
+def test_command_line_runs_a_step(spark, layout, reports, capsys):
+    from cohortum.__main__ import main
+
+    main(["engagement", "--raw", layout.raw_root, "--processed", layout.processed_root])
+    assert capsys.readouterr().out.startswith("engagement: ")
+    with pytest.raises(SystemExit):
+        main(["nothing", "--raw", "a", "--processed", "b"])
