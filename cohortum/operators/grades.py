@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortum import fixed_values as fixed
 from cohortum.functions.columns import bounds_note, clamp
-from cohortum.operators.joins import BROADCAST_ROWS, HOT_ROWS, join_per_key
+from cohortum.operators.joins import BROADCAST_ROWS
 
 
 def weighted_grades(
@@ -18,27 +18,27 @@ def weighted_grades(
     score: str = "score",
     weight: str = "weight",
     broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Sum of score times weight / 100 over all submissions of a student, as ``current_gpa``.
 
     Missing scores and weights add nothing; a student without any product gets a missing grade.
     The sum is not divided by the total weight, so it may pass 100.
 
-    Weights are added up per assessment first, which leaves the sum as it is and makes that side
-    unique. Its rows are counted, and it is broadcast if they are few; then the only shuffle of
-    the submissions is that of their partial sums per student.
+    The assessments are counted. If they are few, their weights are added up per assessment, which
+    leaves the sum as it is, and broadcast; then the only shuffle of the submissions is that of
+    their partial sums per student. If they are many, both sides are shuffled as they are, so that
+    adaptive execution can split the partition of a very frequent assessment.
     """
-    weights = assessments.groupBy(assessment).agg(F.sum(weight).alias("_weight"))
-    scores = submissions.select(
-        F.col(student).alias("id_student"), assessment, F.col(score).alias("_score")
-    )
+    weights = assessments.select(assessment, F.col(weight).alias("_weight"))
     if assessments.count() <= broadcast_rows:
-        weighted = scores.join(F.broadcast(weights), assessment)
-    else:
-        weighted = join_per_key(weights, scores, assessment, hot_rows=hot_rows)
-    return weighted.groupBy("id_student").agg(
-        F.sum(F.col("_score") * F.col("_weight") / 100).alias("current_gpa")
+        weights = F.broadcast(weights.groupBy(assessment).agg(F.sum("_weight").alias("_weight")))
+    return (
+        submissions.select(
+            F.col(student).alias("id_student"), assessment, F.col(score).alias("_score")
+        )
+        .join(weights, assessment)
+        .groupBy("id_student")
+        .agg(F.sum(F.col("_score") * F.col("_weight") / 100).alias("current_gpa"))
     )
 
 

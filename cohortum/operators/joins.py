@@ -41,6 +41,9 @@ def join_per_key(
     frequent keys stay where they are and meet the few matching rows of ``one`` by broadcast; all
     others are shuffled as usual. Both parts together are exactly the plain join, which
     ``hot_rows=None`` asks for where the keys are known to be even.
+
+    The key column of ``many`` is read once more to count, and with frequent keys its rows are
+    scanned by both parts, so it should be a stored table and not the result of a long plan.
     """
     if hot_rows is None:
         return one.join(many, key, how)

@@ -18,6 +18,13 @@ def key_share(key: str, seed: int = fixed.SPLIT_SEED) -> Column:
     return digest / F.lit(DIGEST_SPACE)
 
 
+def in_training(
+    key: str, share: float = fixed.TRAIN_SHARE, seed: int = fixed.SPLIT_SEED
+) -> Column:
+    """True for keys on the training side; a missing key is on it too."""
+    return F.coalesce(key_share(key, seed), F.lit(0.0)) < share
+
+
 def split_by_key(
     df: DataFrame,
     key: str = "id_student",
@@ -28,7 +35,7 @@ def split_by_key(
 
     The side depends only on the key: repartitioning, retries and other engines do not change it.
     """
-    train = F.coalesce(key_share(key, seed), F.lit(0.0)) < share
+    train = in_training(key, share, seed)
     return df.where(train), df.where(~train)
 
 

@@ -14,7 +14,7 @@ from cohortum.functions.keys import coerced_number, harmonise_key
 from cohortum.operators import cohorts, engagement, grades, models, overview, profile, students
 from cohortum.operators.cleaning import clean
 from cohortum.operators.outcomes import outcome_rows
-from cohortum.operators.split import split_by_key
+from cohortum.operators.split import in_training
 from cohortum.plans import jobs
 from cohortum.plans.roles import POSITIVE, Roles
 from cohortum.sources.tables import (
@@ -162,10 +162,8 @@ def weighted_grades(roles: Roles) -> DataFrame:
 
 @registered
 def weighted_grades_shuffled(roles: Roles) -> DataFrame:
-    """The way taken for assessments too many to broadcast, with frequent ones among them."""
-    wide = grades.weighted_grades(
-        roles.submissions, roles.assessments, broadcast_rows=0, hot_rows=30
-    )
+    """The way taken for assessments too many to broadcast."""
+    wide = grades.weighted_grades(roles.submissions, roles.assessments, broadcast_rows=0)
     return rounded(wide, 8, "current_gpa")
 
 
@@ -362,10 +360,8 @@ def student_inputs_long(roles: Roles) -> DataFrame:
 
 @registered
 def split_sides(roles: Roles) -> DataFrame:
-    train, held_out = split_by_key(roles.info.select("id_student", "final_result"))
-    return train.withColumn("side", F.lit("train")).unionByName(
-        held_out.withColumn("side", F.lit("held_out"))
-    )
+    side = F.when(in_training("id_student"), "train").otherwise("held_out")
+    return roles.info.select("id_student", "final_result", side.alias("side"))
 
 
 @registered

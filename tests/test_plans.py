@@ -70,3 +70,34 @@ def test_limits_reach_the_scans(spark, tmp_path):
 def test_lists_are_taken_as_top_rows(spark):
     plan = plan_of(overview.high_risk_list(data.engagement(spark, (1, 1, 1)), data.risk(spark, (1, 0.9))))
     assert plan.count("TakeOrderedAndProject") == 2
+
+
+def test_a_frequent_assessment_is_split(spark):
+    """With many assessments the join is shuffled, in a form that adaptive execution can split."""
+    from pyspark.sql import functions as F
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(0, 60_000, 1, 8)
+        frequent = F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 1000)
+        submissions = rows.select(
+            F.col("id").alias("id_student"),
+            frequent.alias("id_assessment"),
+            F.rand(1).alias("score"),
+        )
+        assessments = spark.range(1000).select(F.col("id").alias("id_assessment"), F.lit(1.0).alias("weight"))
+        result = weighted_grades(submissions, assessments, broadcast_rows=0)
+        assert len(result.collect()) == 60_000
+        assert "skew=true" in plan_of(result)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
