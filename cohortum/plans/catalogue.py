@@ -150,7 +150,7 @@ def harmonised_keys(roles: Roles) -> DataFrame:
 
 @registered
 def outcome_labels(roles: Roles) -> DataFrame:
-    return outcome_rows(roles.stored_engagement, roles.stored_info, positive=POSITIVE)
+    return outcome_rows(roles.stored_engagement, roles.enrolments, positive=POSITIVE)
 
 
 @registered
@@ -197,7 +197,7 @@ def grade_bands(roles: Roles) -> DataFrame:
 
 def _risk_stats(roles: Roles, by: str, count_as: str | None, once: bool = False) -> DataFrame:
     stats = cohorts.cohort_stats(
-        roles.stored_info,
+        roles.info,
         by,
         cohorts.risk_measures(roles.risk, roles.stored_engagement),
         count_as,
@@ -367,20 +367,20 @@ def split_sides(roles: Roles) -> DataFrame:
 @registered
 def outcome_auc(roles: Roles) -> DataFrame:
     """How well engagement alone ranks the outcomes: the evaluation step on an exact score."""
-    rows = outcome_rows(roles.stored_engagement, roles.stored_info, positive=POSITIVE)
+    rows = outcome_rows(roles.stored_engagement, roles.enrolments, positive=POSITIVE)
     area = models.area_under_roc(rows, "engagement_index", bins=0)
     return _one_row(roles, auc=area)
 
 
 @registered
 def risk_scores(roles: Roles) -> DataFrame:
-    fitted = models.fit_risk(outcome_rows(roles.stored_engagement, roles.stored_info, positive=POSITIVE))
-    return models.risk_scores(fitted.model, roles.stored_engagement, roles.stored_info)
+    fitted = models.fit_risk(outcome_rows(roles.stored_engagement, roles.enrolments, positive=POSITIVE))
+    return models.risk_scores(fitted.model, roles.stored_engagement, roles.enrolments)
 
 
 @registered
 def risk_auc(roles: Roles) -> DataFrame:
-    fitted = models.fit_risk(outcome_rows(roles.stored_engagement, roles.stored_info, positive=POSITIVE))
+    fitted = models.fit_risk(outcome_rows(roles.stored_engagement, roles.enrolments, positive=POSITIVE))
     return _one_row(roles, auc=fitted.quality)
 
 
@@ -388,7 +388,7 @@ def risk_auc(roles: Roles) -> DataFrame:
 def risk_score_checks(roles: Roles) -> DataFrame:
     """What holds for the scores of any forest: their number, their range, one per student, and a
     class that agrees with the risk."""
-    engagement, info = roles.stored_engagement, roles.stored_info
+    engagement, info = roles.stored_engagement, roles.enrolments
     fitted = models.fit_risk(outcome_rows(engagement, info, positive=POSITIVE))
     risk = F.col("risk_probability")
     per_student = (
@@ -485,7 +485,7 @@ def _written(roles: Roles) -> Layout:
     root = shared_folder(roles.spark)
     layout = Layout(f"{root}/raw", f"{root}/processed")
     for name, frame in {
-        "studentInfo": roles.stored_info,
+        "studentInfo": roles.info,
         fixed.ENGAGEMENT_TABLE: roles.stored_engagement,
         fixed.RISK_TABLE: roles.risk,
         fixed.GRADE_TABLE: roles.grades,

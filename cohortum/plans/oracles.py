@@ -29,6 +29,10 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                 JOIN nation ON c_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey""",
     ),
+    "enrolments": (
+        (),
+        "SELECT o_custkey AS id_student, o_orderstatus AS final_result FROM orders",
+    ),
     "graded": (
         (),
         """SELECT o_custkey AS id_student,
@@ -44,13 +48,14 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
            FROM graded JOIN engagement USING (id_student)""",
     ),
     "risk": (
-        ("info", "engagement"),
-        """SELECT info.id_student, CAST(share > CAST(0.5 AS FLOAT) AS INTEGER)::DOUBLE AS prediction,
+        ("enrolments", "engagement"),
+        """SELECT enrolments.id_student, CAST(share > CAST(0.5 AS FLOAT) AS INTEGER)::DOUBLE AS prediction,
                   share AS risk_probability
-           FROM info JOIN (SELECT id_student,
-                                  CAST(AVG(CASE WHEN final_result = 'F' THEN 1 ELSE 0 END) AS FLOAT)
-                                      AS share
-                           FROM info GROUP BY id_student) AS shares USING (id_student)
+           FROM enrolments
+                JOIN (SELECT id_student,
+                             CAST(AVG(CASE WHEN final_result = 'F' THEN 1 ELSE 0 END) AS FLOAT)
+                                 AS share
+                      FROM enrolments GROUP BY id_student) AS shares USING (id_student)
                 JOIN engagement USING (id_student)""",
     ),
     "grades": (
@@ -113,10 +118,10 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                     AS rows(metric, student, average)""",
     ),
     "labelled": (
-        ("info", "engagement"),
+        ("enrolments", "engagement"),
         """SELECT id_student, total_clicks, days_active, engagement_index,
                   CASE WHEN final_result = 'F' THEN 1 ELSE 0 END AS label
-           FROM engagement JOIN info USING (id_student)""",
+           FROM engagement JOIN enrolments USING (id_student)""",
     ),
     "sided": (
         ("feature_rows",),

@@ -8,11 +8,12 @@ the share of a customer's orders with status F as risk, and the account balance
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortum.functions.columns import at_risk_label
 from cohortum.operators.cleaning import clean
@@ -23,24 +24,27 @@ from cohortum.sources.tables import materialise
 
 POSITIVE = ("F",)
 
+# Schemas by path, so that a footer is looked up once per table and not at every use.
+_SCHEMAS: dict[str, StructType] = {}
+
 
 @dataclass(frozen=True)
 class Roles:
     """Learner tables over the tables in ``folder``.
 
-    ``engagement`` and ``info`` are lazy, for queries that read them once. The ``stored`` ones are
+    ``engagement`` is lazy, for queries that read it once. ``stored_engagement`` and ``risk`` are
     written first, as they are between jobs, so that queries that need them at several places do
     not go back to the activity log for each.
     """
 
     spark: SparkSession
     folder: str
-    _read: dict[str, DataFrame] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._read[name]
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def activity(self) -> DataFrame:
@@ -60,6 +64,13 @@ class Roles:
             .select("n_nationkey", "r_name")
         )
 
+    @cached_property
+    def enrolments(self) -> DataFrame:
+        """Student and outcome of every enrolment, without what is known of the student."""
+        return self.table("orders").select(
+            F.col("o_custkey").alias("id_student"), F.col("o_orderstatus").alias("final_result")
+        )
+
     @cached_property
     def info(self) -> DataFrame:
         enrolments = (
@@ -106,14 +117,10 @@ class Roles:
     def stored_engagement(self) -> DataFrame:
         return materialise(self.engagement)
 
-    @cached_property
-    def stored_info(self) -> DataFrame:
-        return materialise(self.info)
-
     @cached_property
     def risk(self) -> DataFrame:
         """A surrogate score per enrolment of an active student, stored."""
-        info = self.stored_info
+        info = self.enrolments
         label = at_risk_label(F.col("final_result"), POSITIVE)
         share = info.groupBy("id_student").agg(
             F.avg(label).cast("float").alias("risk_probability")
