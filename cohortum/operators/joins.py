@@ -10,20 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is joined without a shuffle. At most (rows / HOT_ROWS) keys can
-# be that frequent, which bounds what is broadcast: a million keys for 5e12 rows.
+# A key with more rows than this, and with more than its share of all rows below, is frequent.
 HOT_ROWS = 5_000_000
 
+# No more keys than this can be frequent, since each has more than this fraction of all rows. It
+# bounds what is broadcast, however many rows there are.
+MOST_HOT_KEYS = 100_000
+
 # A table counted at no more than this many rows, of a key and a number each, is broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
 def hot_keys(many: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows, counted with map-side partial sums."""
+    """The frequent keys, at most ``MOST_HOT_KEYS`` of them, counted with map-side partial sums."""
+    share = many.agg(F.count(F.lit(1)) / F.lit(MOST_HOT_KEYS)).scalar()
     return (
         many.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col(key).isNotNull() & (F.col("_rows") > hot_rows))
+        .where(F.col(key).isNotNull() & (F.col("_rows") > F.greatest(F.lit(hot_rows), share)))
         .select(key)
     )
 

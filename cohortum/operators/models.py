@@ -64,13 +64,14 @@ def fit_risk(
 ) -> Fitted:
     """Random forest on features and ``label``; the quality is the area under ROC.
 
-    A missing feature is an error here.
+    A missing feature is an error here. Rows are sorted inside their partitions, since the forest
+    draws its samples by position: the same rows and seeds then give the same trees.
     """
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", numTrees=trees, seed=forest_seed
     )
     steps = Pipeline(stages=[assembler("error"), forest])
-    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = rows.sortWithinPartitions(*rows.columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, held_out = split(kept, how, split_seed)
         model = steps.fit(train)

@@ -12,7 +12,7 @@ from cohortum.operators.grades import (
     grade_rows,
     weighted_grades,
 )
-from cohortum.operators.joins import join_per_key
+from cohortum.operators.joins import hot_keys, join_per_key
 from cohortum.operators.outcomes import outcome_rows
 from tests import data
 from tests.data import as_set, rows
@@ -148,3 +148,12 @@ def test_join_per_key_is_the_plain_join(spark, how, hot_rows):
     )
     expected = one.join(many, "k", how)
     assert as_set(join_per_key(one, many, "k", how, hot_rows)) == as_set(expected)
+
+
+def test_the_number_of_frequent_keys_is_bounded(spark, monkeypatch):
+    many = spark.range(90).select((F.col("id") % 3).alias("k")).unionByName(
+        spark.range(60).select(F.lit(7).cast("long").alias("k"))
+    )
+    assert as_set(hot_keys(many, "k", 10)) == [(0,), (1,), (2,), (7,)]
+    monkeypatch.setattr("cohortum.operators.joins.MOST_HOT_KEYS", 3)
+    assert as_set(hot_keys(many, "k", 10)) == [(7,)]

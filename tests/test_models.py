@@ -96,6 +96,18 @@ def test_scores_do_not_depend_on_hot_keys(engagement, labelled):
     assert as_set(models.risk_scores(model, engagement, info, hot_rows=1)) == as_set(plain)
 
 
+def test_the_same_seed_gives_the_same_forest(engagement, labelled):
+    info = labelled.select("id_student")
+    shuffled = labelled.repartition(5, "id_student")
+    first, second = (
+        as_set(models.risk_scores(models.fit_risk(shuffled, trees=5).model, engagement, info))
+        for _ in range(2)
+    )
+    assert first == second
+    other = models.fit_risk(shuffled, trees=5, forest_seed=1).model
+    assert as_set(models.risk_scores(other, engagement, info)) != first
+
+
 def test_scoring_needs_no_python_worker(engagement, labelled):
     model = models.fit_risk(labelled, trees=3).model
     scores = models.risk_scores(model, engagement, labelled.select("id_student"))
