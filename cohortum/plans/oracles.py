@@ -442,22 +442,25 @@ ORACLES: dict[str, str] = {
     "job_engagement": over(("engagement",), "SELECT * FROM engagement"),
     "job_cohorts": over(
         ("info", "risk", "engagement", "grades"),
-        f"""SELECT region AS cohort, measure, value
-            FROM (SELECT * FROM ({_cohort('region', RISK_AVERAGES, RISK_JOIN)})
-                  JOIN ({_cohort('region', GRADE_AVERAGES, GRADE_JOIN)}) USING (region)),
-                 LATERAL (VALUES ('avg_risk', avg_risk), ('avg_engagement', avg_engagement),
-                                 ('avg_predicted_gpa', avg_predicted_gpa),
-                                 ('student_count', CAST(student_count AS DOUBLE)))
-                     AS rows(measure, value)
-            UNION ALL
-            SELECT highest_education, measure, value
-            FROM (SELECT * FROM ({_cohort('highest_education', RISK_AVERAGES, RISK_JOIN)})
-                  JOIN ({_cohort('highest_education', GRADE_AVERAGES, GRADE_JOIN)})
-                       USING (highest_education)),
-                 LATERAL (VALUES ('avg_risk', avg_risk), ('avg_engagement', avg_engagement),
-                                 ('avg_predicted_gpa', avg_predicted_gpa),
-                                 ('student_count', CAST(student_count AS DOUBLE)))
-                     AS rows(measure, value)""",
+        " UNION ALL ".join(
+            f"""SELECT {by} AS cohort, measure, value
+                FROM ({_cohort(by, averages, joined)}), LATERAL (VALUES {values})
+                     AS rows(measure, value)"""
+            for by in ("region", "highest_education")
+            for averages, joined, values in (
+                (
+                    RISK_AVERAGES,
+                    RISK_JOIN,
+                    "('avg_risk', avg_risk), ('avg_engagement', avg_engagement)",
+                ),
+                (
+                    GRADE_AVERAGES,
+                    GRADE_JOIN,
+                    "('avg_predicted_gpa', avg_predicted_gpa), "
+                    "('student_count', CAST(student_count AS DOUBLE))",
+                ),
+            )
+        ),
     ),
     "job_chain_gpa": over(
         ("info", "predicted"),
