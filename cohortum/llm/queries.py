@@ -4,24 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortum.llm.common import table
 from cohortum.llm.exact_topk import exact_topk
+from cohortum.llm.grouped_packing import packed
 from cohortum.llm.learned_partitions import nearest_by_learned_partitions
+from cohortum.llm.token_files import token_file_digests
 
 
 def op1_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_by_learned_partitions(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_file_digests(table(spark, folder, "documents"), path, end_id=1)
+
+
+def op6_grouped_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packed(table(spark, folder, "documents"), path, end_id=0)
+
+
 def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return exact_topk(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_learned_partitions": op1_learned_partitions,
+    "op5_token_files": op5_token_files,
+    "op6_grouped_packing": op6_grouped_packing,
     "op10_exact_topk": op10_exact_topk,
 }
 
