@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortum.llm.byte_pairs import round_trip_digests
 from cohortum.llm.common import table
 from cohortum.llm.exact_topk import exact_topk
 from cohortum.llm.grouped_packing import packed
@@ -19,6 +20,11 @@ def op1_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_by_learned_partitions(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op2_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return round_trip_digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_file_digests(table(spark, folder, "documents"), path, end_id=1)
@@ -35,6 +41,7 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_learned_partitions": op1_learned_partitions,
+    "op2_byte_pairs": op2_byte_pairs,
     "op5_token_files": op5_token_files,
     "op6_grouped_packing": op6_grouped_packing,
     "op10_exact_topk": op10_exact_topk,
