@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortum.llm import byte_gru, toxicity
 from cohortum.llm.byte_pairs import round_trip_digests
 from cohortum.llm.common import table
 from cohortum.llm.exact_topk import exact_topk
@@ -25,6 +26,16 @@ def op2_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip_digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.toxicity_scores(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+def op4_byte_gru(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return byte_gru.language_predictions(docs, byte_gru.fit(docs))
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_file_digests(table(spark, folder, "documents"), path, end_id=1)
@@ -42,6 +53,8 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_learned_partitions": op1_learned_partitions,
     "op2_byte_pairs": op2_byte_pairs,
+    "op3_toxicity": op3_toxicity,
+    "op4_byte_gru": op4_byte_gru,
     "op5_token_files": op5_token_files,
     "op6_grouped_packing": op6_grouped_packing,
     "op10_exact_topk": op10_exact_topk,
