@@ -15,6 +15,7 @@ from cohortum.llm.exact_topk import exact_topk
 from cohortum.llm.grouped_packing import packed
 from cohortum.llm.learned_partitions import nearest_by_learned_partitions
 from cohortum.llm.lsh_forest import near_duplicates
+from cohortum.llm.suffix_dedup import without_later_copies
 from cohortum.llm.token_files import token_file_digests
 
 
@@ -47,6 +48,10 @@ def op6_grouped_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"), path, end_id=0)
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_later_copies(table(spark, folder, "documents"))
+
+
 def op9_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_gru": op4_byte_gru,
     "op5_token_files": op5_token_files,
     "op6_grouped_packing": op6_grouped_packing,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_exact_topk": op10_exact_topk,
 }
