@@ -3,8 +3,10 @@
 The library encodes words, each once per worker (see ``wordcache``), and the ids of a text are put
 together from its words'. That equals encoding the text at once where no token can cross the cut:
 a vocabulary whose pieces never hold white space is cut at every space, one whose pieces start
-with a space only before a space between two other characters. Strings of special tokens in a text
-are ordinary text. An empty text has no ids.
+with a space only before a space between two other characters. A line break between words, and a
+full stop or comma after letters and digits, are tokens of their own in both. New words are
+encoded many at a time, as one text in which their tokens can be told apart. Strings of special
+tokens in a text are ordinary text. An empty text has no ids.
 """
 
 from __future__ import annotations
@@ -16,37 +18,52 @@ import numpy as np
 
 from cohortum.llm.wordcache import BETWEEN, Words
 
+MARK = "\x01"
 
-class Encoder:
-    """Ids as little-endian unsigned 32-bit integers, one bytes object per text."""
 
-    def __init__(self, path: str, leading_space: bool):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class WordwiseEncoder:
+    """Ids as little-endian unsigned 32-bit integers, one bytes object per text."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+    def __init__(self, leading_space: bool):
         self.leading_space = leading_space
-        self.size = self.tokenizer.get_vocab_size()
+        self.parts = Words(self.encoded)
         self.first, self.later = Words(self.encoded, 50_000), Words(self.after_space)
 
-    def encoded(self, words: list[str]) -> list[bytes | None]:
-        out: list[bytes | None] = []
-        for start in range(0, len(words), 4096):
-            some = words[start : start + 4096]
-            done = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            out.extend(np.array(x.ids, dtype="<u4").tobytes() for x in done)
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of any texts."""
+        raise NotImplementedError
+
+    def cut(self, word: str) -> list[str]:
+        """The word in parts that share no token."""
+        lead = " " if self.leading_space else ""
+        out: list[str] = []
+        for line in word.split("\n") if "\n" in word else (word,):
+            if not line or line[0].isspace() or line[-1].isspace():
+                return [lead + word]
+            if out:
+                out.append("\n")
+                lead = ""
+            body, mark = (line[:-1], line[-1]) if line[-1] in ",." else (line, "")
+            if mark and not body.isalnum():
+                body, mark = line, ""
+            if not self.leading_space and body.isascii():
+                body = body.lower()
+            out.append(lead + body)
+            if mark:
+                out.append(mark)
         return out
 
     def after_space(self, words: list[str]) -> list[bytes | None]:
         """Ids of words with the space before them; none for words at which no cut is safe."""
-        if not self.leading_space:
-            return self.encoded(words)
-        ids: list[bytes | None] = [None] * len(words)
-        safe = [i for i, w in enumerate(words) if w and not (w[0].isspace() or w[-1].isspace())]
-        for i, x in zip(safe, self.encoded([" " + words[i] for i in safe])):
-            ids[i] = x
-        return ids
+        cuts = [
+            self.cut(w) if not self.leading_space or (w and not (w[0].isspace() or w[-1].isspace())) else None
+            for w in words
+        ]
+        known = self.parts.learn([parts for parts in cuts if parts])
+        return [
+            None if parts is None else known(parts[0]) if len(parts) == 1 else b"".join(map(known, parts))
+            for parts in cuts
+        ]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         rows = [text.split(" ") for text in texts]
@@ -67,6 +84,60 @@ class Encoder:
         return out
 
 
+class Encoder(WordwiseEncoder):
+    """By the tokenizers library."""
+
+    def __init__(self, path: str, leading_space: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        super().__init__(leading_space)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.size = self.tokenizer.get_vocab_size()
+        # Tokens that start a word: those with the space before it, or the mark put between words.
+        vocabulary, space = self.tokenizer.get_vocab(), self.single(" ")
+        self.starts = np.zeros(self.size, dtype=bool)
+        if leading_space:
+            self.starts[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
+        else:
+            self.starts[self.tokenizer.encode(MARK, add_special_tokens=False).ids] = True
+
+    def single(self, text: str) -> str:
+        tokens = self.tokenizer.encode(text, add_special_tokens=False).tokens
+        return tokens[0] if tokens else ""
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of any texts; those that can be told apart are encoded together."""
+        out: list[bytes] = [b""] * len(words)
+        together, alone = [], []
+        for i, w in enumerate(words):
+            if self.leading_space:
+                clear = w[:1] == " " and " " not in w[1:] and not (w[1:2].isspace() or w[-1].isspace())
+            else:
+                clear = MARK not in w
+            (together if clear else alone).append(i)
+        for start in range(0, len(alone), 4096):
+            some = alone[start : start + 4096]
+            done = self.tokenizer.encode_batch_fast([words[i] for i in some], add_special_tokens=False)
+            for i, x in zip(some, done):
+                out[i] = np.array(x.ids, dtype="<u4").tobytes()
+        between = "" if self.leading_space else f" {MARK} "
+        for start in range(0, len(together), 16384):
+            some = together[start : start + 16384]
+            text = between.join([words[i] for i in some])
+            text = text if self.leading_space else f"{MARK} {text}"
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            begins = np.flatnonzero(self.starts[ids])
+            if len(begins) != len(some):
+                raise AssertionError("words and their tokens do not match")
+            raw, ends = ids.tobytes(), (4 * np.append(begins[1:], len(ids))).tolist()
+            begins = (4 * (begins + (not self.leading_space))).tolist()
+            for i, a, b in zip(some, begins, ends):
+                out[i] = raw[a:b]
+        return out
+
+
 @cache
 def encoder(path: str, leading_space: bool) -> Encoder:
     """One encoder per Python worker."""
