@@ -8,14 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortum.llm import byte_gru, toxicity
+from cohortum.llm import byte_gru, fm_index, suffix_dedup, toxicity
 from cohortum.llm.byte_pairs import round_trip_digests
 from cohortum.llm.common import table
 from cohortum.llm.exact_topk import exact_topk
 from cohortum.llm.grouped_packing import packed
 from cohortum.llm.learned_partitions import nearest_by_learned_partitions
 from cohortum.llm.lsh_forest import near_duplicates
-from cohortum.llm.suffix_dedup import without_later_copies
 from cohortum.llm.token_files import token_file_digests
 
 
@@ -48,8 +47,12 @@ def op6_grouped_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"), path, end_id=0)
 
 
+def op7_fm_index(spark: SparkSession, folder: str) -> DataFrame:
+    return fm_index.without_later_copies(table(spark, folder, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return without_later_copies(table(spark, folder, "documents"))
+    return suffix_dedup.without_later_copies(table(spark, folder, "documents"))
 
 
 def op9_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_gru": op4_byte_gru,
     "op5_token_files": op5_token_files,
     "op6_grouped_packing": op6_grouped_packing,
+    "op7_fm_index": op7_fm_index,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_exact_topk": op10_exact_topk,
