@@ -272,3 +272,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows, unchanged, that stay; of several rows of an identifier all stay if one does.
+
+    Rows without identifier stay.
+    """
+    gone = near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("NOT kept")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"))
+    return rows.join(gone.select("doc_id"), "doc_id", "left_anti").select("row.*")

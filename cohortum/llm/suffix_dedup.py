@@ -137,3 +137,35 @@ def without_later_copies(docs: DataFrame, finish=digests, schema: str = DIGESTS)
     found = found_segments(docs, byte_symbols)
     intervals = removed_intervals(found, earliest_documents(found, core, 1))
     return with_removals(found, intervals, finish, schema)
+
+
+CHANGED = "doc_id bigint, old_sha256 string, new_text string"
+
+
+def changed_texts(doc_ids: pa.Array, texts: list[str | None], removals: list) -> pa.RecordBatch:
+    """The texts that lose bytes; a character that loses some of its bytes goes whole."""
+    at = [i for i, removal in enumerate(removals) if len(removal[0])]
+    return pa.RecordBatch.from_arrays(
+        [
+            doc_ids.take(pa.array(at, pa.int64())),
+            pa.array([hashlib.sha256(texts[i].encode()).hexdigest() for i in at], pa.string()),
+            pa.array([kept_bytes(texts[i], removals[i]).decode(errors="ignore") for i in at], pa.string()),
+        ],
+        [x.split(" ")[0] for x in CHANGED.split(", ")],
+    )
+
+
+def with_texts_cut(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs``, texts without later copies; ``n_chars`` follows them."""
+    changed = without_later_copies(docs, changed_texts, CHANGED).dropDuplicates(["doc_id", "old_sha256"])
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.sha2("text", 256).alias("old_sha256"),
+    ).join(changed, ["doc_id", "old_sha256"], "left")
+    text = F.coalesce("new_text", "row.text")
+    new = {"text": text}
+    if "n_chars" in docs.columns:
+        length = F.length("new_text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("new_text").isNotNull(), length).otherwise(F.col("row.n_chars"))
+    return rows.select(*[new.get(name, F.col("row")[name]).alias(name) for name in docs.columns])
