@@ -7,6 +7,7 @@ from typing import NamedTuple
 # Table names.
 RAW_TABLES = ("studentVle", "studentInfo", "vle", "studentAssessment", "assessments")
 ENGAGEMENT_TABLE = "engagement_features"
+AVERAGES_TABLE = "student_averages"
 RISK_TABLE = "predictions"
 GRADE_TABLE = "gpa_predictions"
 COHORT_TABLES = ("region_stats", "education_stats", "region_gpa_stats", "education_gpa_stats")
@@ -66,3 +67,14 @@ COMPARED = {
     "Total Clicks": "total_clicks",
     "Days Active": "days_active",
 }
+
+# Columns of the result lists.
+RISK_LIST = ("id_student", "engagement_index", "risk_probability")
+GOOD_LIST = (
+    "id_student",
+    "risk_probability",
+    "predicted_gpa",
+    "engagement_index",
+    "days_active",
+    "total_clicks",
+)

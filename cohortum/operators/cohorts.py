@@ -71,14 +71,14 @@ def roll_up(
 ) -> DataFrame:
     """Averages, and on request the row count, per value of one cohort column.
 
-    Products of large counts are added up as decimals; a row count beyond 64 bits is null.
+    Products of large counts are added up as decimals; a row count beyond 64 bits stops the job.
     """
     wanted = [
         F.try_divide(F.sum(f"total_{name}"), F.sum(f"filled_{name}")).alias(name)
         for name in averages
     ]
     if count_as:
-        wanted.append(F.sum("rows").try_cast("bigint").alias(count_as))
+        wanted.append(F.sum("rows").cast("bigint").alias(count_as))
     return sums.groupBy(by).agg(*wanted)
 
 

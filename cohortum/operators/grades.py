@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cohortum import fixed_values as fixed
 from cohortum.functions.columns import bounds_note, clamp
-from cohortum.operators.joins import BROADCAST_ROWS
 
 
 def weighted_grades(
@@ -17,21 +16,16 @@ def weighted_grades(
     assessment: str = "id_assessment",
     score: str = "score",
     weight: str = "weight",
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Sum of score times weight / 100 over all submissions of a student, as ``current_gpa``.
 
     Missing scores and weights add nothing; a student without any product gets a missing grade.
     The sum is not divided by the total weight, so it may pass 100.
 
-    The assessments are counted. If they are few, their weights are added up per assessment, which
-    leaves the sum as it is, and broadcast; then the only shuffle of the submissions is that of
-    their partial sums per student. If they are many, both sides are shuffled as they are, so that
-    adaptive execution can split the partition of a very frequent assessment.
+    Spark broadcasts the assessments if their measured size is small; otherwise both sides are
+    shuffled as they are, so that adaptive execution can split a very frequent assessment.
     """
     weights = assessments.select(assessment, F.col(weight).alias("_weight"))
-    if assessments.count() <= broadcast_rows:
-        weights = F.broadcast(weights.groupBy(assessment).agg(F.sum("_weight").alias("_weight")))
     return (
         submissions.select(
             F.col(student).alias("id_student"), assessment, F.col(score).alias("_score")

@@ -1,59 +1,15 @@
-"""Equi-joins that hold when a few keys carry a large part of the rows.
-
-Adaptive execution splits a skewed partition only if both sides of the join come straight from a
-shuffle. Where one side is an aggregate on the join key, as most tables here are, it cannot, so
-these joins state the split themselves.
-"""
+"""The left join, in a form whose large part adaptive execution can split."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this, and with more than its share of all rows below, is frequent.
-HOT_ROWS = 5_000_000
-
-# No more keys than this can be frequent, since each has more than this fraction of all rows. It
-# bounds what is broadcast, however many rows there are.
-MOST_HOT_KEYS = 100_000
-
-# A table counted at no more than this many rows, of a key and a number each, is broadcast.
-BROADCAST_ROWS = 1_000_000
-
-
-def hot_keys(many: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The frequent keys, at most ``MOST_HOT_KEYS`` of them, counted with map-side partial sums."""
-    share = many.agg(F.count(F.lit(1)) / F.lit(MOST_HOT_KEYS)).scalar()
-    return (
-        many.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col(key).isNotNull() & (F.col("_rows") > F.greatest(F.lit(hot_rows), share)))
-        .select(key)
-    )
-
-
-def join_per_key(
-    one: DataFrame,
-    many: DataFrame,
-    key: str,
-    how: str = "inner",
-    hot_rows: int | None = HOT_ROWS,
-) -> DataFrame:
-    """Join ``one`` (a row per key) with ``many`` (any number of rows per key).
 
-    ``how`` is ``"inner"``, or ``"left"`` to keep the rows of ``one`` that have no match. Rows of
-    frequent keys stay where they are and meet the few matching rows of ``one`` by broadcast; all
-    others are shuffled as usual. Both parts together are exactly the plain join, which
-    ``hot_rows=None`` asks for where the keys are known to be even.
+def left_join(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """``one`` left join ``many``, as the matches and the rows of ``one`` that have none.
 
-    The key column of ``many`` is read once more to count, and with frequent keys its rows are
-    scanned by both parts, so it should be a stored table and not the result of a long plan.
+    A frequent key of ``many`` can be split in an inner join but not on the right of a left join.
     """
-    if hot_rows is None:
-        return one.join(many, key, how)
-    hot = F.broadcast(hot_keys(many, key, hot_rows))
-    usual = one.join(hot, key, "left_anti").join(many.join(hot, key, "left_anti"), key, how)
-    frequent = F.broadcast(one.join(hot, key, "left_semi")).join(
-        many.join(hot, key, "left_semi"), key
-    )
-    return usual.unionByName(frequent)
+    unmatched = one.join(many.select(key).distinct(), key, "left_anti")
+    return one.join(many, key).unionByName(unmatched, allowMissingColumns=True)

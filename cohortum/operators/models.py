@@ -16,7 +16,6 @@ from pyspark.storagelevel import StorageLevel
 
 from cohortum import fixed_values as fixed
 from cohortum.operators.grades import bounded_grades
-from cohortum.operators.joins import HOT_ROWS, join_per_key
 from cohortum.operators.split import split_at_random, split_by_key
 
 
@@ -64,8 +63,9 @@ def fit_risk(
 ) -> Fitted:
     """Random forest on features and ``label``; the quality is the area under ROC.
 
-    A missing feature is an error here. Rows are sorted inside their partitions, since the forest
-    draws its samples by position: the same rows and seeds then give the same trees.
+    A missing feature is an error here. The forest draws its samples by partition and position.
+    Rows are sorted inside their partitions, so equal partitions and seeds give the same trees;
+    rows that are partitioned in another way, or in another number, give other trees.
     """
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", numTrees=trees, seed=forest_seed
@@ -80,9 +80,7 @@ def fit_risk(
         kept.unpersist()
 
 
-def risk_scores(
-    model: PipelineModel, engagement: DataFrame, info: DataFrame, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def risk_scores(model: PipelineModel, engagement: DataFrame, info: DataFrame) -> DataFrame:
     """Class and risk for every enrolment of an active student.
 
     All enrolments of a student share the same features, so each student is scored once and the
@@ -93,7 +91,7 @@ def risk_scores(
         "prediction",
         vector_to_array("probability")[1].cast("float").alias("risk_probability"),
     )
-    return join_per_key(scored, info.select("id_student"), "id_student", hot_rows=hot_rows)
+    return scored.join(info.select("id_student"), "id_student")
 
 
 def fit_grades(

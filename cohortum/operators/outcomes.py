@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cohortum import fixed_values as fixed
 from cohortum.functions.columns import at_risk_label
-from cohortum.operators.joins import HOT_ROWS, join_per_key
 
 
 def outcome_rows(
@@ -17,7 +16,6 @@ def outcome_rows(
     info: DataFrame,
     outcome: str = "final_result",
     positive: Iterable[str] = fixed.AT_RISK_OUTCOMES,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One row per enrolment of an active student: features and label.
 
@@ -28,4 +26,4 @@ def outcome_rows(
         "id_student", at_risk_label(F.col(outcome), positive).alias("label")
     )
     features = engagement.select("id_student", *fixed.FEATURES)
-    return join_per_key(features, labels, "id_student", hot_rows=hot_rows)
+    return features.join(labels, "id_student")

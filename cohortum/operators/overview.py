@@ -13,21 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortum import fixed_values as fixed
-from cohortum.fixed_values import GoodHistory
+from cohortum.fixed_values import GOOD_LIST, RISK_LIST, GoodHistory
 from cohortum.functions.columns import limit_for
 from cohortum.functions.keys import coerced_number, with_joinable_keys
-from cohortum.operators.joins import HOT_ROWS, join_per_key
 from cohortum.operators.students import risk_or_default
-
-RISK_LIST = ("id_student", "engagement_index", "risk_probability")
-GOOD_LIST = (
-    "id_student",
-    "risk_probability",
-    "predicted_gpa",
-    "engagement_index",
-    "days_active",
-    "total_clicks",
-)
+from cohortum.sources.tables import materialise
 
 
 def key_figures(
@@ -52,7 +42,7 @@ def key_figures(
     )
     return one.join(per_student, "id_student", "left").agg(
         F.coalesce(F.sum(copies), F.lit(0)).alias("row_count"),
-        F.count("id_student").alias("distinct_students"),
+        F.count_distinct("id_student").alias("distinct_students"),
         (F.try_divide(F.sum("_total"), F.sum("_filled")) * 100).alias("avg_risk_percent"),
         mean_engagement.alias("avg_engagement"),
         F.bround(mean_engagement, 2).alias("avg_engagement_rounded"),
@@ -63,9 +53,10 @@ def key_figures(
 def histogram(
     df: DataFrame, column: str, bins: int = fixed.HISTOGRAM_BINS, copies: str | None = None
 ) -> DataFrame:
-    """Equal-width bins between the smallest and the largest value; empty bins are left out.
+    """Equal-width bins between the smallest and the largest value, empty ones with count 0.
 
     The last bin includes the maximum. ``copies`` names a column that says how often a row counts.
+    If all values are equal there is one bin, without any value there is none.
     """
     ends = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
     value, weight = F.col("_value"), F.col("_weight")
@@ -75,25 +66,29 @@ def histogram(
         .otherwise(0)
         .cast("int")
     )
-    return (
+    counts = (
         df.select(
             F.col(column).cast("double").alias("_value"),
             (F.col(copies) if copies else F.lit(1)).cast("bigint").alias("_weight"),
             ends.alias("_ends"),
         )
         .where(value.isNotNull())
-        .select(bin_number.alias("bin"), low.alias("_low"), width.alias("_width"), weight)
+        .select(bin_number.alias("bin"), weight)
         .groupBy("bin")
-        .agg(
-            F.sum("_weight").alias("row_count"),
-            F.first("_low").alias("_low"),
-            F.first("_width").alias("_width"),
-        )
+        .agg(F.sum("_weight").alias("row_count"))
+    )
+    wide = (F.col("_ends.high") > F.col("_ends.low")).cast("int")
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(bins - 1) * wide)).alias("bin")
+    return (
+        df.sparkSession.range(1).select(ends.alias("_ends"))
+        .where(F.col("_ends.low").isNotNull())
+        .select(numbers, low.alias("_low"), width.alias("_width"))
+        .join(counts, "bin", "left")
         .select(
             "bin",
             (F.col("_low") + F.col("bin") * F.col("_width")).alias("bin_start"),
             (F.col("_low") + (F.col("bin") + 1) * F.col("_width")).alias("bin_end"),
-            "row_count",
+            F.coalesce("row_count", F.lit(0)).alias("row_count"),
         )
     )
 
@@ -142,15 +137,16 @@ def good_history(
     grades: DataFrame | None,
     limits: GoodHistory = fixed.GOOD_HISTORY,
     ordered: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Every row of students with low risk, a good predicted grade and enough active days.
 
     ``ordered`` sorts by risk, then by grade from the best, then by key. Equal rows are told apart
     by their partition only to keep the copies of one student from sorting in a single task.
+    The students that meet the limits are stored first, so that a frequent one can be split in
+    the join with the scores.
     """
     chosen, scores = _good_parts(engagement, risk, grades, limits)
-    rows = join_per_key(chosen, scores, "id_student", hot_rows=hot_rows).select(*GOOD_LIST)
+    rows = materialise(chosen).join(scores, "id_student").select(*GOOD_LIST)
     return rows.orderBy(*_good_order(), F.spark_partition_id()) if ordered else rows
 
 

@@ -20,14 +20,14 @@ from cohortum.operators.students import risk_or_default
 
 
 def first_score(risk: DataFrame) -> DataFrame:
-    """One row per student: the score with the highest risk.
+    """One row per student: the score with the highest risk, of equal ones that with the class 1.
 
     The maximum is found in the map tasks first, so a student with very many scores is never
     sorted or gathered in one place.
     """
-    return risk.groupBy("id_student").agg(
-        F.max("risk_probability").alias("risk_probability"),
-        F.max_by("prediction", "risk_probability").alias("prediction"),
+    best = F.max(F.struct("risk_probability", "prediction"))
+    return risk.groupBy("id_student").agg(best.alias("_score")).select(
+        "id_student", "_score.risk_probability", "_score.prediction"
     )
 
 
@@ -114,8 +114,11 @@ def student_profiles(
     text = harmonise_key(F.col(search))
     whole = is_whole_number(students, "id_student")
     key = text.try_cast(students.schema["id_student"].dataType) if whole else text
-    asked = requests.where(text != "").select(text.alias("searched"), key.alias("id_student"))
-    return _shown(asked.join(students, "id_student", "left"))
+    asked = requests.where(text != "").groupBy(text.alias("searched"), key.alias("id_student"))
+    # A request made very often is joined once and repeated afterwards.
+    copies = F.explode(F.array_repeat(F.lit(True), F.col("_times").cast("int")))
+    found = asked.agg(F.count(F.lit(1)).alias("_times")).join(students, "id_student", "left")
+    return _shown(found.withColumn("_copy", copies))
 
 
 def student_lookup(
@@ -136,22 +139,17 @@ def student_lookup(
 
     students = known_students(only(engagement), only(risk), only(grades))
     # An aggregate without grouping gives a row even where nothing was found.
-    first = students.agg(F.first(F.struct(*students.columns)).alias("_first"))
+    first = students.agg(F.max(F.struct(*students.columns)).alias("_first"))
     searched = harmonise_key(F.lit(search)).alias("searched")
     return _shown(first.where(harmonise_key(F.lit(search)) != "").select(searched, "_first.*"))
 
 
-def compared_with_average(
-    profiles: DataFrame,
-    population: DataFrame,
-    copies: str | None = None,
-    compared: Mapping[str, str] = fixed.COMPARED,
-    key: str = "searched",
+def averages(
+    population: DataFrame, copies: str | None = None, compared: Mapping[str, str] = fixed.COMPARED
 ) -> DataFrame:
-    """Per student one row for each compared metric: the student's value and the overall mean.
+    """The overall means of the compared columns, as one row.
 
-    The means are one row, worked out once and put in as constants. ``copies`` names the column of
-    ``population`` that says how often a row counts in them.
+    ``copies`` names the column of ``population`` that says how often a row counts.
     """
     weight = F.col(copies) if copies else F.lit(1)
 
@@ -161,7 +159,19 @@ def compared_with_average(
             F.sum(value * weight), F.sum(F.when(value.isNotNull(), weight))
         ).alias(column)
 
-    means = population.agg(F.struct(*map(mean, compared.values()))).scalar()
+    return population.agg(*map(mean, compared.values()))
+
+
+def compared_with_average(
+    profiles: DataFrame,
+    means: DataFrame,
+    compared: Mapping[str, str] = fixed.COMPARED,
+    key: str = "searched",
+) -> DataFrame:
+    """Per student one row for each compared metric: the student's value and the overall mean.
+
+    ``means`` is one row, made by :func:`averages`, and put in as constants.
+    """
     rows = [
         F.struct(
             F.lit(metric).alias("metric"),
@@ -170,7 +180,7 @@ def compared_with_average(
         )
         for metric, column in compared.items()
     ]
-    return profiles.withColumn("_means", means).select(key, F.inline(F.array(*rows)))
+    return profiles.withColumn("_means", means.select(F.struct(*compared.values())).scalar()).select(key, F.inline(F.array(*rows)))
 
 
 def model_inputs(profiles: DataFrame, key: str = "searched") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortum.functions.keys import with_joinable_keys
-from cohortum.operators.joins import HOT_ROWS, join_per_key
+from cohortum.operators.joins import left_join
 
 
 def with_default_risk(students: DataFrame) -> DataFrame:
@@ -20,9 +20,7 @@ def risk_or_default(engagement: DataFrame, risk: DataFrame | None) -> DataFrame:
     return with_default_risk(engagement.select("id_student"))
 
 
-def student_rows(
-    engagement: DataFrame, risk: DataFrame | None, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def student_rows(engagement: DataFrame, risk: DataFrame | None) -> DataFrame:
     """Engagement with risk: a row per risk score, and one for a student that has none.
 
     Missing risk is null and therefore in no list and above no threshold.
@@ -30,7 +28,7 @@ def student_rows(
     if risk is None:
         return with_default_risk(engagement)
     one, many = with_joinable_keys("id_student", engagement, risk)
-    return join_per_key(one, many, "id_student", "left", hot_rows)
+    return left_join(one, many, "id_student")
 
 
 def with_copies(engagement: DataFrame, risk: DataFrame | None) -> DataFrame:

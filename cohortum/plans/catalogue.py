@@ -162,8 +162,8 @@ def weighted_grades(roles: Roles) -> DataFrame:
 
 @registered
 def weighted_grades_shuffled(roles: Roles) -> DataFrame:
-    """The way taken for assessments too many to broadcast."""
-    wide = grades.weighted_grades(roles.submissions, roles.assessments, broadcast_rows=0)
+    """The join that Spark takes for assessments too many to broadcast."""
+    wide = grades.weighted_grades(roles.submissions, roles.assessments.hint("merge"))
     return rounded(wide, 8, "current_gpa")
 
 
@@ -257,10 +257,12 @@ def student_main_without_risk(roles: Roles) -> DataFrame:
 
 @registered
 def good_history_without_grades(roles: Roles) -> DataFrame:
+    """Without a grade table no row meets the limits, out of all rows of the view."""
     layout = Layout(roles.folder, roles.folder)
-    return overview.good_history_count(
-        roles.stored_engagement, roles.risk, read_grades(roles.spark, layout, fixed.GRADE_TABLE)
-    )
+    absent = read_grades(roles.spark, layout, fixed.GRADE_TABLE)
+    matches = overview.good_history_count(roles.stored_engagement, roles.risk, absent)
+    figures = overview.key_figures(roles.stored_engagement, roles.risk)
+    return figures.select("row_count", matches.scalar().alias("matching_rows"))
 
 
 @registered
@@ -345,7 +347,8 @@ def student_lookup(roles: Roles) -> DataFrame:
 @registered
 def student_vs_average(roles: Roles) -> DataFrame:
     rows = profile.compared_with_average(
-        _profiles(roles), students.with_copies(roles.stored_engagement, roles.risk), "copies"
+        _profiles(roles),
+        profile.averages(students.with_copies(roles.stored_engagement, roles.risk), "copies"),
     )
     return rounded(rows, 6, "average")
 
@@ -372,16 +375,28 @@ def outcome_auc(roles: Roles) -> DataFrame:
     return _one_row(roles, auc=area)
 
 
+def _separable(roles: Roles) -> DataFrame:
+    """Features of which each alone decides the label: any forest that learns gets all right."""
+    eighth = F.pmod("total_interactions", F.lit(8))
+    kinds = dict(roles.engagement.dtypes)
+    return materialise(
+        roles.engagement.select("id_student", *(eighth.cast(kinds[name]).alias(name) for name in fixed.FEATURES))
+    )
+
+
+def _separable_model(features: DataFrame) -> models.Fitted:
+    return models.fit_risk(features.withColumn("label", (F.col("days_active") >= 4).cast("int")))
+
+
 @registered
 def risk_scores(roles: Roles) -> DataFrame:
-    fitted = models.fit_risk(outcome_rows(roles.stored_engagement, roles.enrolments, positive=POSITIVE))
-    return models.risk_scores(fitted.model, roles.stored_engagement, roles.enrolments)
+    features = _separable(roles)
+    return models.risk_scores(_separable_model(features).model, features, roles.enrolments)
 
 
 @registered
 def risk_auc(roles: Roles) -> DataFrame:
-    fitted = models.fit_risk(outcome_rows(roles.stored_engagement, roles.enrolments, positive=POSITIVE))
-    return _one_row(roles, auc=fitted.quality)
+    return _one_row(roles, auc=_separable_model(_separable(roles)).quality)
 
 
 @registered
@@ -472,6 +487,42 @@ def ingested_submissions(roles: Roles) -> DataFrame:
     return read_table(roles.spark, layout, "studentAssessment")
 
 
+@registered
+def ingested_activity_text(roles: Roles) -> DataFrame:
+    """Identifiers that are text and calendar days, kept through ingest by stated types."""
+    layout = _raw_files(roles)
+    roles.activity.withColumn("id_student", F.concat(F.lit("S-"), "id_student")).write.csv(
+        layout.raw("studentVle"), header=True
+    )
+    types = {"id_student": "string", "id_site": "string", "date": "date"}
+    jobs.ingest(roles.spark, layout, ["studentVle"], {"studentVle": types})
+    return read_table(roles.spark, layout, "studentVle")
+
+
+@registered
+def ingested_activity_inferred(roles: Roles) -> DataFrame:
+    """The same table with the types that Spark finds."""
+    layout = _raw_files(roles)
+    roles.activity.withColumn("id_student", F.concat(F.lit("S-"), "id_student")).write.csv(
+        layout.raw("studentVle"), header=True
+    )
+    jobs.ingest(roles.spark, layout, ["studentVle"], infer=True)
+    stored = read_table(roles.spark, layout, "studentVle")
+    return stored.withColumn("sum_click", F.col("sum_click").cast("bigint"))
+
+
+@registered
+def job_risk(roles: Roles) -> DataFrame:
+    """The risk job on written tables whose features decide the outcome: the table it writes."""
+    layout = Layout(*[f"{shared_folder(roles.spark)}/{part}" for part in ("raw", "processed")])
+    features = _separable(roles)
+    outcome = F.when(F.pmod("total_interactions", F.lit(8)) >= 4, "Fail").otherwise("Pass")
+    write_table(features.withColumn("total_interactions", F.lit(0)), layout, fixed.ENGAGEMENT_TABLE)
+    write_table(roles.engagement.select("id_student", outcome.alias("final_result")), layout, "studentInfo")
+    jobs.build_risk(roles.spark, layout)
+    return read_table(roles.spark, layout, fixed.RISK_TABLE)
+
+
 @registered
 def job_engagement(roles: Roles) -> DataFrame:
     layout = _raw_files(roles, "studentVle")
@@ -535,7 +586,9 @@ def job_overview(roles: Roles) -> DataFrame:
 @registered
 def job_profile(roles: Roles) -> DataFrame:
     """The lookup job on written tables: comparison of one student with the average."""
-    view = jobs.profile_view(roles.spark, _written(roles), "12")
+    layout = _written(roles)
+    jobs.build_averages(roles.spark, layout)
+    view = jobs.profile_view(roles.spark, layout, "12")
     return rounded(view.comparison, 6, "average")
 
 

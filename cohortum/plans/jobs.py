@@ -22,6 +22,7 @@ from cohortum.operators.outcomes import outcome_rows
 from cohortum.operators.students import student_rows, with_copies
 from cohortum.sources.tables import (
     Layout,
+    intermediate_folder,
     materialise,
     read_grades,
     read_optional,
@@ -92,7 +93,7 @@ def ingest(
 
 def build_engagement(spark: SparkSession, layout: Layout) -> str:
     features = engagement_features(read_table(spark, layout, "studentVle"))
-    return write_table(features, layout, fixed.ENGAGEMENT_TABLE, sorted_by=KEY_ORDER)
+    return write_table(features, layout, fixed.ENGAGEMENT_TABLE, ranged_by=KEY_ORDER)
 
 
 def build_risk(spark: SparkSession, layout: Layout, how: str = "key", **options) -> float:
@@ -101,24 +102,35 @@ def build_risk(spark: SparkSession, layout: Layout, how: str = "key", **options)
     info = read_table(spark, layout, "studentInfo")
     fitted = models.fit_risk(outcome_rows(engagement, info), how, **options)
     scores = models.risk_scores(fitted.model, engagement, info)
-    write_table(scores, layout, fixed.RISK_TABLE, sorted_by=KEY_ORDER)
+    write_table(scores, layout, fixed.RISK_TABLE, ranged_by=(*KEY_ORDER, "risk_probability"))
+    build_averages(spark, layout)
     return fitted.quality
 
 
+def build_averages(spark: SparkSession, layout: Layout) -> str:
+    """Write the means that lookups compare with, so that no lookup reads whole tables."""
+    engagement = read_table(spark, layout, fixed.ENGAGEMENT_TABLE)
+    risk = read_risk(spark, layout, fixed.RISK_TABLE)
+    means = profile.averages(with_copies(engagement, risk), "copies")
+    return write_table(means.coalesce(1), layout, fixed.AVERAGES_TABLE)
+
+
 def build_grades(spark: SparkSession, layout: Layout, how: str = "key", **options) -> GradeReport:
     """Fit the grade model, predict for every student with a grade, and report its quality."""
-    rows = materialise(
-        grade_rows(
-            weighted_grades(
-                read_table(spark, layout, "studentAssessment"),
-                read_table(spark, layout, "assessments"),
+    with intermediate_folder(spark) as folder:
+        rows = materialise(
+            grade_rows(
+                weighted_grades(
+                    read_table(spark, layout, "studentAssessment"),
+                    read_table(spark, layout, "assessments"),
+                ),
+                read_table(spark, layout, fixed.ENGAGEMENT_TABLE),
             ),
-            read_table(spark, layout, fixed.ENGAGEMENT_TABLE),
+            f"{folder}/rows",
         )
-    )
-    fitted = models.fit_grades(rows, how, **options)
-    predictions = models.grade_predictions(fitted.model, rows)
-    write_table(predictions, layout, fixed.GRADE_TABLE, sorted_by=KEY_ORDER)
+        fitted = models.fit_grades(rows, how, **options)
+        predictions = models.grade_predictions(fitted.model, rows)
+        write_table(predictions, layout, fixed.GRADE_TABLE, ranged_by=KEY_ORDER)
     capped = capped_count(read_table(spark, layout, fixed.GRADE_TABLE)).first()["n_capped"]
     return GradeReport(fitted.quality, capped)
 
@@ -140,26 +152,27 @@ def build_cohorts(
     grades = cohorts.grade_measures(read_table(spark, layout, fixed.GRADE_TABLE))
     both = ["region", "highest_education"]
 
-    def statistics(measures: cohorts.Measures, counts: tuple[str | None, str | None]):
+    def statistics(measures: cohorts.Measures, counts: tuple[str | None, str | None], path: str):
         if once_per_student:
             return [
                 cohorts.cohort_stats(info, by, measures, count_as, once_per_student=True)
                 for by, count_as in zip(both, counts)
             ]
-        sums = materialise(cohorts.cohort_sums(info, both, measures))
+        sums = materialise(cohorts.cohort_sums(info, both, measures), path)
         return [
             cohorts.roll_up(sums, by, list(measures), count_as)
             for by, count_as in zip(both, counts)
         ]
 
-    frames = [
-        *statistics(risk, ("student_count", None)),
-        *statistics(grades, ("student_count", "student_count")),
-    ]
-    return {
-        name: write_table(frame, layout, name)
-        for name, frame in zip(fixed.COHORT_TABLES, frames)
-    }
+    with intermediate_folder(spark) as folder:
+        frames = [
+            *statistics(risk, ("student_count", None), f"{folder}/risk"),
+            *statistics(grades, ("student_count", "student_count"), f"{folder}/grades"),
+        ]
+        return {
+            name: write_table(frame, layout, name)
+            for name, frame in zip(fixed.COHORT_TABLES, frames)
+        }
 
 
 def overview_view(
@@ -197,9 +210,12 @@ def profile_view(spark: SparkSession, layout: Layout, search: str) -> Profile:
     grades = read_grades(spark, layout, fixed.GRADE_TABLE)
     found = profile.student_lookup(search, engagement, risk, grades)
     known = found.where("lookup_status = 'found'")
+    means = read_optional(spark, layout, fixed.AVERAGES_TABLE)
+    if means is None:
+        means = profile.averages(with_copies(engagement, risk), "copies")
     return Profile(
         found,
-        profile.compared_with_average(known, with_copies(engagement, risk), "copies"),
+        profile.compared_with_average(known, means),
         profile.model_inputs(found),
     )
 

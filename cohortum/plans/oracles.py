@@ -36,7 +36,9 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "graded": (
         (),
         """SELECT o_custkey AS id_student,
-                  SUM(LEAST(GREATEST(l_extendedprice / 1000, 0), 100) * p_size / 100) AS current_gpa
+                  SUM(CASE WHEN o_custkey % 13 <> 0
+                           THEN LEAST(GREATEST(l_extendedprice / 1000, 0), 100) * p_size / 100 END)
+                      AS current_gpa
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey
                 JOIN part ON l_partkey = p_partkey
            GROUP BY o_custkey""",
@@ -45,18 +47,25 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         ("graded", "engagement"),
         """SELECT id_student, current_gpa, CAST(total_clicks AS DOUBLE) AS total_clicks,
                   CAST(days_active AS DOUBLE) AS days_active, engagement_index
-           FROM graded JOIN engagement USING (id_student)""",
+           FROM graded JOIN engagement USING (id_student)
+           WHERE current_gpa IS NOT NULL""",
     ),
     "risk": (
         ("enrolments", "engagement"),
-        """SELECT enrolments.id_student, CAST(share > CAST(0.5 AS FLOAT) AS INTEGER)::DOUBLE AS prediction,
-                  share AS risk_probability
-           FROM enrolments
-                JOIN (SELECT id_student,
-                             CAST(AVG(CASE WHEN final_result = 'F' THEN 1 ELSE 0 END) AS FLOAT)
-                                 AS share
-                      FROM enrolments GROUP BY id_student) AS shares USING (id_student)
-                JOIN engagement USING (id_student)""",
+        """SELECT id_student, CAST(risk > CAST(0.5 AS FLOAT) AS INTEGER)::DOUBLE AS prediction,
+                  risk AS risk_probability
+           FROM (SELECT enrolments.id_student,
+                        CASE WHEN enrolments.id_student % 5 = 1 AND final_result = 'O' THEN NULL
+                             ELSE CAST(share * CASE final_result WHEN 'F' THEN 1.0::DOUBLE
+                                               WHEN 'O' THEN 0.75::DOUBLE ELSE 0.5::DOUBLE END AS FLOAT)
+                        END AS risk
+                 FROM enrolments
+                      JOIN (SELECT id_student,
+                                   CAST(AVG(CASE WHEN final_result = 'F' THEN 1 ELSE 0 END) AS FLOAT)
+                                       AS share
+                            FROM enrolments GROUP BY id_student) AS shares USING (id_student)
+                      JOIN engagement USING (id_student)
+                 WHERE enrolments.id_student % 7 <> 0) AS scored""",
     ),
     "grades": (
         (),
@@ -103,7 +112,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
            FROM customer LEFT JOIN engagement e ON e.id_student = c_custkey
                 LEFT JOIN (SELECT * FROM risk
                            QUALIFY ROW_NUMBER() OVER (PARTITION BY id_student
-                                                      ORDER BY risk_probability DESC) = 1) r
+                                                      ORDER BY risk_probability DESC NULLS LAST,
+                                                               prediction DESC NULLS LAST) = 1) r
                        ON r.id_student = c_custkey
                 LEFT JOIN grades g ON g.id_student = c_custkey""",
     ),
@@ -325,9 +335,10 @@ ORACLES: dict[str, str] = {
         _cohort(
             "region",
             RISK_AVERAGES + ", COUNT(*) AS student_count",
-            "(SELECT DISTINCT id_student, region, risk_probability, engagement_index FROM "
+            "(SELECT id_student, region, AVG(risk_probability) AS risk_probability, "
+            "AVG(engagement_index) AS engagement_index FROM "
             + RISK_JOIN
-            + ")",
+            + " GROUP BY id_student, region)",
         ),
     ),
     "region_gpa_stats": over(
@@ -344,18 +355,46 @@ ORACLES: dict[str, str] = {
         ("engagement",),
         "SELECT *, 0 AS prediction, CAST(0 AS DOUBLE) AS risk_probability FROM engagement",
     ),
-    "good_history_without_grades": "SELECT CAST(0 AS BIGINT) AS matching_rows",
+    "good_history_without_grades": over(
+        ("main",), "SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS matching_rows FROM main"
+    ),
+    "risk_scores": over(
+        ("engagement", "enrolments"),
+        """SELECT id_student, CASE WHEN total_interactions % 8 >= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+                      AS prediction,
+                  CASE WHEN total_interactions % 8 >= 4 THEN 1.0::FLOAT ELSE 0.0::FLOAT END
+                      AS risk_probability
+           FROM engagement JOIN enrolments USING (id_student)""",
+    ),
+    "risk_auc": "SELECT 1.0::DOUBLE AS auc FROM events LIMIT 1",
+    "job_risk": over(
+        ("engagement",),
+        """SELECT id_student, CASE WHEN total_interactions % 8 >= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+                      AS prediction,
+                  CASE WHEN total_interactions % 8 >= 4 THEN 1.0::FLOAT ELSE 0.0::FLOAT END
+                      AS risk_probability
+           FROM engagement""",
+    ),
+    "ingested_activity_text": over(
+        ("activity",), "SELECT 'S-' || id_student AS id_student, id_site, date, sum_click FROM activity"
+    ),
+    "ingested_activity_inferred": over(
+        ("activity",), "SELECT 'S-' || id_student AS id_student, id_site, date, sum_click FROM activity"
+    ),
     "kpi_summary": KEY_FIGURES,
     "engagement_histogram": over(
         ("main",),
-        """SELECT bin, ROUND(ANY_VALUE(low + bin * width), 6) AS bin_start,
-                  ROUND(ANY_VALUE(low + (bin + 1) * width), 6) AS bin_end, COUNT(*) AS row_count
-           FROM (SELECT low, width,
-                        CAST(LEAST(FLOOR((engagement_index - low) / width), 29) AS INTEGER) AS bin
-                 FROM main, (SELECT MIN(engagement_index) AS low,
-                                    (MAX(engagement_index) - MIN(engagement_index)) / 30 AS width
-                             FROM main))
-           GROUP BY bin""",
+        """SELECT CAST(number AS INTEGER) AS bin, ROUND(low + number * width, 6) AS bin_start,
+                  ROUND(low + (number + 1) * width, 6) AS bin_end, COUNT(bin) AS row_count
+           FROM range(30) AS numbers(number)
+                CROSS JOIN (SELECT MIN(engagement_index) AS low,
+                                   (MAX(engagement_index) - MIN(engagement_index)) / 30 AS width
+                            FROM main) AS ends
+                LEFT JOIN (SELECT CAST(LEAST(FLOOR((engagement_index - first) / step), 29) AS INTEGER) AS bin
+                           FROM main, (SELECT MIN(engagement_index) AS first,
+                                              (MAX(engagement_index) - MIN(engagement_index)) / 30 AS step
+                                       FROM main)) AS filled ON bin = number
+           GROUP BY number, low, width""",
     ),
     "high_risk_list": over(
         ("main",),
@@ -437,7 +476,8 @@ ORACLES: dict[str, str] = {
     ),
     "ingested_submissions": """
         SELECT o_custkey AS id_student, l_partkey AS id_assessment,
-               LEAST(l_extendedprice / 1000, 100) AS score, -1 AS date_submitted
+               CASE WHEN o_custkey % 13 <> 0 THEN LEAST(l_extendedprice / 1000, 100) END AS score,
+               -1 AS date_submitted
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "job_engagement": over(("engagement",), "SELECT * FROM engagement"),
     "job_cohorts": over(

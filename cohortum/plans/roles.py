@@ -13,20 +13,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from cohortum.functions.columns import at_risk_label
 from cohortum.operators.cleaning import clean
 from cohortum.operators.engagement import engagement_features
 from cohortum.operators.grades import bounded_grades
-from cohortum.operators.joins import join_per_key
 from cohortum.sources.tables import materialise
 
 POSITIVE = ("F",)
 
-# Schemas by path, so that a footer is looked up once per table and not at every use.
-_SCHEMAS: dict[str, StructType] = {}
-
 
 @dataclass(frozen=True)
 class Roles:
@@ -41,10 +36,7 @@ class Roles:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def activity(self) -> DataFrame:
@@ -96,7 +88,7 @@ class Roles:
             .select(
                 F.col("o_custkey").alias("id_student"),
                 F.col("l_partkey").alias("id_assessment"),
-                (F.col("l_extendedprice") / 1000).alias("score"),
+                F.when(F.col("o_custkey") % 13 != 0, F.col("l_extendedprice") / 1000).alias("score"),
             )
         )
         return clean("studentAssessment", lines)
@@ -119,20 +111,27 @@ class Roles:
 
     @cached_property
     def risk(self) -> DataFrame:
-        """A surrogate score per enrolment of an active student, stored."""
+        """A surrogate score per enrolment of an active student, stored.
+
+        It differs by outcome; some students have none, and some scores are missing.
+        """
         info = self.enrolments
         label = at_risk_label(F.col("final_result"), POSITIVE)
-        share = info.groupBy("id_student").agg(
-            F.avg(label).cast("float").alias("risk_probability")
-        )
-        per_student = (
-            self.stored_engagement.select("id_student")
-            .join(share, "id_student")
-            .withColumn("prediction", (F.col("risk_probability") > 0.5).cast("double"))
-        )
-        return materialise(
-            join_per_key(per_student, info.select("id_student"), "id_student")
+        share = info.groupBy("id_student").agg(F.avg(label).cast("float").alias("_share"))
+        per_student = self.stored_engagement.select("id_student").join(share, "id_student")
+        outcome = F.col("final_result")
+        part = F.when(outcome == "F", 1.0).when(outcome == "O", 0.75).otherwise(0.5)
+        missing = (F.col("id_student") % 5 == 1) & (outcome == "O")
+        scored = (
+            per_student.join(info, "id_student")
+            .where(F.col("id_student") % 7 != 0)
+            .select(
+                "id_student",
+                F.when(~missing, (F.col("_share") * part).cast("float")).alias("risk_probability"),
+            )
         )
+        prediction = (F.col("risk_probability") > F.lit(0.5).cast("float")).cast("double")
+        return materialise(scored.select("id_student", prediction.alias("prediction"), "risk_probability"))
 
     @cached_property
     def grades(self) -> DataFrame:

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Raw texts that mean a missing value, and columns where any other text does too.
+MISSING = ("", "?")
+LENIENT = ("score", "weight")
+
 RAW_TYPES: dict[str, dict[str, T.DataType]] = {
     "studentVle": {
         "id_student": T.LongType(),

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cache
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,27 +36,59 @@ class Layout:
         return f"{self.processed_root.rstrip('/')}/{name}.parquet"
 
 
+def typed(
+    name: str, kind: T.DataType | str, missing: Iterable[str] = schemas.MISSING, strict: bool = True
+) -> Column:
+    """A text column as another type.
+
+    Text that means missing becomes missing. Other text that is no value of the type stops the
+    job and names the column; with ``strict`` off it becomes missing too.
+    """
+    value = F.col(name).try_cast(kind)
+    if not strict:
+        return value.alias(name)
+    message = F.concat(F.lit(f"column {name} holds text that is no {kind}: "), F.col(name))
+    return (
+        F.when(F.col(name).isNull() | F.trim(name).isin(*missing), F.lit(None).cast(kind))
+        .when(value.isNotNull(), value)
+        .otherwise(F.raise_error(message).cast(kind))
+        .alias(name)
+    )
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
     types: Mapping[str, T.DataType | str] | None = None,
     infer: bool = False,
+    missing: Iterable[str] = schemas.MISSING,
+    lenient: Iterable[str] = schemas.LENIENT,
 ) -> DataFrame:
     """Read CSV with a header row.
 
     Only the header is looked at up front; columns named in ``types`` get that type and the
     others stay text, so the data itself is read once. ``infer=True`` lets Spark find all types
-    instead, at the price of a second pass over the files. A field that does not fit its type
-    becomes missing.
+    instead, at the price of a second pass over the files.
+
+    Text listed in ``missing`` is a missing value. In the columns named in ``lenient`` any text
+    that does not fit becomes missing; in all others it stops the job, since a key, day or count
+    must not get lost.
     """
     if infer:
         return spark.read.csv(path, header=True, inferSchema=True)
-    wanted = types or {}
-    schema = T.StructType()
-    for name in spark.read.csv(path, header=True).columns:
-        schema = schema.add(name, wanted.get(name, T.StringType()))
+    wanted, loose = types or {}, set(lenient)
+    names = spark.read.csv(path, header=True).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     # With enforceSchema off, a part file with other column order fails instead of mixing values.
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False, mode="PERMISSIVE")
+    text = spark.read.csv(path, header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
+    return text.select(
+        *(
+            typed(name, wanted[name], missing, name not in loose)
+            if name in wanted and wanted[name] not in ("string", T.StringType())
+            else F.col(name)
+            for name in names
+        )
+    )
 
 
 def read_raw_table(
@@ -82,15 +115,18 @@ def write_table(
     compression: str = "snappy",
     partition_by: Iterable[str] = (),
     sorted_by: Iterable[str] = (),
+    ranged_by: Iterable[str] = (),
 ) -> str:
     """Write a table by name and return its path.
 
     ``sorted_by`` orders the rows inside each file, without a shuffle, so that a later lookup on
-    those columns skips most row groups by their minimum and maximum.
+    those columns skips most row groups by their minimum and maximum. ``ranged_by`` also deals the
+    rows into files by ranges of those columns, so that a lookup opens only the files it needs.
     """
     path = layout.processed(name)
-    order = list(sorted_by)
-    rows = df.sortWithinPartitions(*order) if order else df
+    ranges, order = list(ranged_by), list(sorted_by) or list(ranged_by)
+    rows = df.repartitionByRange(*ranges) if ranges else df
+    rows = rows.sortWithinPartitions(*order) if order else rows
     writer = rows.write.mode(mode).option("compression", compression)
     keys = list(partition_by)
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
@@ -147,12 +183,26 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/cohortum/{uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors and lets several outputs share the work.
+    ``path`` names the folder, for a caller that removes it; see :func:`intermediate_folder`.
     """
     spark = df.sparkSession
-    path = shared_folder(spark)
+    path = path or shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediate_folder(spark: SparkSession) -> Iterator[str]:
+    """A new shared folder for the intermediate tables of a job; it goes when the job ends,
+    also by a failure."""
+    path = shared_folder(spark)
+    try:
+        yield path
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.delete(folder, True)

@@ -12,7 +12,7 @@ from cohortum.operators.grades import (
     grade_rows,
     weighted_grades,
 )
-from cohortum.operators.joins import hot_keys, join_per_key
+from cohortum.operators.joins import left_join
 from cohortum.operators.outcomes import outcome_rows
 from tests import data
 from tests.data import as_set, rows
@@ -89,15 +89,15 @@ def grade_tables(spark):
     return submissions, assessments
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_weighted_grades_either_way(spark, broadcast_rows):
+@pytest.mark.parametrize("hint", ["broadcast", "merge"])
+def test_weighted_grades_either_way(spark, hint):
     submissions, assessments = grade_tables(spark)
     plain = (
         submissions.join(assessments, "id_assessment")
         .groupBy("id_student")
         .agg(F.sum(F.col("score") * F.col("weight") / 100))
     )
-    result = weighted_grades(submissions, assessments, broadcast_rows=broadcast_rows)
+    result = weighted_grades(submissions, assessments.hint(hint))
     assert dict(rows(result)) == pytest.approx(dict(rows(plain)))
     assert dict(rows(result)) == pytest.approx({1: 112.0, 2: None, 3: 120.0, 5: None})
 
@@ -139,21 +139,9 @@ def test_outcome_rows_repeat_features_per_enrolment(spark):
     assert as_set(result) == [(1, 10, 0), (1, 10, 1), (2, 0, 0)]
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_rows", [0, 1, 3, 100, None])
-def test_join_per_key_is_the_plain_join(spark, how, hot_rows):
+def test_left_join_is_the_plain_left_join(spark):
     one = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (4, 40), (None, 50)], "k int, a int")
     many = spark.createDataFrame(
         [(1, i) for i in range(20)] + [(2, 1), (2, 1), (3, 0), (7, 0), (None, 5)], "k int, b int"
     )
-    expected = one.join(many, "k", how)
-    assert as_set(join_per_key(one, many, "k", how, hot_rows)) == as_set(expected)
-
-
-def test_the_number_of_frequent_keys_is_bounded(spark, monkeypatch):
-    many = spark.range(90).select((F.col("id") % 3).alias("k")).unionByName(
-        spark.range(60).select(F.lit(7).cast("long").alias("k"))
-    )
-    assert as_set(hot_keys(many, "k", 10)) == [(0,), (1,), (2,), (7,)]
-    monkeypatch.setattr("cohortum.operators.joins.MOST_HOT_KEYS", 3)
-    assert as_set(hot_keys(many, "k", 10)) == [(7,)]
+    assert as_set(left_join(one, many, "k")) == as_set(one.join(many, "k", "left"))

@@ -89,11 +89,15 @@ def test_risk_model(spark, engagement, labelled, how):
     assert scores.where("prediction <> cast(risk_probability > 0.5 as double)").count() == 0
 
 
-def test_scores_do_not_depend_on_hot_keys(engagement, labelled):
-    model = models.fit_risk(labelled, trees=3).model
-    info = labelled.select("id_student")
-    plain = models.risk_scores(model, engagement, info, hot_rows=None)
-    assert as_set(models.risk_scores(model, engagement, info, hot_rows=1)) == as_set(plain)
+@pytest.mark.parametrize("partitions", [2, 7])
+def test_a_feature_that_decides_the_label_is_learned_in_any_partitions(engagement, partitions):
+    decided = engagement.withColumn("days_active", (F.col("id_student") % 2).cast("bigint"))
+    decided = decided.withColumns({name: F.col("days_active") for name in ("total_clicks", "engagement_index")})
+    rows_of = decided.withColumn("label", F.col("days_active").cast("int")).repartition(partitions)
+    fitted = models.fit_risk(rows_of, trees=5)
+    scores = models.risk_scores(fitted.model, decided, decided.select("id_student"))
+    assert fitted.quality == 1
+    assert scores.where("prediction <> id_student % 2").count() == 0
 
 
 def test_the_same_seed_gives_the_same_forest(engagement, labelled):

@@ -25,10 +25,9 @@ def plain(engagement, risk):
     return engagement.join(risk, "id_student", "left")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100])
-def test_student_rows(tables, hot_rows):
+def test_student_rows(tables):
     engagement, risk, _ = tables
-    result = students.student_rows(engagement, risk, hot_rows)
+    result = students.student_rows(engagement, risk)
     assert as_set(result.select(plain(engagement, risk).columns)) == as_set(plain(engagement, risk))
 
 
@@ -102,12 +101,9 @@ def test_lists_with_more_copies_than_places(spark, tables):
     assert ids == [2] * 5 + [1] * 3
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100])
-def test_good_history(tables, hot_rows):
+def test_good_history(tables):
     engagement, risk, grades = tables
-    result = overview.good_history(
-        engagement, risk, grades, ordered=True, hot_rows=hot_rows
-    ).collect()
+    result = overview.good_history(engagement, risk, grades, ordered=True).collect()
     assert [(r[0], round(r[1], 2)) for r in result] == [(2, 0.1), (2, 0.3)]
     assert result[0].asDict().keys() == set(overview.GOOD_LIST)
 

@@ -9,6 +9,7 @@ from cohortum import fixed_values as fixed
 from cohortum.operators import overview
 from cohortum.operators.engagement import engagement_features
 from cohortum.operators.grades import weighted_grades
+from cohortum.plans.catalogue import QUERIES
 from cohortum.plans.roles import Roles
 from tests import data
 
@@ -19,9 +20,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_product(spark, name):
-    plan = plan_of(contract.queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     for node in ("EvalPython", "InPandas", "InArrow", "Cartesian", "NestedLoop", "Window"):
         assert node not in plan
 
@@ -41,10 +42,11 @@ def test_engagement_reads_four_columns_and_sums_before_each_shuffle(spark):
     assert "props" not in plan and "event_id" not in plan
 
 
-def test_grades_shuffle_the_submissions_once(spark):
-    submissions = spark.createDataFrame([(1, 2, 3.0)], "id_student int, id_assessment int, score double")
-    assessments = spark.createDataFrame([(2, 3.0)], "id_assessment int, weight double")
-    plan = plan_of(weighted_grades(submissions, assessments))
+def test_grades_shuffle_the_submissions_once(spark, tmp_path):
+    """Assessments that are small by their measured size are broadcast."""
+    spark.range(50).selectExpr("id AS id_student", "id AS id_assessment", "1.0D AS score").write.parquet(f"{tmp_path}/s")
+    spark.range(50).selectExpr("id AS id_assessment", "1.0D AS weight").write.parquet(f"{tmp_path}/a")
+    plan = plan_of(weighted_grades(*(spark.read.parquet(f"{tmp_path}/{name}") for name in "sa")))
     facts = plan.split("BroadcastExchange")[0]
     assert facts.count("Exchange") == 1 and "partial_sum" in facts
 
@@ -58,7 +60,7 @@ def test_limits_reach_the_scans(spark, tmp_path):
     }.items():
         frame.write.parquet(f"{tmp_path}/{name}")
         stored.append(spark.read.parquet(f"{tmp_path}/{name}"))
-    plan = plan_of(overview.good_history(*stored, fixed.GOOD_HISTORY))
+    plan = plan_of(overview.good_history_list(*stored, fixed.GOOD_HISTORY))
     for pushed in (
         "LessThanOrEqual(risk_probability,0.3)",
         "GreaterThanOrEqual(predicted_gpa,70.0)",
@@ -95,7 +97,7 @@ def test_a_frequent_assessment_is_split(spark):
             F.rand(1).alias("score"),
         )
         assessments = spark.range(1000).select(F.col("id").alias("id_assessment"), F.lit(1.0).alias("weight"))
-        result = weighted_grades(submissions, assessments, broadcast_rows=0)
+        result = weighted_grades(submissions, assessments)
         assert len(result.collect()) == 60_000
         assert "skew=true" in plan_of(result)
     finally:

@@ -92,7 +92,7 @@ def test_comparison_counts_copies_in_the_average(tables):
     engagement, risk, _ = tables
     found = profile.student_lookup("2", *tables)
     population = students.with_copies(engagement, risk)
-    compared = profile.compared_with_average(found, population, "copies")
+    compared = profile.compared_with_average(found, profile.averages(population, "copies"))
     assert {r["metric"]: (r["student"], r["average"]) for r in compared.collect()} == {
         "Engagement": (pytest.approx(12.2), pytest.approx((3 * 7.6 + 12.2 + 16.8) / 5)),
         "Total Clicks": (20.0, pytest.approx(16.0)),

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -115,9 +117,52 @@ def test_materialise_cuts_the_lineage(spark):
     assert "Range" not in stored._jdf.queryExecution().toString()
 
 
-def test_shared_folder_follows_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    assert before is None or tables.shared_folder(spark).startswith(before)
+def test_shared_folder_follows_the_session():
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"}.get(name, default)
+
+    class Session:
+        conf = Conf()
+
+    first, second = (tables.shared_folder(Session()) for _ in range(2))
+    assert first.startswith("hdfs:///shared/cohortum/") and first != second
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_intermediate_folders_go_with_their_job(spark, tmp_path, fails):
+    kept = []
+    try:
+        with tables.intermediate_folder(spark) as folder:
+            kept.append(folder)
+            assert tables.materialise(spark.range(3), f"{folder}/a").count() == 3
+            if fails:
+                raise RuntimeError
+    except RuntimeError:
+        pass
+    assert not os.path.exists(kept[0].removeprefix("file:"))
+
+
+@pytest.mark.parametrize(
+    "line, column", [("A1,3,4", "id_student"), ("1,2024-01-05,4", "date"), ("1,3,4.5", "sum_click")]
+)
+def test_a_value_that_would_be_lost_stops_the_job(spark, layout, line, column):
+    write_csv(layout, "studentVle", f"id_student,date,sum_click\n1,2,3\n{line}\n")
+    with pytest.raises((PySparkException, Py4JJavaError), match=column):
+        tables.read_raw_table(spark, layout, "studentVle").collect()
+
+
+def test_written_ranges_do_not_overlap(spark, layout, tmp_path):
+    rows = spark.range(2000).select((F.col("id") * 7919 % 2000).alias("k"), F.rand(1).alias("x"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tables.write_table(rows, layout, "t", ranged_by=["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    stored = tables.read_table(spark, layout, "t").groupBy(F.input_file_name()).agg(F.min("k"), F.max("k"))
+    ends = sorted((r[1], r[2]) for r in stored.collect())
+    assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
 
 
 def test_cluster_must_name_a_shared_folder():
