@@ -150,9 +150,15 @@ def fit(docs: DataFrame) -> bytes:
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (
-        rows.withColumn("place", F.row_number().over(by_hash))
+    # Chosen by identifier and language alone; no more than LANGUAGES * DOCS rows to broadcast.
+    chosen = (
+        rows.select("doc_id", "lang").withColumn("place", F.row_number().over(by_hash))
         .where(F.col("place") <= DOCS)
+        .orderBy("lang", "place").limit(LANGUAGES * DOCS)
+        .select("doc_id", "lang").distinct()
+    )
+    sample = (
+        rows.join(F.broadcast(chosen), ["doc_id", "lang"])
         .select("lang", F.explode(F.split("text", r"\s+")).alias("word"))
         .where("word <> ''")
     )

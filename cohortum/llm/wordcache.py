@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from weakref import WeakSet
 
 # Between two characters that are no white space a space always starts a new piece of text.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
@@ -16,14 +17,32 @@ TOGETHER = 8 << 20
 
 
 class Words:
-    """Bytes per word, from a function that works them out for a list of words."""
-
-    def __init__(self, compute: Callable[[list[str]], list[bytes | None]], most: int = 700_000):
-        self.compute, self.most = compute, most
+    """Bytes per word, from a function that works them out for a list of words.
+
+    Memories of one ``family`` serve the same step. When another step uses a worker, what earlier
+    steps remembered there is dropped.
+    """
+
+    alive: WeakSet[Words] = WeakSet()
+    in_use: object = None
+
+    def __init__(
+        self,
+        compute: Callable[[list[str]], list[bytes | None]],
+        most: int = 600_000,
+        family: object = None,
+    ):
+        self.compute, self.most, self.family = compute, most, family or self.__class__.__name__ + str(id(self))
         self.known: dict[str, bytes | None] = {}
+        Words.alive.add(self)
 
     def learn(self, rows: list[list[str]]) -> Callable[[str], bytes | None]:
         """Make all words of ``rows`` known and return the lookup."""
+        if Words.in_use != self.family:
+            Words.in_use = self.family
+            for other in Words.alive:
+                if other.family != self.family:
+                    other.known = {}
         new = set().union(*rows)
         if len(self.known) + len(new) > self.most:
             self.known = {}
