@@ -26,8 +26,10 @@ class WordwiseEncoder:
 
     def __init__(self, leading_space: bool):
         self.leading_space = leading_space
-        self.parts = Words(self.encoded)
-        self.first, self.later = Words(self.encoded, 50_000), Words(self.after_space)
+        family = f"encoder {id(self)}"
+        self.parts = Words(self.encoded, family=family)
+        self.first = Words(self.encoded, 50_000, family)
+        self.later = Words(self.after_space, family=family)
 
     def encoded(self, words: list[str]) -> list[bytes]:
         """Ids of any texts."""
