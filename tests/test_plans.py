@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from cohortum import fixed_values as fixed
 from cohortum.operators import overview
 from cohortum.operators.engagement import engagement_features
 from cohortum.operators.grades import weighted_grades
+from cohortum.operators.outcomes import outcome_rows
+from cohortum.operators.students import student_rows
 from cohortum.plans.catalogue import QUERIES
 from cohortum.plans.roles import Roles
 from tests import data
@@ -74,32 +78,55 @@ def test_lists_are_taken_as_top_rows(spark):
     assert plan.count("TakeOrderedAndProject") == 2
 
 
-def test_a_frequent_assessment_is_split(spark):
-    """With many assessments the join is shuffled, in a form that adaptive execution can split."""
-    from pyspark.sql import functions as F
-
+@pytest.fixture
+def small_partitions(spark):
+    """Settings under which small data is shuffled and split like large data."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
         "spark.sql.shuffle.partitions": "16",
     }
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        rows = spark.range(0, 60_000, 1, 8)
-        frequent = F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 1000)
-        submissions = rows.select(
-            F.col("id").alias("id_student"),
-            frequent.alias("id_assessment"),
-            F.rand(1).alias("score"),
-        )
-        assessments = spark.range(1000).select(F.col("id").alias("id_assessment"), F.lit(1.0).alias("weight"))
-        result = weighted_grades(submissions, assessments)
-        assert len(result.collect()) == 60_000
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def frequent(spark, key: str, *columns: str) -> DataFrame:
+    """Rows of which half have the key 5."""
+    rows = spark.range(0, 60_000, 1, 8)
+    value = F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 1000)
+    return rows.select(value.alias(key), *(F.expr(column) for column in columns))
+
+
+def active(spark) -> DataFrame:
+    return spark.range(1000).selectExpr(
+        "id AS id_student", "10L AS total_clicks", "9L AS days_active", "1L AS total_interactions",
+        "CAST(id AS DOUBLE) AS engagement_index",
+    )
+
+
+def test_a_frequent_assessment_is_split(spark, small_partitions):
+    submissions = frequent(spark, "id_assessment", "id AS id_student", "rand(1) AS score")
+    assessments = spark.range(1000).select(F.col("id").alias("id_assessment"), F.lit(1.0).alias("weight"))
+    result = weighted_grades(submissions, assessments)
+    assert len(result.collect()) == 60_000
+    assert "skew=true" in plan_of(result)
+
+
+def test_a_student_with_very_many_rows_is_split(spark, small_partitions):
+    info = frequent(spark, "id_student", "IF(rand(1) < 0.5, 'Fail', 'Pass') AS final_result")
+    risk = frequent(spark, "id_student", "CAST(rand(2) / 10 AS FLOAT) AS risk_probability", "rand(3) AS prediction")
+    grades = spark.range(1000).selectExpr("id AS id_student", "80.0D AS predicted_gpa")
+    for result in (
+        outcome_rows(active(spark), info),
+        student_rows(active(spark), risk),
+        overview.good_history(active(spark), risk, grades),
+    ):
+        assert len(result.collect()) >= 60_000
         assert "skew=true" in plan_of(result)
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
