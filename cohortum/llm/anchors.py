@@ -1,43 +1,43 @@
-"""Candidate windows for exact substring matches, found by shared anchors.
+"""Exact substring matches between documents, found by shared anchors.
 
 A window is ``WINDOW`` consecutive symbols (bytes or word hashes) of one document. Its anchor is
 the gram of ``GRAM`` symbols in it with the smallest hash, so equal windows have equal anchors, and
 neighbouring windows mostly share theirs: a run of windows with the same anchor is a segment.
-Documents are dealt into batches of bounded size. A batch sends its distinct anchors, as packed
-hashes, to buckets; a bucket answers with a bit for each that says whether a second document has
-it too. Only segments with such an anchor go on. That loses nothing: a window whose anchor no
-other document has occurs in no other document.
 
-Segments meet by anchor, identical ones combined first. An anchor with more than ``CROWDED``
-different segments would make a large group; there each window becomes a segment of its own and
-meets others by its whole content instead.
+Documents are dealt once into batches of bounded size. A batch sends its distinct anchors, as
+packed hashes, to buckets; a bucket answers whether a second document has an anchor, and whether
+it is crowded. Only segments with a shared anchor go on, each once per batch, to the shard of their
+anchor. That loses nothing: a window whose anchor no other document has occurs in no other
+document. A shard says for runs of a segment's windows which smallest document has them, and the
+batches take out what an earlier document has. All three steps read the same exchange of texts.
+
+An anchor with more than ``CROWDED`` different segments in all batches would make a large group;
+each window of those is a segment of its own instead, and goes where its whole content says.
 
 Documents without identifier are compared with nothing and keep all they have.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortum.llm.common import blocks
-from cohortum.sources.tables import materialise, shared_folder
 
 WINDOW, GRAM, PIECE, LONGEST = 50, 16, 1 << 17, 64
-BATCH_BYTES, CROWDED, SHARD_SEGMENTS = 12 << 20, 2000, 20_000
+BATCH_BYTES, CROWDED, SHARDS_PER_BATCH = 12 << 20, 2000, 6
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-SENT = "bucket int, batch int, hashes binary, several binary"
-ANSWER = "batch int, bucket int, shared binary"
-FOUND = (
-    "kind string, row bigint, doc_id bigint, text string, "
-    "start bigint, windows int, anchor bigint, segment bigint, content binary"
-)
+SENT = "bucket int, batch int, hashes binary, counts binary"
+ANSWER = "batch int, bucket int, shared binary, crowded binary"
+SEGMENTS = "part int, batch int, single boolean, packed binary"
+FIRSTS = "batch int, anchor bigint, segment bigint, single boolean, low int, high int, first bigint"
 # Symbols of a batch: all of them in order, and where each document ends.
 Symbols = Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
 
@@ -100,12 +100,15 @@ def segments_of(symbols: np.ndarray, ends: np.ndarray, usable: np.ndarray) -> di
 
 
 def distinct_anchors(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct anchors, the place of each segment's, and whether two documents have it."""
+    """Sorted distinct anchors, the place of each segment's, and a count for each: twice the
+    number of different segments, and one more if two documents have it."""
     anchors, place = np.unique(found["anchor"], return_inverse=True)
     least, most = np.full(len(anchors), 2**62), np.full(len(anchors), -1)
     np.minimum.at(least, place, found["document"])
     np.maximum.at(most, place, found["document"])
-    return anchors, place, most > least
+    _, once = np.unique(found["segment"], return_index=True)
+    different = np.bincount(place[once], minlength=len(anchors))
+    return anchors, place, (2 * np.minimum(different, 2**14) + (most > least)).astype("<u2")
 
 
 def bucket_of(anchors: np.ndarray, buckets: int) -> np.ndarray:
@@ -121,7 +124,7 @@ def send(batch: pa.Table, symbols: Symbols, buckets: int) -> pa.Table:
     batch = in_order(batch)
     usable = batch["doc_id"].is_valid().to_numpy()
     found = segments_of(*symbols(batch["text"].to_pylist()), usable)
-    anchors, _, several = distinct_anchors(found)
+    anchors, _, counts = distinct_anchors(found)
     cuts = np.searchsorted(bucket_of(anchors, buckets), np.arange(buckets + 1))
     packed = np.ascontiguousarray(anchors.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
     held = np.flatnonzero(np.diff(cuts))
@@ -130,190 +133,191 @@ def send(batch: pa.Table, symbols: Symbols, buckets: int) -> pa.Table:
         [
             pa.array(held, pa.int32()), pa.array([number] * len(held), pa.int32()),
             pa.array([packed[cuts[i] : cuts[i + 1]].tobytes() for i in held], pa.binary()),
-            pa.array([np.packbits(several[cuts[i] : cuts[i + 1]]).tobytes() for i in held], pa.binary()),
+            pa.array([counts[cuts[i] : cuts[i + 1]].tobytes() for i in held], pa.binary()),
         ],
-        ["bucket", "batch", "hashes", "several"],
+        ["bucket", "batch", "hashes", "counts"],
     )
 
 
 def answer(bucket: pa.Table) -> pa.Table:
-    """Which of each batch's anchors a second document has."""
-    lists, flags = [], []
-    for raw, several in zip(bucket["hashes"].to_pylist(), bucket["several"].to_pylist()):
+    """Which of each batch's anchors a second document has, and which are crowded."""
+    lists = []
+    for raw in bucket["hashes"].to_pylist():
         six = np.frombuffer(raw, np.uint8).reshape(-1, 6)
         eight = np.zeros((len(six), 8), np.uint8)
         eight[:, :6] = six
         lists.append(eight.view("<u8").ravel())
-        flags.append(np.unpackbits(np.frombuffer(several, np.uint8), count=len(six)).astype(bool))
+    counts = np.concatenate([np.frombuffer(raw, "<u2") for raw in bucket["counts"].to_pylist()])
     values, place, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     shared = times > 1
-    shared[place[np.concatenate(flags)]] = True
+    shared[place[(counts & 1).astype(bool)]] = True
+    crowded = np.bincount(place, counts >> 1, minlength=len(values)) > CROWDED
     ends = np.cumsum([len(x) for x in lists])
-    bits = [np.packbits(shared[p]).tobytes() for p in np.split(place, ends[:-1])]
+    bits = lambda flags: [np.packbits(flags[p]).tobytes() for p in np.split(place, ends[:-1])]
     return pa.table(
-        [bucket["batch"].cast(pa.int32()), bucket["bucket"].cast(pa.int32()), pa.array(bits, pa.binary())],
-        ["batch", "bucket", "shared"],
+        [
+            bucket["batch"].cast(pa.int32()), bucket["bucket"].cast(pa.int32()),
+            pa.array(bits(shared), pa.binary()), pa.array(bits(crowded), pa.binary()),
+        ],
+        ["batch", "bucket", "shared", "crowded"],
     )
 
 
-def find(batch: pa.Table, answers: pa.Table, symbols: Symbols, buckets: int) -> pa.Table:
-    """Segments of shared anchors, and the texts of the documents that have or have not any."""
-    schema = pa.schema(
-        [
-            ("kind", pa.string()), ("row", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string()),
-            ("start", pa.int64()), ("windows", pa.int32()), ("anchor", pa.int64()),
-            ("segment", pa.int64()), ("content", pa.binary()),
+def signed(x: np.ndarray) -> np.ndarray:
+    return x.view(np.int64) if x.dtype == np.uint64 else x
+
+
+def windows_of(found: dict[str, np.ndarray], symbols: np.ndarray) -> dict[str, np.ndarray]:
+    """Each window of the segments as a segment of its own, named by its content."""
+    counts = found["windows"]
+    owner = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    start, names = found["start"][owner] + place, []
+    factors = powers(int(BASE), WINDOW)[1:]
+    for low in range(0, len(start), 1 << 14):
+        some = symbols[start[low : low + (1 << 14), None] + np.arange(WINDOW)].astype(np.uint64)
+        names.append(mixed((some * factors).sum(axis=1, dtype=np.uint64)))
+    return {
+        "start": start, "windows": np.ones(len(start), dtype=np.int64), "anchor": found["anchor"][owner],
+        "segment": np.concatenate(names) if names else np.zeros(0, np.uint64), "document": found["document"][owner],
+    }
+
+
+def gathered(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Pieces of a sequence, one after the other."""
+    shift = starts - (np.cumsum(sizes) - sizes)
+    return symbols[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
+
+
+def told(
+    found: dict[str, np.ndarray], symbols: np.ndarray, docs: np.ndarray, batch: int, single: bool, parts: int
+) -> pa.Table:
+    """The different segments of a batch, with the smallest and largest document that has each.
+
+    A row holds all segments for a part of the shards: lengths, documents and contents, packed.
+    """
+    _, first, place = np.unique(found["segment"], return_index=True, return_inverse=True)
+    least, most = np.full(len(first), 2**63 - 1), np.full(len(first), -(2**63))
+    np.minimum.at(least, place, docs[found["document"]])
+    np.maximum.at(most, place, docs[found["document"]])
+    part = bucket_of(mixed(found["segment" if single else "anchor"][first]), parts)
+    order = np.argsort(part, kind="stable")
+    first, least, most = first[order], least[order], most[order]
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    held, out = np.flatnonzero(np.diff(cuts)), []
+    press = zstandard.ZstdCompressor(level=1)
+    for at in held:
+        own = slice(cuts[at], cuts[at + 1])
+        counts = found["windows"][first[own]]
+        content = gathered(symbols, found["start"][first[own]], counts + WINDOW - 1)
+        anchors = found["anchor"][first[own]] if single else np.zeros(0, np.uint64)
+        fields = [
+            np.array([len(counts)], "<u4"), counts.astype(np.uint8), least[own], most[own] - least[own], anchors,
+            np.ascontiguousarray(content),
         ]
-    )
-    if not batch.num_rows:
-        return schema.empty_table()
-    batch = in_order(batch)
-    texts = batch["text"].to_pylist()
-    usable = batch["doc_id"].is_valid().to_numpy()
-    all_symbols, ends = symbols(texts)
-    found = segments_of(all_symbols, ends, usable)
-    anchors, place, _ = distinct_anchors(found)
-    cuts = np.searchsorted(bucket_of(anchors, buckets), np.arange(buckets + 1))
-    shared = np.zeros(len(anchors), dtype=bool)
-    for bucket, bits in zip(answers["bucket"].to_pylist(), answers["shared"].to_pylist()):
-        low, high = cuts[bucket], cuts[bucket + 1]
-        shared[low:high] = np.unpackbits(np.frombuffer(bits, np.uint8), count=high - low)
-    kept = np.flatnonzero(shared[place])
-    found = {name: values[kept] for name, values in found.items()}
-    rows = (batch["batch"][0].as_py() << 32) + np.arange(batch.num_rows, dtype=np.int64)
-    with_any = np.zeros(batch.num_rows, dtype=bool)
-    with_any[found["document"]] = True
-    # Contents, once for each distinct segment of the batch; documents are in ascending order.
-    _, first = np.unique(found["segment"], return_index=True)
-    told = np.zeros(len(kept), dtype=bool)
-    told[first] = True
-    sizes = np.where(told, found["windows"] + WINDOW - 1, 0)
-    total = int(sizes.sum())
-    at = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(found["start"], sizes)
-    width = all_symbols.dtype.itemsize
-    offsets = (np.concatenate([[0], np.cumsum(sizes)]) * width).astype(np.int32)
-    contents = pa.BinaryArray.from_buffers(
-        pa.binary(), len(kept),
-        [pa.py_buffer(np.packbits(told, bitorder="little").tobytes()), pa.py_buffer(offsets.tobytes()),
-         pa.py_buffer(np.ascontiguousarray(all_symbols[at]).tobytes())],
-    )
-    doc_ids = batch["doc_id"].combine_chunks()
-    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    signed = lambda x: pa.array(x.view(np.int64) if x.dtype == np.uint64 else x)
-    empty = lambda kind, n: pa.nulls(n, kind)
-    n, m = len(kept), batch.num_rows
-    runs = pa.table(
-        [
-            pa.array(["run"] * n, pa.string()), pa.array(rows[found["document"]]),
-            doc_ids.take(pa.array(found["document"])), empty(pa.string(), n),
-            pa.array(found["start"] - begins[found["document"]]), pa.array(found["windows"].astype(np.int32)),
-            signed(found["anchor"]), signed(found["segment"]), contents,
-        ],
-        schema=schema,
-    )
-    documents = pa.table(
+        out.append(press.compress(b"".join(x.tobytes() for x in fields)))
+    return pa.table(
         [
-            pa.array(np.where(with_any, "some", "none").tolist(), pa.string()), pa.array(rows), doc_ids,
-            batch["text"].combine_chunks(), *(empty(schema.field(i).type, m) for i in range(4, 9)),
+            pa.array(held, pa.int32()), pa.array([batch] * len(held), pa.int32()),
+            pa.array([single] * len(held), pa.bool_()), pa.array(out, pa.binary()),
         ],
-        schema=schema,
+        [x.split(" ")[0] for x in SEGMENTS.split(", ")],
     )
-    return pa.concat_tables([runs, documents])
 
 
-def batches_of(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Documents with the number of their batch, and how many batches there are."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = blocks(size, BATCH_BYTES)
-    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).cast("int")
-    return rows.withColumn("batch", number), count
+def unpacked(row: dict, kind: type) -> dict[str, np.ndarray]:
+    """The segments of a row of ``told``."""
+    raw, at = zstandard.ZstdDecompressor().decompress(row["packed"]), 4
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    out = {}
+    for name, dtype, size in (
+        ("windows", np.uint8, n), ("first", np.int64, n), ("last", np.int64, n),
+        ("anchor", np.uint64, n if row["single"] else 0),
+    ):
+        out[name] = np.frombuffer(raw, dtype, size, at)
+        at += size * np.dtype(dtype).itemsize
+    out["content"] = np.frombuffer(raw, kind, offset=at)
+    out["last"] = out["last"] + out["first"]
+    out["anchor"] = out["anchor"] if row["single"] else np.zeros(n, np.uint64)
+    return out | {"batch": np.full(n, row["batch"]), "single": np.full(n, row["single"])}
 
 
-def found_segments(docs: DataFrame, symbols: Symbols) -> DataFrame:
-    """A stored table of segments with shared anchors (kind ``run``) and of all documents."""
-    rows, count = batches_of(docs)
-    answers = (
-        rows.groupBy("batch").applyInArrow(lambda t: send(t, symbols, count), SENT)
-        .groupBy("bucket").applyInArrow(answer, ANSWER)
-    )
-    found = rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        lambda t, a: find(t, a, symbols, count), FOUND
-    )
-    path = shared_folder(docs.sparkSession)
-    found.write.partitionBy("kind").option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(FOUND).parquet(path)
-
-
-def single_windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Each window of a segment as a segment of its own, met by its whole content."""
-    for batch in batches:
-        owners, places, contents, docs = [], [], [], []
-        for at, raw in enumerate(batch["content"].to_pylist()):
-            for place in range(len(raw) // width - WINDOW + 1):
-                owners.append(at)
-                places.append(place)
-                contents.append(raw[place * width : (place + WINDOW) * width])
-        index = pa.array(owners, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["anchor"].take(index), batch["segment"].take(index), pa.array(places, pa.int32()),
-                pa.array(contents, pa.binary()), batch["first"].take(index),
-            ],
-            ["anchor", "segment", "place", "content", "first"],
-        )
-
-
-FIRSTS = "anchor bigint, segment bigint, low int, high int, first bigint"
-
-
-def earliest_documents(found: DataFrame, core: Callable[[pa.Table], pa.Table], width: int) -> DataFrame:
-    """For runs of windows of every distinct segment, the smallest document that has them.
-
-    ``core`` works that out for a group of segments (anchor, segment, content, first) that holds
-    all segments of its anchors.
-    """
-    distinct = materialise(
-        found.where("kind = 'run' AND content IS NOT NULL")
-        .groupBy("anchor", "segment", "content").agg(F.min("doc_id").alias("first"))
-    )
-    crowded = materialise(
-        distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("anchor")
-    )
-    shards = blocks(distinct.count(), SHARD_SEGMENTS)
-    shard = lambda *c: F.pmod(F.xxhash64(*c), F.lit(shards)).cast("int")
-    usual = (
-        distinct.join(crowded, "anchor", "left_anti").withColumn("shard", shard("anchor"))
-        .groupBy("shard").applyInArrow(core, FIRSTS)
-    )
-    many = distinct.join(crowded, "anchor", "left_semi").mapInArrow(
-        lambda it: single_windows(it, width),
-        "anchor bigint, segment bigint, place int, content binary, first bigint",
-    )
-    many = materialise(many)
-    # The same windows of different segments, combined, are segments named by their content.
-    windows = (
-        many.groupBy("content").agg(F.min("first").alias("first"))
-        .select(F.xxhash64("content").alias("anchor"), F.xxhash64("content").alias("segment"), "content", "first")
-        .withColumn("shard", shard("anchor"))
-        .groupBy("shard").applyInArrow(core, FIRSTS)
-        .select(F.col("segment").alias("window"), F.col("first").alias("earliest"))
-    )
-    single = (
-        many.select("anchor", "segment", "place", F.xxhash64("content").alias("window"))
-        .join(materialise(windows), "window")
-        .select("anchor", "segment", F.col("place").alias("low"), (F.col("place") + 1).alias("high"), F.col("earliest").alias("first"))
-    )
-    return usual.unionByName(single)
+def document_numbers(batch: pa.Table) -> np.ndarray:
+    return batch["doc_id"].fill_null(0).to_numpy()
 
 
-def removed_intervals(found: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Symbols [low, high) of each row's document that an earlier document has in a window."""
-    runs = found.where("kind = 'run'").select("row", "doc_id", "start", "anchor", "segment")
-    return (
-        runs.join(materialise(firsts), ["anchor", "segment"])
-        .where(F.col("first") < F.col("doc_id"))
-        .select("row", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high") + WINDOW - 1).alias("high"))
+def find(batch: pa.Table, answers: pa.Table, symbols: Symbols, buckets: int) -> pa.Table:
+    """The different segments of a batch whose anchor is shared."""
+    if not batch.num_rows:
+        names = [x.split(" ")[0] for x in SEGMENTS.split(", ")]
+        kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+        return pa.schema(list(zip(names, kinds))).empty_table()
+    batch = in_order(batch)
+    all_symbols, ends = symbols(batch["text"].to_pylist())
+    found = segments_of(all_symbols, ends, batch["doc_id"].is_valid().to_numpy())
+    anchors, place, _ = distinct_anchors(found)
+    cuts = np.searchsorted(bucket_of(anchors, buckets), np.arange(buckets + 1))
+    shared, crowded = np.zeros(len(anchors), dtype=bool), np.zeros(len(anchors), dtype=bool)
+    for bucket, *bits in zip(*(answers[c].to_pylist() for c in ("bucket", "shared", "crowded"))):
+        low, high = cuts[bucket], cuts[bucket + 1]
+        for flags, raw in zip((shared, crowded), bits):
+            flags[low:high] = np.unpackbits(np.frombuffer(raw, np.uint8), count=high - low)
+    pick = lambda flags: {name: values[flags[place]] for name, values in found.items()}
+    docs, number = document_numbers(batch), batch["batch"][0].as_py()
+    parts = SHARDS_PER_BATCH * buckets
+    usual = told(pick(shared & ~crowded), all_symbols, docs, number, False, parts)
+    single = told(windows_of(pick(shared & crowded), all_symbols), all_symbols, docs, number, True, parts)
+    return pa.concat_tables([usual, single])
+
+
+def names_of(content: np.ndarray, windows: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """The hashes of segments, as their batches name them."""
+    sizes = windows.astype(np.int64) + WINDOW - 1
+    starts = np.cumsum(sizes) - sizes
+    place, symbols = np.arange(len(content)) - np.repeat(starts, sizes), content.astype(np.uint64)
+    down, up = powers(int(INVERSE), WINDOW + LONGEST), powers(int(BASE), WINDOW + LONGEST)
+    usual = np.add.reduceat(symbols * down[place], starts) + windows.astype(np.uint64)
+    return mixed(np.where(single, np.add.reduceat(symbols * up[place + 1], starts), usual))
+
+
+def runs_of_equal(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Owner, first place, end and value of runs of windows with the same value.
+
+    ``counts``: how many windows each owner has.
+    """
+    owner = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    fresh = np.concatenate([[True], (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])])
+    at = np.flatnonzero(fresh)
+    return owner[at], place[at], place[at] + np.diff(np.append(at, len(values))), values[at]
+
+
+def earliest(shard: pa.Table, kind: type, core: Callable) -> pa.Table:
+    """Runs of windows with an earlier document, for each batch that has a later one."""
+    rows = [unpacked(row, kind) for row in shard.to_pylist()]
+    told_ = {name: np.concatenate([row[name] for row in rows]) for name in rows[0]}
+    names = names_of(told_["content"], told_["windows"], told_["single"])
+    # Each segment once, with its smallest document.
+    segments, once, place = np.unique(names, return_index=True, return_inverse=True)
+    docs = np.full(len(once), 2**63 - 1)
+    np.minimum.at(docs, place, told_["first"])
+    sizes = told_["windows"].astype(np.int64) + WINDOW - 1
+    content = gathered(told_["content"], (np.cumsum(sizes) - sizes)[once], sizes[once])
+    counts = told_["windows"][once].astype(np.int64)
+    owner, low, high, first = runs_of_equal(core(content, sizes[once], docs), counts)
+    begins = np.searchsorted(owner, np.arange(len(once) + 1))
+    many = begins[place + 1] - begins[place]
+    row = np.repeat(np.arange(len(place)), many)
+    run = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + begins[place][row]
+    later = first[run] < told_["last"][row]
+    row, run = row[later], run[later]
+    return pa.table(
+        [
+            pa.array(told_["batch"][row], pa.int32()), pa.array(signed(told_["anchor"][row])),
+            pa.array(signed(names[row])), pa.array(told_["single"][row]), pa.array(low[run].astype(np.int32)),
+            pa.array(high[run].astype(np.int32)), pa.array(first[run]),
+        ],
+        [x.split(" ")[0] for x in FIRSTS.split(", ")],
     )
 
 
@@ -328,26 +332,66 @@ def merged(lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return lows[fresh], reach[last]
 
 
-def with_removals(found: DataFrame, intervals: DataFrame, finish: Callable, schema: str) -> DataFrame:
-    """``finish(doc_ids, texts, removals)`` over all documents; a removal is lows and highs."""
-    nothing = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch["text"].to_pylist()
-            yield finish(batch["doc_id"], texts, [nothing] * len(texts))
-
-    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = [merged(np.array(a or [], np.int64), np.array(b or [], np.int64)) for a, b in zip(batch["lows"].to_pylist(), batch["highs"].to_pylist())]
-            yield finish(batch["doc_id"], batch["text"].to_pylist(), spans)
-
-    # A document has at most one interval for each of its segments.
-    lists = intervals.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans")
-    ).select("row", F.col("spans.low").alias("lows"), F.col("spans.high").alias("highs"))
-    some = found.where("kind = 'some'").select("row", "doc_id", "text").join(lists, "row", "left")
-    none = found.where("kind = 'none'").select("doc_id", "text")
-    return none.mapInArrow(untouched, schema).unionByName(
-        some.select("doc_id", "text", "lows", "highs").mapInArrow(touched, schema)
+def removed(found: dict[str, np.ndarray], firsts: pa.Table, docs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Document, first and end symbol of what an earlier document has."""
+    names = firsts["segment"].to_numpy().view(np.uint64)
+    order = np.argsort(names, kind="stable")
+    names = names[order]
+    low, high, first = (firsts[c].to_numpy()[order] for c in ("low", "high", "first"))
+    begins, ends = (np.searchsorted(names, found["segment"], side=side) for side in ("left", "right"))
+    counts = ends - begins
+    at = np.repeat(np.arange(len(counts)), counts)
+    run = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + begins[at]
+    earlier = first[run] < docs[found["document"][at]]
+    at, run = at[earlier], run[earlier]
+    return found["document"][at], found["start"][at] + low[run], found["start"][at] + high[run] + WINDOW - 1
+
+
+def take_out(batch: pa.Table, firsts: pa.Table, symbols: Symbols, finish: Callable) -> pa.Table:
+    """``finish`` over the documents of a batch and what to remove from each."""
+    if not batch.num_rows:
+        return pa.Table.from_batches([finish(batch["doc_id"].combine_chunks(), [], [])])
+    batch = in_order(batch)
+    texts = batch["text"].to_pylist()
+    all_symbols, ends = symbols(texts)
+    found, docs = segments_of(all_symbols, ends, batch["doc_id"].is_valid().to_numpy()), document_numbers(batch)
+    single = firsts["single"].to_numpy(zero_copy_only=False).astype(bool)
+    crowded = np.isin(found["anchor"], firsts.filter(pa.array(single))["anchor"].to_numpy().view(np.uint64))
+    parts = [removed({k: v[~crowded] for k, v in found.items()}, firsts.filter(pa.array(~single)), docs)]
+    if crowded.any():
+        apart = windows_of({k: v[crowded] for k, v in found.items()}, all_symbols)
+        parts.append(removed(apart, firsts.filter(pa.array(single)), docs))
+    document, low, high = map(np.concatenate, zip(*parts))
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    low, high = low - begins[document], high - begins[document]
+    order = np.argsort(document, kind="stable")
+    cuts = np.searchsorted(document[order], np.arange(batch.num_rows + 1))
+    removals = [merged(low[order[a:b]], high[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.Table.from_batches([finish(batch["doc_id"].combine_chunks(), texts, removals)])
+
+
+def later_copies_removed(
+    docs: DataFrame, symbols: Symbols, kind: type, core: Callable, finish: Callable, schema: str
+) -> DataFrame:
+    """``finish(doc_ids, texts, removals)`` over all documents; a removal is lows and highs.
+
+    ``kind`` is the type of symbols. ``core`` gets the contents of a shard's different segments one
+    after the other, their sizes and smallest documents, and returns the smallest document that has
+    each window, for all windows of all segments in order.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = blocks(size, BATCH_BYTES)
+    rows = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).cast("int"))
+    answers = (
+        rows.groupBy("batch").applyInArrow(lambda t: send(t, symbols, count), SENT)
+        .groupBy("bucket").applyInArrow(answer, ANSWER)
+    )
+    segments = rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        lambda t, a: find(t, a, symbols, count), SEGMENTS
+    )
+    # An anchor's segments are all in one part.
+    firsts = segments.groupBy("part").applyInArrow(lambda t: earliest(t, kind, core), FIRSTS)
+    return rows.groupBy("batch").cogroup(firsts.groupBy("batch")).applyInArrow(
+        lambda t, f: take_out(t, f, symbols, finish), schema
     )

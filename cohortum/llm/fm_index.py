@@ -23,14 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from cohortum.llm.anchors import (
-    WINDOW,
-    earliest_documents,
-    found_segments,
-    removed_intervals,
-    with_removals,
-)
-from cohortum.llm.suffix_dedup import firsts_table
+from cohortum.llm.anchors import WINDOW, later_copies_removed
 from cohortum.llm.wordcache import Words, groups
 
 DIGESTS = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
@@ -165,22 +158,19 @@ class FMIndex:
         return tuple(map(np.concatenate, zip(*out)))
 
 
-def core(shard: pa.Table) -> pa.Table:
-    contents = shard["content"].combine_chunks().to_pylist()
-    words = np.frombuffer(b"".join(contents), np.uint64)
-    sizes = np.array([len(x) // 8 for x in contents], dtype=np.int64)
-    symbols = np.unique(words, return_inverse=True)[1].astype(np.int64) + 1
+def core(content: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """The smallest document of every window of the segments."""
+    symbols = np.unique(content, return_inverse=True)[1].astype(np.int64) + 1
     index = FMIndex(symbols, np.cumsum(sizes) - sizes, sizes)
     owner, place, low, high = index.ranges(sizes)
-    docs = shard["first"].to_numpy()[index.segment]
+    docs = docs[index.segment]
     # Ranges are equal or apart: the smallest document of each, once.
     begins, which = np.unique(low, return_inverse=True)
     ends = np.zeros(len(begins), dtype=np.int64)
     ends[which] = high
     cuts = np.stack([begins, ends], axis=1).ravel()
     least = np.minimum.reduceat(np.append(docs, docs.max()), cuts)[::2]
-    order = np.lexsort((place, owner))
-    return firsts_table(shard, least[which][order], owner[order], place[order])
+    return least[which][np.lexsort((place, owner))]
 
 
 def digests(doc_ids: pa.Array, texts: list[str | None], removals: list) -> pa.RecordBatch:
@@ -203,6 +193,4 @@ def digests(doc_ids: pa.Array, texts: list[str | None], removals: list) -> pa.Re
 
 def without_later_copies(docs: DataFrame, finish=digests, schema: str = DIGESTS) -> DataFrame:
     """``finish`` over all documents and the words to remove from each; by default digests."""
-    found = found_segments(docs, word_symbols)
-    intervals = removed_intervals(found, earliest_documents(found, core, 8))
-    return with_removals(found, intervals, finish, schema)
+    return later_copies_removed(docs, word_symbols, np.uint64, core, finish, schema)

@@ -21,14 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortum.llm.anchors import (
-    WINDOW,
-    earliest_documents,
-    found_segments,
-    merged,
-    removed_intervals,
-    with_removals,
-)
+from cohortum.llm.anchors import WINDOW, later_copies_removed
 
 DIGESTS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
@@ -74,41 +67,12 @@ def previous_factors(content: np.ndarray, starts: np.ndarray, docs: np.ndarray)
     return out
 
 
-def runs_of_equal(values: np.ndarray, owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Owner, first place, end and value of runs of windows with the same value."""
-    fresh = np.concatenate([[True], (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])])
-    at = np.flatnonzero(fresh)
-    lengths = np.diff(np.append(at, len(values)))
-    return owner[at], place[at], place[at] + lengths, values[at]
-
-
-def shard_windows(shard: pa.Table, width: int) -> tuple[np.ndarray, ...]:
-    """Contents one after the other as bytes, and for each window start, segment and place."""
-    contents = shard["content"].combine_chunks()
-    sizes = np.array([len(x) // width for x in contents.to_pylist()], dtype=np.int64)
-    counts = sizes - WINDOW + 1
+def core(content: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """The smallest document of every window of the segments."""
+    counts, begins = sizes - WINDOW + 1, np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), counts)
     place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    begins = np.cumsum(sizes) - sizes
-    return np.frombuffer(b"".join(contents.to_pylist()), np.uint8), begins[owner] + place, owner, place
-
-
-def firsts_table(shard: pa.Table, earliest: np.ndarray, owner: np.ndarray, place: np.ndarray) -> pa.Table:
-    owners, low, high, first = runs_of_equal(earliest, owner, place)
-    index = pa.array(owners)
-    return pa.table(
-        [
-            shard["anchor"].take(index), shard["segment"].take(index),
-            pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(first),
-        ],
-        ["anchor", "segment", "low", "high", "first"],
-    )
-
-
-def core(shard: pa.Table) -> pa.Table:
-    content, starts, owner, place = shard_windows(shard, 1)
-    docs = shard["first"].to_numpy()[owner]
-    return firsts_table(shard, previous_factors(content, starts, docs), owner, place)
+    return previous_factors(content, begins[owner] + place, docs[owner])
 
 
 def kept_bytes(text: str | None, removal: tuple[np.ndarray, np.ndarray]) -> bytes:
@@ -134,9 +98,7 @@ def digests(doc_ids: pa.Array, texts: list[str | None], removals: list) -> pa.Re
 
 def without_later_copies(docs: DataFrame, finish=digests, schema: str = DIGESTS) -> DataFrame:
     """``finish`` over all documents and the bytes to remove from each; by default digests."""
-    found = found_segments(docs, byte_symbols)
-    intervals = removed_intervals(found, earliest_documents(found, core, 1))
-    return with_removals(found, intervals, finish, schema)
+    return later_copies_removed(docs, byte_symbols, np.uint8, core, finish, schema)
 
 
 CHANGED = "doc_id bigint, old_sha256 string, new_text string"
