@@ -1,11 +1,15 @@
-"""Byte-level BPE: encoding by ranked merges in Spark's higher-order functions, and decoding.
+"""Byte-level BPE: encoding by ranked merges, and decoding.
 
-Texts are cut into the matches of a pattern; the merges run once per distinct match of a chunk of
+There are two forms with equal results. ``encoded_chunks`` folds the merges in Spark's higher-order
+functions. ``round_trip_digests`` folds them in Python, once per distinct word and worker; it needs
+a small part of the time and memory (figures in the README), and the query uses it.
+
+In the first form texts are cut into the matches of a pattern; the merges run once per distinct match of a chunk of
 documents, as a fold over its array of bytes. The fold's state is the current pieces and the rank
 of each neighbouring pair; a step joins the leftmost pair of the lowest rank and looks up the two
 pairs around the new piece. Ranks come from a literal map, kept as an array of small maps by
 checksum since a lookup in one large map would walk through it. Bytes are characters of Latin 1
-there. A chunk's encoded matches are then put together to the documents' ids; decoding
+there. A chunk's encoded matches are then put together to the documents' ids. Decoding
 concatenates the binary pieces of the ids.
 
 No shuffle is needed, chunks have bounded size, and a lost executor costs its tasks alone.
@@ -30,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortum.llm.common import texts
+from cohortum.llm.tokens import WordwiseEncoder
 from cohortum.llm.wordcache import BETWEEN, groups
 
 BUCKETS, NONE = 1 << 16, 2**31 - 1
@@ -172,47 +177,112 @@ def encoded_chunks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return rows.withColumn("ids", ids).drop("words")
 
 
-def digests(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Numbers and digests of the ids and of the decoded bytes, per document."""
-    pieces = {rank: piece for piece, rank in read_ranks(path).items()}
+def ids_of_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents' ids, put together from those of their matches."""
     for batch in batches:
         for row in range(batch.num_rows):
             read = lambda name: np.frombuffer(batch[name][row].as_py(), dtype="<i4")  # noqa: E731, B023
-            lists = batch["ids"][row].values
-            flat, ends = lists.values.to_pylist(), lists.offsets.to_numpy()
-            ends = (ends - lists.offsets[0].as_py()).tolist()
-            of_word = [flat[a:b] for a, b in zip(ends, ends[1:])]
-            names = [",".join(map(str, ids)) for ids in of_word]
-            decoded = [b"".join(map(pieces.__getitem__, ids)) for ids in of_word]
+            of_word = batch["ids"][row].as_py()
             unit_ends = [0, *np.cumsum(read("matches")).tolist()]
             places = read("places").tolist()
-            groups_of = [places[a:b] for a, b in zip(unit_ends, unit_ends[1:])]
-            unit_names = [",".join([names[p] for p in group]) for group in groups_of]
-            unit_bytes = [b"".join([decoded[p] for p in group]) for group in groups_of]
-            sizes = [sum([len(of_word[p]) for p in group]) for group in groups_of]
-            doc_ends = [0, *np.cumsum(read("units")).tolist()]
-            codes = read("codes").tolist()
-            out: list[tuple] = []
-            for doc_id, a, b in zip(batch["doc_ids"][row].as_py(), doc_ends, doc_ends[1:]):
-                own = codes[a:b]
-                named = ",".join([unit_names[c] for c in own if sizes[c]])
-                text = b"".join([unit_bytes[c] for c in own])
-                out.append(
-                    (
-                        doc_id, sum([sizes[c] for c in own]),
-                        hashlib.sha256(named.encode()).hexdigest(), hashlib.sha256(text).hexdigest(),
-                    )
-                )
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+            of_unit = [
+                list(chain.from_iterable([of_word[p] for p in places[a:b]]))
+                for a, b in zip(unit_ends, unit_ends[1:])
+            ]
+            doc_ends, codes = [0, *np.cumsum(read("units")).tolist()], read("codes").tolist()
+            ids = [
+                list(chain.from_iterable([of_unit[c] for c in codes[a:b]]))
+                for a, b in zip(doc_ends, doc_ends[1:])
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [pa.array(batch["doc_ids"][row].as_py(), pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
+                ["doc_id", "ids"],
             )
 
 
+def encoded_by_functions(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Ids of every text, the merges in Spark's higher-order functions."""
+    return encoded_chunks(docs, path, pattern).mapInArrow(ids_of_chunks, "doc_id bigint, ids array<int>")
+
+
+def merged_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The fold of ranked merges: the leftmost of the pairs of the lowest rank is joined."""
+    if word in ranks:
+        return [ranks[word]]
+    get, pieces = ranks.get, [word[i : i + 1] for i in range(len(word))]
+    pairs = [get(a + b, NONE) for a, b in zip(pieces, pieces[1:])]
+    while pairs and (lowest := min(pairs)) < NONE:
+        at = pairs.index(lowest)
+        pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = get(pieces[at - 1] + pieces[at], NONE)
+        if at < len(pairs):
+            pairs[at] = get(pieces[at] + pieces[at + 1], NONE)
+    return [ranks[piece] for piece in pieces]
+
+
+class BytePairs(WordwiseEncoder):
+    """Encodes texts, and decodes ids."""
+
+    def __init__(self, path: str, pattern: str):
+        super().__init__(leading_space=True)
+        self.ranks, self.find = read_ranks(path), splitter(pattern)
+        size = max(self.ranks.values()) + 1
+        pieces = [b""] * size
+        for piece, rank in self.ranks.items():
+            pieces[rank] = piece
+        self.pieces, self.names = Strings(pieces), Strings([b",%d" % i for i in range(size)])
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        return [
+            np.array(
+                [i for match in self.find(word) for i in merged_ids(match.encode(), self.ranks)], dtype="<u4"
+            ).tobytes()
+            for word in words
+        ]
+
+
+class Strings:
+    """Byte strings by number, put together without a loop over the numbers."""
+
+    def __init__(self, strings: list[bytes]):
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.array([len(x) for x in strings], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def join(self, numbers: np.ndarray) -> bytes:
+        sizes = self.sizes[numbers]
+        shift = self.starts[numbers] - (np.cumsum(sizes) - sizes)
+        return self.data[np.arange(sizes.sum()) + np.repeat(shift, sizes)].tobytes()
+
+
+@cache
+def byte_pairs(path: str, pattern: str) -> BytePairs:
+    """One per Python worker."""
+    return BytePairs(path, pattern)
+
+
+def digests(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    """Numbers and digests of the ids and of the decoded bytes, per document."""
+    coder = byte_pairs(path, pattern)
+    for batch in batches:
+        counts, ids_sha, decoded_sha = [], [], []
+        for _, some in groups(batch["text"].to_pylist()):
+            for raw in coder.encode(some):
+                ids = np.frombuffer(raw, "<u4")
+                counts.append(len(ids))
+                ids_sha.append(hashlib.sha256(coder.names.join(ids)[1:]).hexdigest())
+                decoded_sha.append(hashlib.sha256(coder.pieces.join(ids)).hexdigest())
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+
 def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encode and decode every text; digests of the ids and of the decoded bytes."""
-    return encoded_chunks(docs, path, pattern).mapInArrow(
-        lambda it: digests(it, path),
+    return texts(docs).mapInArrow(
+        lambda it: digests(it, path, pattern),
         "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     )
