@@ -113,7 +113,7 @@ def recoded(batches: Iterator[pa.RecordBatch], rank: np.ndarray) -> Iterator[pa.
 
 def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str, spaced: bool = False) -> None:
     """Write the ids of all texts, each followed by ``end_id``, and the ranked vocabulary."""
-    rows = texts(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    rows = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     plain = f"{folder}/plain"
     rows.mapInArrow(lambda it: tokenised(it, path, spaced, end_id), PLAIN).write.option(
         "compression", "zstd"
