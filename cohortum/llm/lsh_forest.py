@@ -7,9 +7,9 @@ common prefix is at least ``LEAST_DEPTH`` values form a region. A region of up t
 classes is compared whole by signatures; in a denser one the depth adapts: windows of the sorted
 order, half overlapping, hold for each class the neighbours with the longest common prefixes.
 
-Of the pairs whose signatures agree enough, a spanning forest and each class's nearest few are
-confirmed first, on full sets; then every other pair that those links leave unconnected. So large
-groups cost links in proportion to their size, and no pair is taken as linked without its sets.
+Of the pairs whose signatures agree enough, a spanning forest of the most similar is confirmed
+first, on full sets; then every other pair that those links leave unconnected. So large groups
+cost links in proportion to their size, and no pair is taken as linked without its sets.
 Classes none of whose prefixes is shared do not get so far.
 
 Defined cases: upper-case A-Z count as lower-case; fewer than five words are one shingle of all of
@@ -33,7 +33,7 @@ from cohortum.llm.components import components
 from cohortum.llm.wordcache import Words, groups
 from cohortum.sources.tables import materialise
 
-SHINGLE, TREES, DEPTH, LEAST_DEPTH, WINDOW, NEAREST = 5, 10, 12, 2, 256, 2
+SHINGLE, TREES, DEPTH, LEAST_DEPTH, WINDOW = 5, 10, 12, 2, 256
 PLAUSIBLE = 0.6  # about four deviations of the estimate under the similarity of 0.75
 SHARE, OF = 75, 100
 HASHES = TREES * DEPTH
@@ -112,7 +112,7 @@ def agreement(brief: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 
 def forest_edges(similar: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of most similar plausible pairs, and the nearest few of each."""
+    """A spanning forest of most similar plausible pairs."""
     size = len(similar)
     found = set()
     best, via = np.full(size, -1.0), np.zeros(size, dtype=int)
@@ -124,10 +124,6 @@ def forest_edges(similar: np.ndarray) -> list[tuple[int, int]]:
         outside[at] = False
         closer = outside & (similar[at] > best)
         best[closer], via[closer] = similar[at][closer], at
-    for at in range(size):
-        for other in np.argsort(-similar[at], kind="stable")[:NEAREST]:
-            if similar[at, other] >= PLAUSIBLE:
-                found.add((min(at, int(other)), max(at, int(other))))
     return list(found)
 
 
