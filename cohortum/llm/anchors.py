@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from cohortum.llm.common import blocks
 
 WINDOW, GRAM, PIECE, LONGEST = 50, 16, 1 << 17, 64
-BATCH_BYTES, CROWDED, SHARDS_PER_BATCH = 12 << 20, 2000, 6
+BATCH_BYTES, CROWDED, SHARDS_PER_BATCH = 6 << 20, 2000, 3
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 SENT = "bucket int, batch int, hashes binary, counts binary"
@@ -116,6 +116,7 @@ def bucket_of(anchors: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def in_order(batch: pa.Table) -> pa.Table:
+    pa.default_memory_pool().release_unused()  # of earlier batches
     return batch.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
 
 
