@@ -3,13 +3,15 @@
 A document's set is its distinct shingles of five words. Equal sets are one class. Each of ``TREES``
 trees orders the classes by its own sequence of ``DEPTH`` MinHash values; the orders are range
 partitioned, so that no region of equal values has to fit into one task. Neighbours whose longest
-common prefix is at least ``LEAST_DEPTH`` values form a region. A region of up to ``WINDOW``
-classes is compared whole by signatures; in a denser one the depth adapts: windows of the sorted
-order, half overlapping, hold for each class the neighbours with the longest common prefixes.
-
-Of the pairs whose signatures agree enough, a spanning forest of the most similar is confirmed
-first, on full sets; then every other pair that those links leave unconnected. So large groups
-cost links in proportion to their size, and no pair is taken as linked without its sets.
+common prefix is at least ``LEAST_DEPTH`` values form a region.
+
+In a first round, windows of the sorted order, half overlapping, give a spanning forest of the most
+similar pairs whose signatures agree enough, which is confirmed on full sets. So large groups cost
+links in proportion to their size. The second round leaves nothing out: every region that still
+holds several components is compared whole by signatures. In one of up to ``WINDOW`` classes the
+pairs that agree enough are confirmed; a denser one is dealt into blocks, each pair of blocks is
+compared, and the classes with a partner that agrees enough meet again, block by block, with their
+full sets. No pair is taken as linked without its sets.
 Classes none of whose prefixes is shared do not get so far.
 
 Defined cases: upper-case A-Z count as lower-case; fewer than five words are one shingle of all of
@@ -34,6 +36,7 @@ from cohortum.llm.wordcache import Words, groups
 from cohortum.sources.tables import materialise
 
 SHINGLE, TREES, DEPTH, LEAST_DEPTH, WINDOW = 5, 10, 12, 2, 256
+BLOCK, SET_BYTES = 2048, 8 << 20
 PLAUSIBLE = 0.6  # about four deviations of the estimate under the similarity of 0.75
 SHARE, OF = 75, 100
 HASHES = TREES * DEPTH
@@ -105,8 +108,8 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def agreement(brief: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Estimated similarity of each of ``brief`` to each of ``others``."""
-    equal = np.zeros((len(brief), len(others)), dtype=np.int32)
-    for column, other in zip(brief.T, others.T):
+    equal = np.zeros((len(brief), len(others)), dtype=np.uint8)  # up to HASHES
+    for column, other in zip(np.ascontiguousarray(brief.T), np.ascontiguousarray(others.T)):
         equal += column[:, None] == other
     return (equal / HASHES - 1 / 256) / (1 - 1 / 256)
 
@@ -142,38 +145,137 @@ def windows(labels: np.ndarray) -> Iterator[tuple[int, int]]:
             yield first, min(end, first + WINDOW)
 
 
-def candidates(batches: Iterator[pa.RecordBatch], all_left: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs to confirm from the sorted orders of a partition.
-
-    ``all_left``: all plausible pairs of different components, instead of a forest.
-    """
+def columns(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     import pyarrow
 
     tables = [b for b in batches if b.num_rows]
-    if not tables:
+    return pyarrow.Table.from_batches(tables) if tables else None
+
+
+def fixed(table: pa.Table, name: str, kind: str, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(table[name].to_pylist()), kind).reshape(-1, width)
+
+
+def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Start and end of each run of equal values."""
+    ends = np.concatenate([[0], np.flatnonzero(np.diff(values)) + 1, [len(values)]]).tolist()
+    return zip(ends[:-1], ends[1:])
+
+
+def as_pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"]
+    )
+
+
+def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs to confirm first, from the sorted orders of a partition."""
+    if (whole := columns(batches)) is None:
         return
-    whole = pyarrow.Table.from_batches(tables)
-    tree, node, root = (whole[c].to_numpy() for c in ("tree", "node", "root"))
-    read = lambda name, kind, n: np.frombuffer(b"".join(whole[name].to_pylist()), kind).reshape(-1, n)
-    labels, brief = read("own", ">u4", DEPTH), read("brief", np.uint8, HASHES)
+    node, labels, brief = whole["node"].to_numpy(), fixed(whole, "own", ">u4", DEPTH), fixed(whole, "brief", "u1", HASHES)
     out: set[tuple[int, int]] = set()
-    ends = np.concatenate([[0], np.flatnonzero(np.diff(tree)) + 1, [len(tree)]])
-    for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
+    for low, high in runs(whole["tree"].to_numpy()):
         for start, end in windows(labels[low:high]):
-            ids, roots = node[low + start : low + end], root[low + start : low + end]
-            if all_left and (roots == roots[0]).all():
-                continue
-            similar = agreement(brief[low + start : low + end], brief[low + start : low + end])
+            ids, own = node[low + start : low + end], brief[low + start : low + end]
+            similar = agreement(own, own)
             np.fill_diagonal(similar, -1)
-            if all_left:
-                similar[roots[:, None] == roots] = -1
-                pairs = np.argwhere(np.triu(similar >= PLAUSIBLE)).tolist()
-            else:
-                pairs = forest_edges(similar)
-            for a, b in pairs:
+            for a, b in forest_edges(similar):
                 out.add((min(int(ids[a]), int(ids[b])), max(int(ids[a]), int(ids[b]))))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], ["a", "b"]
+    yield as_pairs(out)
+
+
+def all_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All plausible pairs of different components in whole regions of up to ``WINDOW`` classes."""
+    if (whole := columns(batches)) is None:
+        return
+    node, root, brief = whole["node"].to_numpy(), whole["root"].to_numpy(), fixed(whole, "brief", "u1", HASHES)
+    out: set[tuple[int, int]] = set()
+    for start, end in runs(whole["prefix"].to_numpy()):
+        ids, roots = node[start:end], root[start:end]
+        similar = agreement(brief[start:end], brief[start:end])
+        similar[roots[:, None] == roots] = -1
+        for a, b in np.argwhere(np.triu(similar >= PLAUSIBLE)).tolist():
+            out.add((min(int(ids[a]), int(ids[b])), max(int(ids[a]), int(ids[b]))))
+    yield as_pairs(out)
+
+
+def sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows to compare, of the two blocks or of one with itself.
+
+    The first ones leave out the most frequent component where a block meets itself: of a pair of
+    different components at least one is not in it.
+    """
+    part, i, j = table["part"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
+    if i != j:
+        return np.flatnonzero(part == i), np.flatnonzero(part == j)
+    names, which, times = np.unique(table["root"].to_numpy(), return_inverse=True, return_counts=True)
+    return np.flatnonzero(which != times.argmax()), np.arange(len(part))
+
+
+def plausible(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of the first places, the second places, and which of their pairs are plausible."""
+    one, other = sides(table)
+    root, brief = table["root"].to_numpy(), fixed(table, "brief", "u1", HASHES)
+    for start in range(0, len(one), 256):
+        some = one[start : start + 256]
+        if len(other):
+            yield some, other, (agreement(brief[some], brief[other]) >= PLAUSIBLE) & (root[some][:, None] != root[other])
+
+
+def partnered(table: pa.Table) -> pa.Table:
+    """The classes of two blocks of a dense region that have a plausible partner in them."""
+    found = np.zeros(table.num_rows, dtype=bool)
+    for some, other, agree in plausible(table):
+        found[some] |= agree.any(axis=1)
+        found[other] |= agree.any(axis=0)
+    return table.select(["prefix", "node"]).filter(pa.array(found))
+
+
+def links_of_sets(table: pa.Table) -> pa.Table:
+    """Links between components of two blocks of a dense region, on full sets.
+
+    Of the pairs that are similar enough, those are left out that others here already connect.
+    """
+    import pyarrow
+
+    node, root = table["node"].to_numpy(), table["root"].to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    # Only shingles that two sets have can be common; the sets in terms of them, end to end.
+    known, which, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    ends = np.concatenate([[0], np.cumsum(times[which] > 1)])[np.concatenate([[0], np.cumsum(sizes)])]
+    which = which[times[which] > 1]
+    group = np.unique(root, return_inverse=True)[1]
+    mark, out = np.zeros(len(known), dtype=bool), []
+    for some, other, agree in plausible(table):
+        for at, row in zip(some.tolist(), agree):
+            near = other[row]
+            near = near[group[near] != group[at]]
+            if not len(near):
+                continue
+            mark[which[ends[at] : ends[at + 1]]] = True
+            lengths = ends[near + 1] - ends[near]
+            starts = np.cumsum(lengths) - lengths
+            places = np.arange(lengths.sum()) + np.repeat(ends[near] - starts, lengths)
+            common = np.concatenate([[0], np.cumsum(mark[which[places]])])
+            common = common[starts + lengths] - common[starts]
+            mark[which[ends[at] : ends[at + 1]]] = False
+            for to in near[OF * common >= SHARE * (sizes[at] + sizes[near] - common)].tolist():
+                if group[to] != group[at]:
+                    out.append((int(node[at]), int(node[to])))
+                    group[group == group[to]] = group[at]
+    return pyarrow.Table.from_batches([as_pairs(set(out))])
+
+
+def in_blocks(rows: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """Rows of regions with blocks of about ``most`` in ``size``, once for each pair of blocks."""
+    count = F.ceil(F.col("size") / most)
+    part = F.pmod(F.xxhash64("prefix", "node"), F.col("blocks"))
+    return (
+        rows.join(sizes.select("prefix", count.alias("blocks")), "prefix").withColumn("part", part)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("part", "with"), "j": F.greatest("part", "with")})
+        .drop("with", "blocks")
     )
 
 
@@ -224,7 +326,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Classes that share a prefix with another; both sides are stored, for a frequent prefix.
     trees = materialise(trees)
     shared = materialise(trees.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix"))
-    involved = materialise(trees.join(shared, "prefix").select("node").distinct())
+    met = materialise(trees.join(shared, "prefix").select("node", "prefix"))
+    involved = materialise(met.select("node").distinct())
     few = materialise(classes.join(involved, "node"))
     kinds = "node bigint, true_node bigint, shingles binary"
     true_sets = lambda rows: rows.select("node", "text").mapInArrow(with_sets, kinds)
@@ -240,25 +343,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["node"])
     )
 
-    def pairs(roots: DataFrame | None, all_left: bool) -> DataFrame:
-        known = few if roots is None else few.join(roots, "node", "left")
-        root = F.col("node") if roots is None else F.coalesce("root", "node")
-        ordered = known.select(
-            "node", root.alias("root"), "brief", "labels",
-            F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"),
-        ).select("tree", F.substring("labels", place, 4 * DEPTH).alias("own"), "node", "root", "brief")
-        return (
-            ordered.repartitionByRange("tree", "own", "node").sortWithinPartitions("tree", "own", "node")
-            .mapInArrow(lambda it: candidates(it, all_left), "a bigint, b bigint")
-            .distinct()
-        )
-
-    first = materialise(pairs(None, False))
+    ordered = few.select(
+        "node", "brief", "labels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    ).select("tree", F.substring("labels", place, 4 * DEPTH).alias("own"), "node", "brief")
+    first = materialise(
+        ordered.repartitionByRange("tree", "own", "node").sortWithinPartitions("tree", "own", "node")
+        .mapInArrow(candidates, "a bigint, b bigint").distinct()
+    )
     links = materialise(confirm(first, sets))
     roots = components(links)
-    left = materialise(pairs(roots, True).join(first, ["a", "b"], "left_anti"))
+    # Regions that hold several components, in full.
+    of = materialise(
+        few.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "brief")
+    )
+    rooted = materialise(met.join(of.select("node", "root"), "node"))
+    mixed = materialise(
+        rooted.groupBy("prefix").agg(F.count("*").alias("size"), F.min("root").alias("x"), F.max("root").alias("y"))
+        .where("x < y").select("prefix", "size")
+    )
+    thin, dense = mixed.where(F.col("size") <= WINDOW), mixed.where(F.col("size") > WINDOW)
+    left = materialise(
+        rooted.join(thin.select("prefix"), "prefix").join(of.select("node", "brief"), "node")
+        .select("prefix", "node", "root", "brief")
+        .repartition("prefix").sortWithinPartitions("prefix").mapInArrow(all_left, "a bigint, b bigint").distinct()
+        .join(first, ["a", "b"], "left_anti")
+    )
     more = materialise(confirm(left, sets))
-    roots = components(links.unionByName(more))
+    pair = ["prefix", "i", "j"]
+    partners = materialise(
+        in_blocks(rooted, dense, BLOCK).join(of.select("node", "brief"), "node")
+        .groupBy(*pair).applyInArrow(partnered, "prefix bigint, node bigint").distinct()
+    )
+    held = materialise(partners.join(of, "node").join(sets, "node"))
+    size = materialise(held.groupBy("prefix").agg(F.sum(F.length("shingles")).alias("size")))
+    most = materialise(in_blocks(held, size, SET_BYTES).groupBy(*pair).applyInArrow(links_of_sets, "a bigint, b bigint"))
+    roots = components(links.unionByName(more).unionByName(most))
     known = classes.select("node", "id").join(roots, "node", "left")
     known = materialise(known.select("node", "id", F.coalesce("root", "node").alias("root")))
     smallest = materialise(known.groupBy("root").agg(F.min("id").alias("component_id")))

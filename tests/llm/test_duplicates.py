@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +117,33 @@ def test_near_duplicates(spark, monkeypatch, window):
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("most", [600, 2048])
+def test_pairs_in_a_dense_region(spark, monkeypatch, most):
+    """A template just under the threshold, with pairs and a chain just above it."""
+    monkeypatch.setattr(lsh_forest, "BLOCK", most)
+    monkeypatch.setattr(lsh_forest, "SET_BYTES", most * 1600)
+    template, texts = prose(11, 150, 5000), []
+    for i in range(2000):
+        shared = prose(20_000 + i // 2 if i < 200 else 30_000 + i, 6, 90_000)
+        texts.append(f"{template} {shared} {prose(40_000 + i, 24, 90_000)}")
+    ends = [prose(50_000 + i, 10, 90_000) for i in range(21)]
+    texts += [f"{template} {ends[i]} {prose(60_000 + i, 10, 90_000)} {ends[i + 1]}" for i in range(20)]
+    random.Random(5).shuffle(texts)
+    sets = [shingles(t) for t in texts]
+    times = Counter(x for one in sets for x in one)
+    number = {x: i for i, x in enumerate(x for x in times if times[x] > 1)}
+    has = np.zeros((len(sets), len(number)), dtype=np.float32)
+    for row, one in zip(has, sets):
+        row[[number[x] for x in one if x in number]] = 1
+    common, size = has @ has.T, np.array([len(one) for one in sets])
+    group = np.arange(len(sets))
+    for i, j in np.argwhere(np.triu(100 * common >= 75 * (size[:, None] + size - common), 1)).tolist():
+        group[group == max(group[i], group[j])] = min(group[i], group[j])
+    assert len(np.unique(group)) == 1901  # 100 pairs and a chain of 20
+    found = lsh_forest.near_duplicates(documents(spark, texts)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i + 1: int(g) + 1 for i, g in enumerate(group)}
+
+
 def test_one_of_each_group_stays(spark):
     text = prose(5, 40).replace("é", "e")
     kept = lsh_forest.without_near_duplicates(documents(spark, [text, text, "other", None, text.upper()], [4, 2, 3, 7, 9]))
