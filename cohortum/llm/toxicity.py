@@ -1,10 +1,12 @@
 """Toxicity of texts after noisy-channel restoration of disguised words.
 
-A character trigram model is counted over all documents. A word that mixes letters with digits or
-signs, repeats a letter three times, or is spelt out in single characters becomes a lattice: a
-sign may stand for letters, be dropped, or be itself; a repeated letter may be dropped; a space
+A character trigram model is counted over all documents. A word with digits or signs, also at
+its ends or alone, one that repeats a letter, or one spelt out in single characters becomes a
+lattice: a sign may stand for letters, be dropped, or be itself; a repeated letter may be dropped; a space
 between single characters may be dropped. Viterbi decoding finds the cheapest path under channel
-costs and the character model. Other words have one path and stay as they are.
+costs and the character model. Where that choice cannot be sure, a word has several readings, and
+the features of all: signs at the ends as letters or as punctuation, doubled letters as written or
+restored. Other words have one path and stay as they are.
 
 Restored texts are scored by logistic regression on words and word beginnings: whether one occurs
 at all, and at least once, twice or four times for every ``STRETCH`` words of the text.
@@ -45,8 +47,11 @@ STANDS_FOR = {
 }
 SUBSTITUTED, DROPPED, REPEATED = 1.0, 1.5, 1.0
 EDGE = ".,;:!?\"'()[]{}<>#%&*$|+-_=~/\\"
+SIGNS = EDGE + "".join(STANDS_FOR)
+PUNCTUATION = "".join(c for c in EDGE if c not in STANDS_FOR)  # stands for no letter
 SPELT_OUT = re.compile(r"(?<!\S)(?:\S[ ._\-]){2,}\S(?!\S)")
 TRIPLE = re.compile(r"([^\W\d_])\1\1")
+DOUBLE = re.compile(r"([^\W\d_])\1")
 
 
 def symbol_table() -> np.ndarray:
@@ -107,8 +112,11 @@ def character_model(docs: DataFrame) -> np.ndarray:
     return np.log(three).astype(np.float32)
 
 
-def arcs(text: str, at: int) -> list[tuple[str, float]]:
-    """What a character of a disguised word may have been, and at what cost; empty: nothing."""
+def arcs(text: str, at: int, spelt: bool = False) -> list[tuple[str, float]]:
+    """What a character of a disguised word may have been, and at what cost; empty: nothing.
+
+    ``spelt``: a sign that may stand for letters is one.
+    """
     char = text[at]
     if char.isalpha():
         out = [(char, 0.0)]
@@ -116,14 +124,18 @@ def arcs(text: str, at: int) -> list[tuple[str, float]]:
             out.append(("", REPEATED))
         return out
     out = [(letter, SUBSTITUTED) for letter in STANDS_FOR.get(char, "")]
-    return [*out, ("", DROPPED), (char, 0.0)]
+    return out if out and spelt else [*out, ("", DROPPED), (char, 0.0)]
+
 
+def restore(word: str, model: np.ndarray, start: int = 0, end: int | None = None) -> str:
+    """Viterbi decoding of a word's lattice; states are the last two symbols.
 
-def restore(word: str, model: np.ndarray) -> str:
-    """Viterbi decoding of a word's lattice; states are the last two symbols."""
+    Signs before ``start`` and from ``end`` on are letters where they can be.
+    """
+    end = len(word) if end is None else end
     best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     for at in range(len(word)):
-        choices = [(c, cost, int(symbols(c)[0]) if c else 0) for c, cost in arcs(word, at)]
+        choices = [(c, cost, int(symbols(c)[0]) if c else 0) for c, cost in arcs(word, at, not start <= at < end)]
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (cost, path) in best.items():
             for char, extra, symbol in choices:
@@ -143,23 +155,34 @@ def restore(word: str, model: np.ndarray) -> str:
 
 def restored_words(word: str, model: np.ndarray) -> list[str]:
     """Lower-case words that a word of a text stands for."""
-    plain = word.lower().strip(EDGE)
-    if plain.isalpha() and not TRIPLE.search(plain):
-        return [plain]
-    disguised = word.lower().rstrip(EDGE)
-    if not any(c.isalpha() for c in disguised):
-        return []
-    return re.findall(r"[^\W\d_]+", restore(disguised, model))
+    disguised = word.lower().strip(PUNCTUATION)
+    if disguised.isalpha() and not DOUBLE.search(disguised):
+        return [disguised]
+    letters = re.compile(r"[^\W\d_]+").findall
+    inner = disguised.strip(SIGNS)
+    if not letters(inner):
+        whole = [x for x in (disguised, disguised.rstrip("!")) if x and all(c in STANDS_FOR for c in x)]
+        return list(dict.fromkeys(x for run in whole for x in letters(restore(run, model, len(run)))))
+    first = disguised.index(inner)
+    lead, trail = disguised[:first], disguised[first + len(inner) :]
+    as_written = [inner] if inner.isalpha() and not TRIPLE.search(inner) else []
+    readings = as_written + (letters(restore(inner, model)) if not as_written or DOUBLE.search(inner) else [])
+    for before in {lead, lead.lstrip("(*" + PUNCTUATION), ""}:
+        for after in {trail, trail.rstrip("!*" + PUNCTUATION), ""}:
+            if before or after:
+                run = before + inner + after
+                readings += letters(restore(run, model, len(before), len(before) + len(inner)))
+    return list(dict.fromkeys(readings))
 
 
 def features(words: list[str]) -> list[str]:
-    """Words, and beginnings of four to eight letters."""
+    """Words, and beginnings of four to eight letters, of one word's readings: each once."""
     out = []
     for word in words:
         if word:
             out.append(word + "$")
             out.extend(word[:n] for n in range(4, min(8, len(word)) + 1))
-    return out
+    return list(dict.fromkeys(out))
 
 
 def dense(counts: np.ndarray, words: int) -> np.ndarray:
@@ -192,7 +215,7 @@ class Reader:
         for text, row in zip(texts_, rows):
             found = np.frombuffer(b"".join(map(known, row)), np.int32)
             if apart := self.spelt_out(text):
-                more = [self.wanted[x] for x in features(apart) if x in self.wanted]
+                more = [self.wanted[x] for word in apart for x in features([word]) if x in self.wanted]
                 found = np.concatenate([found, np.array(more, dtype=np.int32)])
             if not len(found):
                 yield found
@@ -206,7 +229,7 @@ class Reader:
     def all_features(self, text: str, memory: dict[str, list[str]]) -> list[tuple[str, int]]:
         """Features with the highest density that they reach."""
         row = text.split()
-        counts = Counter(features(self.spelt_out(text)))
+        counts = Counter(x for word in self.spelt_out(text) for x in features([word]))
         for word, times in Counter(row).items():
             if word not in memory:
                 memory[word] = features(restored_words(word, self.model))

@@ -83,6 +83,19 @@ def test_restoration(tables):
     assert toxicity.restored_words("12345", model) == []
 
 
+def test_restoration_at_the_ends_of_signs_alone_and_of_doubled_letters(tables):
+    model = toxicity.character_model(tables[0])
+    hidden = {
+        "$tupid": "stupid", "!diot": "idiot", "|diot": "idiot", "1diot!": "idiot", "worthle$$": "worthless",
+        "a$$!": "ass", "@$$": "ass", "455": "ass", "stuupid": "stupid", "idiiot": "idiot", "(\"$tupid\")": "stupid",
+    }
+    for word, meant in hidden.items():
+        assert any(meant in (x, x + x[-1]) for x in toxicity.restored_words(word, model)), word
+    for word in ("great!", "(the", "good", "*all*"):
+        assert word.strip("!(*") in toxicity.restored_words(word, model)
+    assert toxicity.features(["good", "good", "goods"]).count("good") == 1
+
+
 @pytest.mark.parametrize("label", [None, 0, 1])
 def test_labels_that_teach_nothing(spark, label):
     docs = documents(spark, ["some text", None, ""], [2, 3, None])
