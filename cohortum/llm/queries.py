@@ -15,6 +15,8 @@ from cohortum.llm.exact_topk import exact_topk
 from cohortum.llm.grouped_packing import packed
 from cohortum.llm.learned_partitions import nearest_by_learned_partitions
 from cohortum.llm.lsh_forest import near_duplicates
+from cohortum.llm.phrase_mining import collocations
+from cohortum.llm.secret_scan import secret_spans
 from cohortum.llm.token_files import token_file_digests
 
 
@@ -63,6 +65,14 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return exact_topk(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_spans(table(spark, folder, "documents"))
+
+
+def op12_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_learned_partitions": op1_learned_partitions,
     "op2_byte_pairs": op2_byte_pairs,
@@ -74,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_exact_topk": op10_exact_topk,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_phrase_mining": op12_phrase_mining,
 }
 
 ORACLES: dict[str, str] = {
@@ -94,4 +106,75 @@ ORACLES: dict[str, str] = {
         FROM scored
         QUALIFY rank <= 5
     """,
+    "op11_secret_scan": """
+        WITH rules(kind, place, base, pattern, part, least) AS (VALUES
+          ('assign', 0, true, '((?i:password|passwd|secret|token|api_?key))["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+          ('access', 1, true, 'AKIA[A-Z0-9]+', 0, 20),
+          ('hex', 2, true, '[0-9a-f]+', 0, 24),
+          ('github', 3, false, 'gh[oprsu]_[A-Za-z0-9]{36,}', 0, 1),
+          ('slack', 4, false, 'xox[abprs]-[A-Za-z0-9-]{10,}', 0, 1),
+          ('private_key', 5, false, '-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----', 0, 1)
+        ), docs AS (
+          SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+        ), parts AS (
+          SELECT row_id, kind, place, base, least,
+            unnest(string_split_regex(text, pattern)) AS gap,
+            unnest(regexp_extract_all(text, pattern, 0)) AS hit,
+            unnest(CASE part WHEN 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern, 0) END) AS judged,
+            generate_subscripts(string_split_regex(text, pattern), 1) AS nth
+          FROM docs, rules WHERE regexp_matches(text, pattern)
+        ), placed AS (
+          SELECT *, sum(length(gap) + coalesce(length(hit), 0)) OVER (PARTITION BY row_id, kind ORDER BY nth) AS finish
+          FROM parts
+        ), spans AS (
+          SELECT row_id, kind, place, base, finish - length(hit) AS start,
+            kind || ':' || (finish - length(hit))::BIGINT || ':' || finish::BIGINT AS span
+          FROM placed WHERE hit IS NOT NULL AND length(judged) >= least
+        )
+        SELECT doc_id,
+          count(*) FILTER (kind = 'assign') AS n_assign,
+          count(*) FILTER (kind = 'access') AS n_access,
+          count(*) FILTER (kind = 'hex') AS n_hex,
+          sha256(coalesce(string_agg(span, ',' ORDER BY start, place) FILTER (base), '')) AS base_sha256,
+          coalesce(string_agg(span, ',' ORDER BY start, place), '') AS spans
+        FROM docs LEFT JOIN spans USING (row_id)
+        GROUP BY row_id, doc_id
+    """,
+    "op12_phrase_mining": """
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\\x0A-\\x0D]')) AS piece
+          FROM documents
+        ), words AS (
+          SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces
+        ), totals AS (
+          SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+        ), places AS (
+          SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, range(1, 4) AS sizes(size)
+        ), counts AS (
+          SELECT lang, w[i:i + size - 1] AS p, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 10
+        ), candidates AS (
+          SELECT lang, p, f AS a FROM counts WHERE len(p) > 1
+        ), cuts AS (
+          SELECT c.lang, c.p, c.a, k, l.f AS l, r.f AS r,
+            CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+          FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+          JOIN counts l ON l.lang = c.lang AND l.p = c.p[1:k]
+          JOIN counts r ON r.lang = c.lang AND r.p = c.p[k + 1:]
+        ), weakest AS (
+          SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+        ), covers AS (
+          SELECT lang, q, max(a) AS longer
+          FROM (SELECT lang, a, unnest([p[1:2], p[2:3]]) AS q FROM candidates WHERE len(p) = 3)
+          GROUP BY lang, q
+        )
+        SELECT w.lang, row_number() OVER (
+            PARTITION BY w.lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+          array_to_string(p, ' ') AS phrase, a, l, r, n, score
+        FROM weakest w JOIN totals USING (lang)
+        LEFT JOIN covers ON covers.lang = w.lang AND covers.q = w.p
+        WHERE longer IS NULL OR 100 * longer < 50 * a
+        QUALIFY rank <= 2000
+    """,
 }
