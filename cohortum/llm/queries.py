@@ -17,6 +17,7 @@ from cohortum.llm.learned_partitions import nearest_by_learned_partitions
 from cohortum.llm.lsh_forest import near_duplicates
 from cohortum.llm.phrase_mining import collocations
 from cohortum.llm.secret_scan import secret_spans
+from cohortum.llm.token_alignment import aligned_tokens
 from cohortum.llm.token_files import token_file_digests
 
 
@@ -73,6 +74,11 @@ def op12_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(table(spark, folder, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return aligned_tokens(table(spark, folder, "documents"), a, b)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_learned_partitions": op1_learned_partitions,
     "op2_byte_pairs": op2_byte_pairs,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_topk": op10_exact_topk,
     "op11_secret_scan": op11_secret_scan,
     "op12_phrase_mining": op12_phrase_mining,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
