@@ -26,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from cohortum.llm.tokens import encoder
 from cohortum.llm.wordcache import BETWEEN, groups
 from cohortum.sources.tables import materialise
 
-LANE, BLOCK_CHARACTERS = 64, 6 << 20
+LANE, BLOCK_CHARACTERS = 64, 2 << 20
 BESIDE_BLANK = re.compile(r"\s | \s|\A | \Z")  # a space at which no cut is safe
 BLOCKS = (
     "block bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
@@ -252,7 +253,7 @@ def aligned_blocks(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str)
             used = np.bincount(code, minlength=len(good))  # occurrences of each unit
             times = np.bincount(place, np.repeat(used, np.diff(link_ends, prepend=0)), len(pairs))
             long = lambda x: pa.array([x], pa.list_(pa.int64()))
-            raw = lambda x: pa.array([x.astype("<i4").tobytes()], pa.binary())
+            raw = lambda x: pa.array([zstandard.compress(x.astype("<i4").tobytes(), 1)], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()), pa.array([doc_ids.slice(start, len(some)).to_pylist()], pa.list_(pa.int64())),
@@ -269,7 +270,7 @@ def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums over each document's links of what the corpus holds of their pairs."""
     for batch in batches:
         for row in range(batch.num_rows):
-            numbers = lambda name: np.frombuffer(batch[name][row].as_py(), "<i4").astype(np.int64)  # noqa: E731, B023
+            numbers = lambda name: np.frombuffer(zstandard.decompress(batch[name][row].as_py()), "<i4").astype(np.int64)  # noqa: E731, B023
             lists = lambda name: batch[name][row].values if batch[name][row].is_valid else pa.array([])  # noqa: E731, B023
             units, ends, links, link_ends = map(numbers, ("units", "unit_ends", "links", "link_ends"))
             answer = lists("answer")
