@@ -41,6 +41,10 @@ def main(arguments: list[str] | None = None) -> None:
         "--type", action="append", default=[], type=column_type, metavar="TABLE.COLUMN=TYPE",
         help="type of a raw column, for example studentVle.date=date; may be repeated",
     )
+    parser.add_argument(
+        "--most-rejected", type=int, metavar="LINES",
+        help="how many lines of a raw table may be bad; they are listed in rejected_lines",
+    )
     chosen = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"cohortum-{chosen.step}").getOrCreate()
     layout = Layout(chosen.raw, chosen.processed)
@@ -48,7 +52,8 @@ def main(arguments: list[str] | None = None) -> None:
     for table, column, kind in chosen.type:
         types.setdefault(table, {})[column] = kind
     for step in STEPS if chosen.step == "all" else [chosen.step]:
-        options = {"types": types, "infer": chosen.infer} if step == "ingest" else {}
+        ingesting = {"types": types, "infer": chosen.infer, "most_rejected": chosen.most_rejected}
+        options = ingesting if step == "ingest" else {}
         print(f"{step}: {STEPS[step](spark, layout, **options)}")
 
 

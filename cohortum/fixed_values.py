@@ -8,6 +8,8 @@ from typing import NamedTuple
 RAW_TABLES = ("studentVle", "studentInfo", "vle", "studentAssessment", "assessments")
 ENGAGEMENT_TABLE = "engagement_features"
 AVERAGES_TABLE = "student_averages"
+REJECTED_TABLE = "rejected_lines"
+REPORT_TABLE = "ingest_report"
 RISK_TABLE = "predictions"
 GRADE_TABLE = "gpa_predictions"
 COHORT_TABLES = ("region_stats", "education_stats", "region_gpa_stats", "education_gpa_stats")
@@ -29,6 +31,7 @@ FEATURES = ("total_clicks", "days_active", "engagement_index")
 TRAIN_SHARE = 0.8
 SPLIT_SEED = 42
 FOREST_TREES = 100
+FOREST_PARTS = 16
 RIDGE_PENALTY = 0.1
 
 # Notes on bounded predictions.

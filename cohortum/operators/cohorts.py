@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Name of an average, and the table and column it is taken from.
@@ -95,9 +95,17 @@ def cohort_stats(
     return roll_up(sums, by, list(measures), count_as)
 
 
-def ranked(stats: DataFrame, by: str, average: str = "avg_predicted_gpa") -> DataFrame:
-    """Cohorts from the highest average to the lowest; those without one come last."""
-    return stats.orderBy(F.desc_nulls_last(average), by)
+def ranked(
+    stats: DataFrame, by: str, average: str = "avg_predicted_gpa", place_as: str | None = None
+) -> DataFrame:
+    """Cohorts from the highest average to the lowest; those without one come last.
+
+    ``place_as`` names a column for a cohort's place in that order, from 1. There is a row per
+    cohort by then, so one task numbers them.
+    """
+    order = [F.desc_nulls_last(average), F.asc(by)]
+    placed = stats.withColumn(place_as, F.row_number().over(Window.orderBy(*order))) if place_as else stats
+    return placed.orderBy(*order)
 
 
 def risk_measures(predictions: DataFrame, engagement: DataFrame) -> Measures:

@@ -137,16 +137,18 @@ def good_history(
     grades: DataFrame | None,
     limits: GoodHistory = fixed.GOOD_HISTORY,
     ordered: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
     """Every row of students with low risk, a good predicted grade and enough active days.
 
     ``ordered`` sorts by risk, then by grade from the best, then by key. Equal rows are told apart
     by their partition only to keep the copies of one student from sorting in a single task.
     The students that meet the limits are stored first, so that a frequent one can be split in
-    the join with the scores.
+    the join with the scores. ``folder`` says where, for a caller that removes it after the rows
+    have been read (see ``intermediate_folder``); else they stay until :func:`remove_intermediate`.
     """
     chosen, scores = _good_parts(engagement, risk, grades, limits)
-    rows = materialise(chosen).join(scores, "id_student").select(*GOOD_LIST)
+    rows = materialise(chosen, folder).join(scores, "id_student").select(*GOOD_LIST)
     return rows.orderBy(*_good_order(), F.spark_partition_id()) if ordered else rows
 
 

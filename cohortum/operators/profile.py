@@ -116,9 +116,32 @@ def student_profiles(
     key = text.try_cast(students.schema["id_student"].dataType) if whole else text
     asked = requests.where(text != "").groupBy(text.alias("searched"), key.alias("id_student"))
     # A request made very often is joined once and repeated afterwards.
-    copies = F.explode(F.array_repeat(F.lit(True), F.col("_times").cast("int")))
     found = asked.agg(F.count(F.lit(1)).alias("_times")).join(students, "id_student", "left")
-    return _shown(found.withColumn("_copy", copies))
+    return _shown(repeated(found, "_times"))
+
+
+def repeated(rows: DataFrame, times: str, most: int = 10_000) -> DataFrame:
+    """Every row as often as its column ``times`` says, which may be far beyond an array's size.
+
+    Copies are made in two steps of up to ``most``, after a first one that is 1 up to ``most``
+    squared copies. What the second step makes is dealt over all partitions before the last, so
+    that the copies of one row neither need a large array nor come out of a single task.
+    """
+    def blocks(of: Column, size: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((of - 1) / F.lit(size)).cast("bigint")))
+
+    def left(of: str, block: str, size: int) -> Column:
+        return F.least(F.lit(size).cast("bigint"), F.col(of) - F.col(block) * size)
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = rows.where(F.col(times) > 0).withColumn("_large", blocks(F.col(times), most * most))
+    large = large.withColumn("_in_large", left(times, "_large", most * most))
+    small = large.withColumn("_small", blocks(F.col("_in_large"), most))
+    # A stated number of partitions is not merged by adaptive execution.
+    dealt = small.repartition(parts, F.xxhash64(*rows.columns), "_large", "_small")
+    return dealt.withColumn(
+        "_copy", F.explode(F.array_repeat(F.lit(True), left("_in_large", "_small", most).cast("int")))
+    ).select(*rows.columns)
 
 
 def student_lookup(

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +63,15 @@ def engagement_top_users(roles: Roles) -> DataFrame:
     return engagement.most_engaged(roles.engagement, fixed.LIST_LENGTH)
 
 
+@registered
+def engagement_of_spellings(roles: Roles) -> DataFrame:
+    """The engagement job over an activity table with several spellings of every key."""
+    layout = _layout(roles)
+    write_table(_spelled(roles.activity, ""), layout, "studentVle")
+    jobs.build_engagement(roles.spark, layout)
+    return read_table(roles.spark, layout, fixed.ENGAGEMENT_TABLE)
+
+
 @registered
 def clean_info(roles: Roles) -> DataFrame:
     raw = (
@@ -267,7 +279,7 @@ def good_history_without_grades(roles: Roles) -> DataFrame:
 
 @registered
 def kpi_summary(roles: Roles) -> DataFrame:
-    figures = overview.key_figures(roles.stored_engagement, roles.risk).drop("avg_engagement_rounded")
+    figures = overview.key_figures(roles.stored_engagement, roles.risk)
     return rounded(figures, 6, "avg_risk_percent", "avg_engagement")
 
 
@@ -324,7 +336,7 @@ def _profiles(roles: Roles) -> DataFrame:
 
 @registered
 def student_profiles(roles: Roles) -> DataFrame:
-    return _profiles(roles).drop("engagement_shown")
+    return _profiles(roles)
 
 
 @registered
@@ -335,13 +347,29 @@ def student_profiles_without_grades(roles: Roles) -> DataFrame:
     requests = roles.table("customer").select(F.col("c_custkey").cast("string").alias("search"))
     return profile.student_profiles(
         requests, roles.stored_engagement, roles.risk, absent
-    ).drop("engagement_shown", "predicted_gpa", "predicted_gpa_raw", "gpa_bounds_note")
+    ).drop("predicted_gpa", "predicted_gpa_raw", "gpa_bounds_note")
 
 
 @registered
 def student_lookup(roles: Roles) -> DataFrame:
-    found = profile.student_lookup(" 012.0 ", roles.stored_engagement, roles.risk, roles.grades)
-    return found.drop("engagement_shown")
+    return profile.student_lookup(" 012.0 ", roles.stored_engagement, roles.risk, roles.grades)
+
+
+@registered
+def student_lookup_text(roles: Roles) -> DataFrame:
+    """The lookup job over tables whose keys are text in many spellings, stored in one."""
+    layout = _layout(roles)
+    for name, frame in _student_tables(roles).items():
+        jobs.store_by_student(_spelled(frame, "S-"), layout, name)
+    jobs.build_averages(roles.spark, layout)
+    return jobs.profile_view(roles.spark, layout, " S-12\t").profile
+
+
+@registered
+def student_profiles_repeated(roles: Roles) -> DataFrame:
+    """A request for every event, so that students are asked for very often."""
+    requests = roles.table("events").select(F.col("user_id").cast("string").alias("search"))
+    return profile.student_profiles(requests, roles.stored_engagement, roles.risk, roles.grades)
 
 
 @registered
@@ -371,7 +399,7 @@ def split_sides(roles: Roles) -> DataFrame:
 def outcome_auc(roles: Roles) -> DataFrame:
     """How well engagement alone ranks the outcomes: the evaluation step on an exact score."""
     rows = outcome_rows(roles.stored_engagement, roles.enrolments, positive=POSITIVE)
-    area = models.area_under_roc(rows, "engagement_index", bins=0)
+    area = models.area_under_roc(rows, "engagement_index")
     return _one_row(roles, auc=area)
 
 
@@ -389,16 +417,62 @@ def _separable_model(features: DataFrame) -> models.Fitted:
 
 
 @registered
-def risk_scores(roles: Roles) -> DataFrame:
+def risk_scores_separable(roles: Roles) -> DataFrame:
     features = _separable(roles)
     return models.risk_scores(_separable_model(features).model, features, roles.enrolments)
 
 
 @registered
-def risk_auc(roles: Roles) -> DataFrame:
+def risk_auc_separable(roles: Roles) -> DataFrame:
     return _one_row(roles, auc=_separable_model(_separable(roles)).quality)
 
 
+def _outcomes(roles: Roles) -> DataFrame:
+    return outcome_rows(roles.stored_engagement, roles.enrolments, positive=POSITIVE)
+
+
+@registered
+def risk_scores(roles: Roles) -> DataFrame:
+    """Scores of a forest fitted to the outcomes: whose they are, and what holds for any of them."""
+    model = models.fit_risk(_outcomes(roles)).model
+    risk = F.col("risk_probability")
+    return models.risk_scores(model, roles.stored_engagement, roles.enrolments).select(
+        "id_student",
+        risk.between(0, 1).alias("in_range"),
+        ((risk > 0.5) == (F.col("prediction") == 1)).alias("class_agrees"),
+    )
+
+
+@registered
+def risk_layouts(roles: Roles) -> DataFrame:
+    """Forests fitted to the same outcomes in 4 and in 7 partitions: whether they score alike."""
+    one, other = (
+        models.risk_scores(
+            models.fit_risk(_outcomes(roles).repartition(parts), trees=20).model,
+            roles.stored_engagement, roles.enrolments,
+        )
+        .groupBy("id_student")
+        .agg(F.count(F.lit(1)).alias(f"scores_{parts}"), F.max("risk_probability").alias(f"risk_{parts}"))
+        for parts in (4, 7)
+    )
+    return one.join(other, "id_student").select(
+        "id_student", "scores_4", "scores_7", (F.col("risk_4") == F.col("risk_7")).alias("same_risk")
+    )
+
+
+@registered
+def risk_auc(roles: Roles) -> DataFrame:
+    """The area over the held-out outcomes of a forest fitted to the others, and over how many."""
+    rows = _outcomes(roles)
+    area = models.fit_risk(rows, trees=20).quality
+    held_out = rows.where(~in_training("id_student"))
+    return held_out.agg(
+        F.count(F.lit(1)).alias("held_out"),
+        F.sum(F.col("label").cast("bigint")).alias("positive"),
+        F.lit(0 <= area <= 1).alias("auc_in_range"),
+    )
+
+
 @registered
 def risk_score_checks(roles: Roles) -> DataFrame:
     """What holds for the scores of any forest: their number, their range, one per student, and a
@@ -445,6 +519,103 @@ def gpa_rmse(roles: Roles) -> DataFrame:
 # Sources, sinks and jobs.
 
 
+def _layout(roles: Roles) -> Layout:
+    root = shared_folder(roles.spark)
+    return Layout(f"{root}/raw", f"{root}/processed")
+
+
+def _spelled(frame: DataFrame, before: str) -> DataFrame:
+    """The same rows with keys as text, in three spellings of each key."""
+    key = F.concat(F.lit(before), F.col("id_student").cast("string"))
+    other = F.when(F.lit(bool(before)), F.concat(key, F.lit("\n"))).otherwise(F.concat(F.lit("0"), key, F.lit(".0")))
+    spelling = F.pmod(F.xxhash64(*frame.columns), F.lit(3))
+    text = F.when(spelling == 0, key).when(spelling == 1, F.concat(F.lit(" "), key, F.lit(" "))).otherwise(other)
+    return frame.withColumn("id_student", text)
+
+
+def _student_tables(roles: Roles) -> dict[str, DataFrame]:
+    return {
+        fixed.ENGAGEMENT_TABLE: roles.stored_engagement,
+        fixed.RISK_TABLE: roles.risk,
+        fixed.GRADE_TABLE: roles.grades,
+    }
+
+
+def _bad_submissions(roles: Roles) -> Layout:
+    """A raw table in which some keys and days are no numbers."""
+    layout = _layout(roles)
+    lines = roles.table("lineitem").join(roles.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines.select(
+        F.col("l_partkey").alias("id_assessment"),
+        F.when(F.col("l_quantity") % 10 == 0, F.concat(F.lit("x"), "o_custkey")).otherwise(
+            F.col("o_custkey").cast("string")
+        ).alias("id_student"),
+        F.when(F.col("l_linenumber") == 3, F.lit("soon")).otherwise(F.lit("9")).alias("date_submitted"),
+        F.lit("?").alias("score"),
+    ).write.csv(layout.raw("studentAssessment"), header=True)
+    return layout
+
+
+@registered
+def ingested_with_rejects(roles: Roles) -> DataFrame:
+    """The good rows of a raw table with bad ones."""
+    layout = _bad_submissions(roles)
+    jobs.ingest(roles.spark, layout, ["studentAssessment"], most_rejected=1 << 40)
+    return read_table(roles.spark, layout, "studentAssessment")
+
+
+@registered
+def ingest_report(roles: Roles) -> DataFrame:
+    """How many texts of each column were rejected, in the report and in the list of lines."""
+    layout = _bad_submissions(roles)
+    jobs.ingest(roles.spark, layout, ["studentAssessment"], most_rejected=1 << 40)
+    listed = read_table(roles.spark, layout, fixed.REJECTED_TABLE).groupBy("raw_table", "column").agg(
+        F.count(F.lit(1)).alias("listed")
+    )
+    return (
+        read_table(roles.spark, layout, fixed.REPORT_TABLE)
+        .join(F.broadcast(listed), ["raw_table", "column"], "left")
+        .select("raw_table", "column", "rejected", "lines", F.coalesce("listed", F.lit(0)).alias("listed"))
+    )
+
+
+@registered
+def rewritten_table(roles: Roles) -> DataFrame:
+    """A table after one rewrite that was published and one that failed half-way."""
+    layout = _layout(roles)
+    write_table(roles.table("region"), layout, fixed.ENGAGEMENT_TABLE)
+    write_table(roles.stored_engagement, layout, fixed.ENGAGEMENT_TABLE)
+    failing = roles.activity.withColumn("total_clicks", F.when(F.col("sum_click") > 0, F.raise_error(F.lit("stop"))))
+    try:
+        write_table(failing, layout, fixed.ENGAGEMENT_TABLE)
+    except (Py4JJavaError, PySparkException):
+        return read_table(roles.spark, layout, fixed.ENGAGEMENT_TABLE)
+    raise AssertionError("the rewrite did not fail")
+
+
+@registered
+def written_codecs(roles: Roles) -> DataFrame:
+    """Tables written with each codec and read back: the codec their files name, and their rows."""
+    layout, parts = _layout(roles), []
+    for codec in ("snappy", "zstd", "gzip"):
+        write_table(roles.table("orders"), layout, codec, compression=codec)
+        name = F.regexp_extract(F.input_file_name(), r"\.([a-z0-9]+)\.parquet$", 1)
+        parts.append(
+            read_table(roles.spark, layout, codec).groupBy(name.alias("codec")).agg(
+                F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@registered
+def ranked_cohorts(roles: Roles) -> DataFrame:
+    """The places of the regions by grade, as the institutional view lists them."""
+    stats = cohorts.cohort_stats(roles.info, "region", cohorts.grade_measures(roles.grades), "student_count")
+    placed = cohorts.ranked(stats, "region", place_as="place")
+    return materialise(rounded(placed, 6, "avg_predicted_gpa"))
+
+
 def _raw_files(roles: Roles, *names: str) -> Layout:
     """Write the named learner tables as raw CSV files to the shared folder."""
     root = shared_folder(roles.spark)
@@ -578,9 +749,7 @@ def job_cohorts(roles: Roles) -> DataFrame:
 def job_overview(roles: Roles) -> DataFrame:
     """The overview job on written tables: its key figures."""
     figures = jobs.overview_view(roles.spark, _written(roles)).figures
-    return rounded(
-        figures.drop("avg_engagement_rounded"), 6, "avg_risk_percent", "avg_engagement"
-    )
+    return rounded(figures, 6, "avg_risk_percent", "avg_engagement")
 
 
 @registered

@@ -95,7 +95,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT CAST(c_custkey AS VARCHAR) AS searched,
                   CASE WHEN e.id_student IS NULL THEN 'no_such_student' ELSE 'found' END
                       AS lookup_status,
-                  r.risk_probability, r.prediction, e.engagement_index, e.total_clicks,
+                  r.risk_probability, r.prediction, e.engagement_index,
+                  round_even(e.engagement_index, 2) AS engagement_shown, e.total_clicks,
                   e.total_clicks AS clicks_shown, e.days_active,
                   CASE WHEN e.id_student IS NOT NULL THEN g.predicted_gpa END AS predicted_gpa,
                   CASE WHEN e.id_student IS NOT NULL THEN g.predicted_gpa_raw END
@@ -264,6 +265,7 @@ KEY_FIGURES = over(
     """SELECT COUNT(*) AS row_count, COUNT(DISTINCT id_student) AS distinct_students,
               ROUND(AVG(CAST(risk_probability AS DOUBLE)) * 100, 6) AS avg_risk_percent,
               ROUND(AVG(engagement_index), 6) AS avg_engagement,
+              round_even(AVG(engagement_index), 2) AS avg_engagement_rounded,
               COUNT(*) FILTER (risk_probability > CAST(0.7 AS FLOAT)) AS high_risk_count
        FROM main""",
 )
@@ -358,7 +360,7 @@ ORACLES: dict[str, str] = {
     "good_history_without_grades": over(
         ("main",), "SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS matching_rows FROM main"
     ),
-    "risk_scores": over(
+    "risk_scores_separable": over(
         ("engagement", "enrolments"),
         """SELECT id_student, CASE WHEN total_interactions % 8 >= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
                       AS prediction,
@@ -366,7 +368,53 @@ ORACLES: dict[str, str] = {
                       AS risk_probability
            FROM engagement JOIN enrolments USING (id_student)""",
     ),
-    "risk_auc": "SELECT 1.0::DOUBLE AS auc FROM events LIMIT 1",
+    "risk_auc_separable": "SELECT 1.0::DOUBLE AS auc FROM events LIMIT 1",
+    "risk_scores": over(
+        ("labelled",), "SELECT id_student, TRUE AS in_range, TRUE AS class_agrees FROM labelled"
+    ),
+    "risk_layouts": over(
+        ("labelled",),
+        """SELECT id_student, COUNT(*) AS scores_4, COUNT(*) AS scores_7, TRUE AS same_risk
+           FROM labelled GROUP BY id_student""",
+    ),
+    "risk_auc": over(
+        ("labelled",),
+        """SELECT COUNT(*) AS held_out, CAST(SUM(label) AS BIGINT) AS positive, TRUE AS auc_in_range
+           FROM labelled
+           WHERE ('0x' || MD5('42:' || id_student)[1:7])::BIGINT / 268435456 >= 0.8""",
+    ),
+    "engagement_of_spellings": over(
+        ("engagement",),
+        "SELECT * REPLACE (CAST(id_student AS VARCHAR) AS id_student) FROM engagement",
+    ),
+    "student_lookup_text": over(
+        ("profiles",), "SELECT * REPLACE ('S-12' AS searched) FROM profiles WHERE searched = '12'"
+    ),
+    "student_profiles_repeated": over(
+        ("profiles",), "SELECT profiles.* FROM events JOIN profiles ON searched = CAST(user_id AS VARCHAR)"
+    ),
+    "rewritten_table": over(("engagement",), "SELECT * FROM engagement"),
+    "written_codecs": """
+        SELECT codec, COUNT(*) AS row_count, CAST(SUM(o_orderkey) AS BIGINT) AS key_sum
+        FROM orders, (VALUES ('snappy'), ('zstd'), ('gz')) AS codecs(codec) GROUP BY codec""",
+    "ranked_cohorts": over(
+        GRADE_TABLES,
+        f"""SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY avg_predicted_gpa DESC NULLS LAST, region)
+                           AS INTEGER) AS place
+            FROM ({_cohort("region", GRADE_AVERAGES, GRADE_JOIN)})""",
+    ),
+    "ingested_with_rejects": """
+        SELECT l_partkey AS id_assessment, o_custkey AS id_student, 9 AS date_submitted,
+               CAST(NULL AS DOUBLE) AS score
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE l_quantity % 10 <> 0 AND l_linenumber <> 3""",
+    "ingest_report": """
+        SELECT 'studentAssessment' AS raw_table, "column", rejected, lines, rejected AS listed
+        FROM (SELECT COUNT(*) AS lines, COUNT(*) FILTER (l_quantity % 10 = 0) AS keys,
+                     COUNT(*) FILTER (l_linenumber = 3) AS days
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+             LATERAL (VALUES ('id_assessment', 0), ('id_student', keys), ('date_submitted', days),
+                             ('score', 0), ('_line', 0)) AS rows("column", rejected)""",
     "job_risk": over(
         ("engagement",),
         """SELECT id_student, CASE WHEN total_interactions % 8 >= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END

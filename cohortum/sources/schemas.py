@@ -59,3 +59,6 @@ GRADES = T.StructType(
         T.StructField("gpa_bounds_note", T.StringType()),
     ]
 )
+
+REJECTED_LINES = "raw_table string, column string, text string, line string"
+INGEST_REPORT = "raw_table string, column string, rejected bigint, lines bigint"

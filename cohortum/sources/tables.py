@@ -17,11 +17,17 @@ from pyspark.sql import types as T
 
 from cohortum.functions.keys import coerced_number
 from cohortum.sources import schemas
+from cohortum.sources.versions import Files, Rewrite, current_path, rewriting
 
 # How Spark says that a path is absent, holds no files, or holds other files.
 NO_TABLE = ("[PATH_NOT_FOUND]", "[UNABLE_TO_INFER_SCHEMA]", "is not a Parquet file")
 
 
+# Names of what a tolerant reader adds: a line's reasons for rejection, and a broken line itself.
+REJECTED, LINE = "_rejected", "_line"
+REASONS = "array<struct<column:string,text:string,line:string>>"
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where tables live; both roots may be any URI that Spark can read."""
@@ -49,13 +55,21 @@ def typed(
         return value.alias(name)
     message = F.concat(F.lit(f"column {name} holds text that is no {kind}: "), F.col(name))
     return (
-        F.when(F.col(name).isNull() | F.trim(name).isin(*missing), F.lit(None).cast(kind))
-        .when(value.isNotNull(), value)
+        F.when(value.isNotNull(), value)
+        .when(is_missing(name, missing), F.lit(None).cast(kind))
         .otherwise(F.raise_error(message).cast(kind))
         .alias(name)
     )
 
 
+def is_missing(name: str, missing: Iterable[str] = schemas.MISSING) -> Column:
+    return F.col(name).isNull() | F.trim(name).isin(*missing)
+
+
+def is_text(kind: T.DataType | str) -> bool:
+    return kind in ("string", T.StringType())
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
@@ -67,30 +81,63 @@ def read_raw(
     """Read CSV with a header row.
 
     Only the header is looked at up front; columns named in ``types`` get that type and the
-    others stay text, so the data itself is read once. ``infer=True`` lets Spark find all types
-    instead, at the price of a second pass over the files.
+    others stay text, so the data itself is read once. ``infer=True`` lets Spark find the types of
+    the columns that ``types`` does not name, at the price of a second pass over the files.
 
     Text listed in ``missing`` is a missing value. In the columns named in ``lenient`` any text
     that does not fit becomes missing; in all others it stops the job, since a key, day or count
-    must not get lost.
+    must not get lost. :func:`read_raw_with_rejects` sets such lines aside instead.
     """
-    if infer:
-        return spark.read.csv(path, header=True, inferSchema=True)
     wanted, loose = types or {}, set(lenient)
-    names = spark.read.csv(path, header=True).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    found = {f.name: f.dataType for f in spark.read.csv(path, header=True, inferSchema=infer).schema}
+    # Columns with a stated type are read as text, which loses nothing of their spelling.
+    schema = T.StructType([T.StructField(n, T.StringType() if n in wanted else kind) for n, kind in found.items()])
     # With enforceSchema off, a part file with other column order fails instead of mixing values.
-    text = spark.read.csv(path, header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
-    return text.select(
+    rows = spark.read.csv(path, header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
+    return rows.select(
         *(
             typed(name, wanted[name], missing, name not in loose)
-            if name in wanted and wanted[name] not in ("string", T.StringType())
+            if name in wanted and not is_text(wanted[name])
             else F.col(name)
-            for name in names
+            for name in found
         )
     )
 
 
+def read_raw_with_rejects(
+    spark: SparkSession,
+    path: str,
+    types: Mapping[str, T.DataType | str] | None = None,
+    missing: Iterable[str] = schemas.MISSING,
+    lenient: Iterable[str] = schemas.LENIENT,
+) -> DataFrame:
+    """Read CSV as :func:`read_raw` does, with what would stop it in the column ``REJECTED``.
+
+    It is an array of the columns whose text is no value of their type, with that text and the
+    fields of the line as JSON; a line with too few or too many fields is there once, under
+    ``LINE``, as it is. The array of a good row is empty.
+    """
+    wanted, loose = types or {}, set(lenient)
+    names = spark.read.csv(path, header=True).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, LINE]])
+    rows = spark.read.csv(
+        path, header=True, schema=schema, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=LINE
+    )
+    fields = F.to_json(F.struct(*names))
+    reason = lambda name, line: F.struct(F.lit(name).alias("column"), F.col(name).alias("text"), line.alias("line"))
+    strict = [name for name in names if name in wanted and not is_text(wanted[name]) and name not in loose]
+    bad = {name: F.col(name).try_cast(wanted[name]).isNull() & ~is_missing(name, missing) for name in strict}
+    reasons = F.array_compact(F.array(*(F.when(bad[name], reason(name, fields)) for name in strict))) if strict else F.array()
+    values = (
+        F.col(name).try_cast(wanted[name]).alias(name) if name in wanted and not is_text(wanted[name]) else F.col(name)
+        for name in names
+    )
+    broken = F.col(LINE).isNotNull()
+    return rows.select(
+        *values, F.when(broken, F.array(reason(LINE, F.col(LINE)))).otherwise(reasons.cast(REASONS)).alias(REJECTED)
+    )
+
+
 def read_raw_table(
     spark: SparkSession,
     layout: Layout,
@@ -99,12 +146,20 @@ def read_raw_table(
     infer: bool = False,
 ) -> DataFrame:
     """Read a raw table by name, with its usual column types unless ``types`` overrides some."""
-    known = {**schemas.RAW_TYPES.get(name, {}), **(types or {})}
-    return read_raw(spark, layout.raw(name), known, infer)
+    return read_raw(spark, layout.raw(name), raw_types(name, types, infer), infer)
 
 
-def read_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    return spark.read.parquet(layout.processed(name))
+def raw_types(
+    name: str, types: Mapping[str, T.DataType | str] | None, infer: bool = False
+) -> dict[str, T.DataType | str]:
+    """Stated types before usual ones; with ``infer`` the usual ones are left to Spark."""
+    return {**({} if infer else schemas.RAW_TYPES.get(name, {})), **(types or {})}
+
+
+def read_table(spark: SparkSession, layout: Layout, name: str, rewrite: Rewrite | None = None) -> DataFrame:
+    """Read the published version of a table, or the one that ``rewrite`` has written."""
+    path = layout.processed(name)
+    return spark.read.parquet(rewrite.path(path) if rewrite else current_path(spark, path))
 
 
 def write_table(
@@ -116,25 +171,49 @@ def write_table(
     partition_by: Iterable[str] = (),
     sorted_by: Iterable[str] = (),
     ranged_by: Iterable[str] = (),
+    bloom: Iterable[str] = (),
+    rewrite: Rewrite | None = None,
 ) -> str:
     """Write a table by name and return its path.
 
+    An overwrite leaves the old table readable until the new one is complete, see
+    :mod:`cohortum.sources.versions`; with ``rewrite`` it is published together with other tables.
+
     ``sorted_by`` orders the rows inside each file, without a shuffle, so that a later lookup on
     those columns skips most row groups by their minimum and maximum. ``ranged_by`` also deals the
     rows into files by ranges of those columns, so that a lookup opens only the files it needs.
+    ``bloom`` names columns that get a Bloom filter, of a size that fits the values found, which
+    lets a lookup skip row groups whose range holds a value that they do not.
     """
     path = layout.processed(name)
     ranges, order = list(ranged_by), list(sorted_by) or list(ranged_by)
     rows = df.repartitionByRange(*ranges) if ranges else df
     rows = rows.sortWithinPartitions(*order) if order else rows
-    writer = rows.write.mode(mode).option("compression", compression)
     keys = list(partition_by)
-    (writer.partitionBy(*keys) if keys else writer).parquet(path)
+
+    def save(place: str) -> None:
+        writer = rows.write.mode(mode).option("compression", compression)
+        for column in bloom:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+            writer = writer.option(f"parquet.bloom.filter.adaptive.enabled#{column}", "true")
+        (writer.partitionBy(*keys) if keys else writer).parquet(place)
+
+    if mode != "overwrite":
+        save(current_path(df.sparkSession, path))
+    elif rewrite is not None:
+        rewrite.write(path, save)
+    else:
+        with rewriting(df.sparkSession) as alone:
+            alone.write(path, save)
     return path
 
 
 def read_optional(
-    spark: SparkSession, layout: Layout, name: str, required: Iterable[str] = ()
+    spark: SparkSession,
+    layout: Layout,
+    name: str,
+    required: Iterable[str] = (),
+    rewrite: Rewrite | None = None,
 ) -> DataFrame | None:
     """Read a table that may not have been written yet.
 
@@ -142,7 +221,7 @@ def read_optional(
     Any other failure, such as a refused access, is raised.
     """
     try:
-        df = read_table(spark, layout, name)
+        df = read_table(spark, layout, name, rewrite)
     except (PySparkException, Py4JJavaError) as problem:
         if any(sign in str(problem) for sign in NO_TABLE):
             return None
@@ -150,9 +229,11 @@ def read_optional(
     return df if set(required) <= set(df.columns) else None
 
 
-def read_risk(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
+def read_risk(
+    spark: SparkSession, layout: Layout, name: str, rewrite: Rewrite | None = None
+) -> DataFrame | None:
     """Risk scores, or ``None`` if no model has been applied yet."""
-    return read_optional(spark, layout, name, ["id_student"])
+    return read_optional(spark, layout, name, ["id_student"], rewrite)
 
 
 def read_grades(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
@@ -180,7 +261,17 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _folder_of_this_process().name
-    return f"{root.rstrip('/')}/cohortum/{uuid4().hex}"
+    application = spark.conf.get("spark.app.id", None) or "application"
+    return f"{root.rstrip('/')}/cohortum/{application}/{uuid4().hex}"
+
+
+def remove_intermediate(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, once no result needs them any more.
+
+    Jobs remove their own. What is left are tables behind results that are read lazily, such as
+    those of the queries of ``cohortum.llm``.
+    """
+    Files(spark).remove(shared_folder(spark).rsplit("/", 1)[0])
 
 
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -203,6 +294,4 @@ def intermediate_folder(spark: SparkSession) -> Iterator[str]:
     try:
         yield path
     finally:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        system.delete(folder, True)
+        Files(spark).remove(path)
