@@ -37,12 +37,12 @@ from cohortum.llm.tokens import encoder
 from cohortum.llm.wordcache import BETWEEN, groups
 from cohortum.sources.tables import materialise
 
-LANE, BLOCK_CHARACTERS = 64, 2 << 20
+LANE, BLOCK_CHARACTERS, BLOCK_ROWS, STEP = 64, 2 << 20, 1000, 1 << 16
 BESIDE_BLANK = re.compile(r"\s | \s|\A | \Z")  # a space at which no cut is safe
 BLOCKS = (
     "block bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
     "groups_sha256 array<string>, pairs array<bigint>, times array<bigint>, "
-    "units binary, unit_ends binary, links binary, link_ends binary"
+    "units binary, unit_ends binary, links binary, link_sizes binary"
 )
 RESULT = (
     "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
@@ -191,7 +191,7 @@ class Pair:
         whole = b"".join(wanted)
         good = np.ones(len(units), dtype=bool)
         for pieces, ids, sizes in ((self.a_pieces, a, a_sizes), (self.b_pieces, b, b_sizes)):
-            data = pieces.join(ids)
+            data = joined(pieces, ids)
             ends = np.append(0, np.cumsum(pieces.sizes[ids]))[np.cumsum(sizes)].tolist()
             if data != whole or ends != np.cumsum(list(map(len, wanted))).tolist():
                 starts = [0, *ends[:-1]]
@@ -222,10 +222,22 @@ def units_of(text: str) -> list[str]:
     return BETWEEN.split(text) if BESIDE_BLANK.search(text) else text.split(" ")
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that no more texts than about a block are Python strings."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BLOCK_ROWS):
+            yield batch.slice(start, BLOCK_ROWS)
+
+
+def joined(strings: Strings, numbers: np.ndarray) -> bytes:
+    """``Strings.join`` in steps, which bounds its index."""
+    return b"".join(strings.join(numbers[i : i + STEP]) for i in range(0, len(numbers), STEP))
+
+
 def aligned_blocks(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
     """A row per block of documents: their figures, and their units with the links of each."""
     both, number = tokenizer_pair(a_path, b_path), TaskContext.get().partitionId() << 32
-    for batch in batches:
+    for batch in slices(batches):
         doc_ids = batch["doc_id"]
         for start, some in groups(batch["text"].to_pylist(), BLOCK_CHARACTERS):
             rows = [units_of(text) if text else [] for text in some]
@@ -237,7 +249,7 @@ def aligned_blocks(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str)
             if lost.any():
                 sizes = np.diff(ends, prepend=0)
                 code, ends = code[~np.repeat(lost, sizes)], np.cumsum(sizes * ~lost)
-            written = both.signed.join(names := found.names(both.size))
+            written = joined(both.signed, names := found.names(both.size))
             n_a, n_b = found.a_sizes, found.b_sizes
             letters = np.append(0, np.cumsum(both.signed.sizes[names]))[np.append(0, np.cumsum(n_a + n_b))].tolist()
             strings = [written[x:y] for x, y in zip(letters, letters[1:])]
@@ -259,7 +271,7 @@ def aligned_blocks(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str)
                     pa.array([number], pa.int64()), pa.array([doc_ids.slice(start, len(some)).to_pylist()], pa.list_(pa.int64())),
                     long(sums(n_a[code], ends)), long(sums(n_b[code], ends)), long(sums(groups_of[code], ends)),
                     pa.array([digests], pa.list_(pa.string())), long(pairs), long(times.astype(np.int64)),
-                    raw(code), raw(ends), raw(place), raw(link_ends),
+                    raw(code), raw(ends), raw(place), raw(np.diff(link_ends, prepend=0)),
                 ],
                 [x.split(" ")[0] for x in BLOCKS.split(", ")],
             )
@@ -272,7 +284,8 @@ def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(batch.num_rows):
             numbers = lambda name: np.frombuffer(zstandard.decompress(batch[name][row].as_py()), "<i4").astype(np.int64)  # noqa: E731, B023
             lists = lambda name: batch[name][row].values if batch[name][row].is_valid else pa.array([])  # noqa: E731, B023
-            units, ends, links, link_ends = map(numbers, ("units", "unit_ends", "links", "link_ends"))
+            units, ends, links, sizes = map(numbers, ("units", "unit_ends", "links", "link_sizes"))
+            link_ends = np.cumsum(sizes)
             answer = lists("answer")
             times, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
             if len(answer):
