@@ -36,7 +36,7 @@ from cohortum.llm.common import held_out, texts
 from cohortum.llm.wordcache import Words, groups
 
 LABELLED, FEATURES, LEAST_DOCS, LEAST_GAIN = 12_000, 512, 3, 12.0
-STRETCH, DENSITIES = 150, (0, 1, 2, 4)
+STRETCH, DENSITIES, HEAD = 150, (0, 1, 2, 4), 4
 SYMBOLS, OTHER_LETTER, OTHER = 64, 60, 61
 LIMIT = 0.7
 
@@ -67,6 +67,11 @@ def symbol_table() -> np.ndarray:
 
 
 SYMBOL = symbol_table()
+SYMBOL_LIST = SYMBOL.tolist()
+
+
+def symbol_of(char: str) -> int:
+    return SYMBOL_LIST[min(ord(char), (1 << 16) - 1)]
 
 
 def symbols(text: str) -> np.ndarray:
@@ -127,24 +132,40 @@ def arcs(text: str, at: int, spelt: bool = False) -> list[tuple[str, float]]:
     return out if out and spelt else [*out, ("", DROPPED), (char, 0.0)]
 
 
+class Costs:
+    """What a symbol costs after two others, by one number for the three, of the last model used."""
+
+    model: np.ndarray | None = None
+    of: list[float] = []
+
+    @classmethod
+    def under(cls, model: np.ndarray) -> list[float]:
+        if cls.model is not model:
+            cls.model, cls.of = model, (-model).ravel().tolist()
+        return cls.of
+
+
 def restore(word: str, model: np.ndarray, start: int = 0, end: int | None = None) -> str:
-    """Viterbi decoding of a word's lattice; states are the last two symbols.
+    """Viterbi decoding of a word's lattice; states are the last two symbols, as one number.
 
     Signs before ``start`` and from ``end`` on are letters where they can be.
     """
-    end = len(word) if end is None else end
-    best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    costs, end = Costs.under(model), len(word) if end is None else end
+    best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
     for at in range(len(word)):
-        choices = [(c, cost, int(symbols(c)[0]) if c else 0) for c, cost in arcs(word, at, not start <= at < end)]
-        after: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for (a, b), (cost, path) in best.items():
+        choices = [(c, cost, symbol_of(c) if c else 0) for c, cost in arcs(word, at, not start <= at < end)]
+        after: dict[int, tuple[float, tuple]] = {}
+        for state, (cost, path) in best.items():
             for char, extra, symbol in choices:
-                key = (b, symbol) if char else (a, b)
-                total = cost + extra - (float(model[a, b, symbol]) if char else 0.0)
+                if char:
+                    step = state * SYMBOLS + symbol
+                    key, total, way = step % SYMBOLS**2, cost + extra + costs[step], (path, char)
+                else:
+                    key, total, way = state, cost + extra, path
                 if key not in after or total < after[key][0]:
-                    after[key] = (total, (path, char) if char else path)
+                    after[key] = (total, way)
         best = after
-    ends = [(cost - float(model[a, b, 0]), path) for (a, b), (cost, path) in best.items()]
+    ends = [(cost + costs[state * SYMBOLS], path) for state, (cost, path) in best.items()]
     path = min(ends, key=lambda x: x[0])[1]
     out = []
     while path:
@@ -153,11 +174,32 @@ def restore(word: str, model: np.ndarray, start: int = 0, end: int | None = None
     return "".join(reversed(out))
 
 
+def undoubled(word: str, model: np.ndarray) -> str:
+    """``restore`` of a word of letters, none of them three times in a row.
+
+    Its lattice has two paths around each doubled letter, which meet again one letter later, so the
+    cheapest path takes the cheaper of the two at each.
+    """
+    costs, symbol = Costs.under(model), [0, *map(symbol_of, word), 0]
+    out = [word[0]]
+    for at in range(1, len(word)):
+        if word[at] == word[at - 1]:
+            before, letter, after = symbol[at - 1], symbol[at], symbol[at + 2]
+            once, twice = ((before * SYMBOLS + letter) * SYMBOLS + x for x in (after, letter))
+            if REPEATED + costs[once] < costs[twice] + costs[(letter * SYMBOLS + letter) * SYMBOLS + after]:
+                continue
+        out.append(word[at])
+    return "".join(out)
+
+
 def restored_words(word: str, model: np.ndarray) -> list[str]:
     """Lower-case words that a word of a text stands for."""
     disguised = word.lower().strip(PUNCTUATION)
-    if disguised.isalpha() and not DOUBLE.search(disguised):
-        return [disguised]
+    if disguised.isalpha():
+        if not DOUBLE.search(disguised):
+            return [disguised]
+        if not TRIPLE.search(disguised):
+            return list(dict.fromkeys([disguised, undoubled(disguised, model)]))
     letters = re.compile(r"[^\W\d_]+").findall
     inner = disguised.strip(SIGNS)
     if not letters(inner):
@@ -181,7 +223,7 @@ def features(words: list[str]) -> list[str]:
     for word in words:
         if word:
             out.append(word + "$")
-            out.extend(word[:n] for n in range(4, min(8, len(word)) + 1))
+            out.extend(word[:n] for n in range(HEAD, min(8, len(word)) + 1))
     return list(dict.fromkeys(out))
 
 
@@ -195,14 +237,17 @@ class Reader:
 
     def __init__(self, model: np.ndarray, wanted: dict[str, int]):
         self.model, self.wanted = model, wanted
+        # All features of a word begin with its first letters, which few wanted ones have.
+        self.heads = {name[:HEAD] for name in wanted}
         self.words = Words(self.numbers)
 
     def numbers(self, words: list[str]) -> list[bytes]:
-        get = self.wanted.get
+        get, heads = self.wanted.get, self.heads
         out = []
         for word in words:
-            found = [get(x) for x in features(restored_words(word, self.model))]
-            out.append(np.array([x for x in found if x is not None], dtype=np.int32).tobytes())
+            able = [x for x in restored_words(word, self.model) if (x + "$")[:HEAD] in heads]
+            found = [get(x) for x in features(able)] if able else []
+            out.append(np.array([x for x in found if x is not None], dtype=np.int32).tobytes() if found else b"")
         return out
 
     def spelt_out(self, text: str) -> list[str]:

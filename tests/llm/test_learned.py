@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cohortum.llm import byte_gru, toxicity
@@ -103,3 +107,39 @@ def test_labels_that_teach_nothing(spark, label):
     scores = [r["score"] for r in toxicity.toxicity_scores(docs, toxicity.fit(docs, labels)).collect()]
     assert len(scores) == 3 and len(set(scores)) == 1 and 0 < scores[0] < 1
     assert toxicity.toxicity_scores(docs.limit(0), toxicity.fit(docs.limit(0), labels)).collect() == []
+
+
+def every_reading(word: str, model: np.ndarray) -> dict[str, float]:
+    """The cost of each path of a word's lattice, by what it restores; the cheapest of equal ones."""
+    out: dict[str, float] = {}
+    choices = [toxicity.arcs(word, at) for at in range(len(word))]
+    for path in product(*choices):
+        text = "".join(char for char, _ in path)
+        states = [0, 0, *toxicity.symbols(text).tolist(), 0]
+        cost = sum(extra for _, extra in path) - sum(float(model[tuple(states[i : i + 3])]) for i in range(len(states) - 2))
+        out[text] = min(cost, out.get(text, np.inf))
+    return out
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.text("abesotl$1!04ß.", min_size=1, max_size=7), st.integers(0, 3))
+def test_the_restored_word_is_the_cheapest_of_all_paths(word, seed):
+    model = np.log(np.random.default_rng(seed).dirichlet(np.ones(64), (64, 64))).astype(np.float32)
+    costs = every_reading(word, model)
+    assert costs[toxicity.restore(word, model)] == pytest.approx(min(costs.values()), abs=1e-4)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abé", min_size=1, max_size=12).filter(lambda x: not toxicity.TRIPLE.search(x)), st.integers(0, 3))
+def test_doubled_letters_one_by_one_are_the_whole_lattice(word, seed):
+    model = np.log(np.random.default_rng(seed).dirichlet(np.ones(64), (64, 64))).astype(np.float32)
+    assert toxicity.undoubled(word, model) == toxicity.restore(word, model)
+
+
+def test_a_text_of_very_many_words(spark, tables):
+    docs, labels = tables
+    text = "the and of that " * 5000
+    long = documents(spark, [text, text + "idiot moron stupid " * 200])
+    scores = toxicity.toxicity_scores(long, toxicity.fit(docs, labels)).orderBy("doc_id").collect()
+    assert scores[0]["score"] < 0.3 < scores[1]["score"]
+    assert {r["lang_pred"] for r in byte_gru.language_predictions(long, byte_gru.fit(docs)).collect()} == {"en"}
