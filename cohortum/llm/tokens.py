@@ -1,5 +1,9 @@
 """Token ids of whole texts by a vocabulary file of the tokenizers library.
 
+``Encoder`` cuts a whole block of texts in Arrow, looks up its distinct units, and gathers the ids
+of the block without a loop over its words. ``WordwiseEncoder`` looks up word by word; other kinds
+of encoders build on it.
+
 The library encodes words, each once per worker (see ``wordcache``), and the ids of a text are put
 together from its words'. That equals encoding the text at once where no token can cross the cut:
 a vocabulary whose pieces never hold white space is cut at every space, one whose pieces start
@@ -12,13 +16,48 @@ tokens in a text are ordinary text. An empty text has no ids.
 from __future__ import annotations
 
 import os
+import re
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from cohortum.llm.wordcache import BETWEEN, Words
 
-MARK = "\x01"
+MARK, CUT, END = "\x01", "\x00", "\x02"
+# White space other than single spaces and line breaks between other characters.
+UNUSUAL = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
+TWICE, SELDOM = ("  ", "\n\n", " \n", "\n "), "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+BREAK = re.compile(r"(?<=\S)\n(?=\S)")
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+ALNUM = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
+
+
+def unusual(text: str) -> bool:
+    """``UNUSUAL.search`` in a few fast searches."""
+    if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in TWICE) or any(c in text for c in SELDOM):
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return UNUSUAL.search(text) is not None
+    return False
+
+
+def with_stops_cut(data: bytes) -> bytes:
+    """A mark before full stops and commas that follow an ASCII letter or digit, or a letter from
+    À to ÿ: they start a token there."""
+    marked = np.frombuffer(data.replace(b",", b"\0,").replace(b".", b"\0."), np.uint8)
+    at = np.flatnonzero(marked == 0)
+    at = at[at < len(marked) - 1]
+    after = marked[at + 1]
+    at = at[(after == 44) | (after == 46)]
+    before, lead = marked[np.maximum(at - 1, 0)], marked[np.maximum(at - 2, 0)]
+    latin = (lead == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
+    kept = np.ones(len(marked), dtype=bool)
+    kept[at[~(ALNUM[before] | latin) | (at == 0)]] = False
+    return marked[kept].tobytes()
 
 
 class WordwiseEncoder:
@@ -94,6 +133,7 @@ class Encoder(WordwiseEncoder):
         from tokenizers import Tokenizer
 
         super().__init__(leading_space)
+        self.units = Words(self.encoded_units)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
@@ -105,6 +145,51 @@ class Encoder(WordwiseEncoder):
         else:
             self.starts[self.tokenizer.encode(MARK, add_special_tokens=False).ids] = True
 
+    def marked(self, texts: list[str], odd: bool) -> bytes:
+        """All texts with a mark at every place where they may be cut, and ``END`` after each."""
+        if self.leading_space and odd:
+            texts = [BETWEEN.sub(f"{CUT} ", BREAK.sub(f"{CUT}\n{CUT}", text)) for text in texts]
+        data = with_stops_cut((f"{CUT}{END}{CUT}".join(texts) + f"{CUT}{END}").encode())
+        if not self.leading_space:
+            # No token holds white space, and the vocabulary knows lower case alone.
+            return data.translate(LOWER).replace(b"\n", b" ").replace(b" ", b"\0")
+        return data if odd else data.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0")
+
+    def encoded_units(self, units: list[bytes]) -> list[bytes]:
+        return self.encoded([unit.decode() for unit in units])
+
+    def ids(self, texts: list[str], odd: bool) -> list[bytes]:
+        """Ids of texts without marks of ours; ``odd``: with unusual white space."""
+        data = pa.array([self.marked(texts, odd)], pa.large_binary())
+        units = pc.split_pattern(data, CUT.encode()).flatten().dictionary_encode()
+        distinct = units.dictionary.to_pylist()
+        known = self.units.learn([distinct])
+        ends = distinct.index(END.encode())
+        raw = [known(unit) for unit in distinct]
+        raw[ends] = b""
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        flat, starts = np.frombuffer(b"".join(raw), dtype="<u4"), np.cumsum(sizes) - sizes
+        code = units.indices.to_numpy()
+        many = sizes[code]
+        after = np.cumsum(many)
+        place = np.repeat(starts[code] - (after - many), many)
+        place += np.arange(len(place))
+        together, bounds = flat[place].tobytes(), (4 * after[code == ends]).tolist()
+        return [together[a:b] for a, b in zip([0, *bounds], bounds)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        kinds: tuple[list[int], list[int], list[int]] = ([], [], [])
+        for i, text in enumerate(texts):
+            kinds[2 if CUT in text or END in text else int(self.leading_space and unusual(text))].append(i)
+        for odd in (False, True):
+            if kinds[odd]:
+                for i, ids in zip(kinds[odd], self.ids([texts[i] for i in kinds[odd]], odd)):
+                    out[i] = ids
+        for i, ids in zip(kinds[2], self.encoded([texts[i] for i in kinds[2]])):
+            out[i] = ids
+        return out
+
     def single(self, text: str) -> str:
         tokens = self.tokenizer.encode(text, add_special_tokens=False).tokens
         return tokens[0] if tokens else ""
