@@ -6,7 +6,8 @@ descending order, are put into groups of equal cardinality and rounded up to the
 group; column generation finds the best mix of configurations of these few sizes (a linear
 programme whose pricing step is an integer knapsack), rounded down to whole sequences; real
 lengths take the places of the rounded ones; what is left over, and the small lengths, go into the
-sequence with the least room that holds them. The plan counts equal sequences together, so its
+sequence with the least room that holds them. Sequences that rounding left with a gap beyond a
+limit are taken apart before that step; the limit is the one of a few that needs fewest sequences. The plan counts equal sequences together, so its
 size depends on the capacity and the number of groups, not on the number of documents.
 
 Spark numbers the pieces of each length (counts per task first, so that a frequent length meets in
@@ -34,6 +35,7 @@ from cohortum.llm.wordcache import groups
 from cohortum.sources.tables import materialise
 
 CAPACITY, GROUPS, SMALL = 2048, 32, 8
+GAPS = (64, 32, 16, 8, 4, 2, 0)  # of sequences that are kept as they were configured, tried in turn
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, number bigint"
 Plan = list[tuple[int, tuple[int, ...]]]
 
@@ -198,13 +200,28 @@ def make_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
         wanted = [sum(n for _, n in own) for own in merged.values()]
         mixes = configurations(list(merged), wanted, capacity)
         members = list(merged.values())
-        plan += substituted(mixes, members)
-        for own in members:
-            for length, n in own:
-                rest[length] = rest.get(length, 0) + n
+        filled = substituted(mixes, members)
+        for length, n in (run for own in members for run in own):
+            rest[length] = rest.get(length, 0) + n
+        # What rounding up left open is worth keeping only as far as small lengths can fill it.
+        plans = [replaced(filled, gap, rest, plan, capacity) for gap in (capacity, *GAPS)]
+        return min(plans, key=lambda found: sum(times for times, _ in found))
     return best_fit(rest, plan, capacity)
 
 
+def replaced(filled: Plan, gap: int, rest: dict[int, int], plan: Plan, capacity: int) -> Plan:
+    """Sequences with more room than ``gap`` are taken apart; their lengths and the rest go into
+    the others, and into new ones, by best fit."""
+    kept, counts = list(plan), dict(rest)
+    for times, lengths in filled:
+        if capacity - sum(lengths) <= gap:
+            kept.append((times, lengths))
+            continue
+        for length in lengths:
+            counts[length] = counts.get(length, 0) + times
+    return best_fit(counts, kept, capacity)
+
+
 def places(plan: Plan) -> tuple[np.ndarray, ...]:
     """For runs of pieces of a length: length, first number, first sequence, offset; in order."""
     numbers: dict[int, int] = defaultdict(int)
