@@ -5,7 +5,8 @@ frequent ids are small numbers. A number takes the fewest whole bytes that hold
 how many is kept apart, in control bytes of two bits for each of four numbers. Decoding looks each
 control byte up in a table of four lengths, and needs no loop over the numbers.
 
-The files are Parquet tables in ascending order of ``doc_id`` (then text; null first): a row is a
+The files are Parquet tables in ascending order of ``doc_id`` (rows of one by how their texts begin,
+null first): a row is a
 block of whole documents with their identifiers, numbers of ids, control bytes and data bytes; the
 ranked vocabulary is a table beside them. Spark writes and reads both, so lost executors do no
 harm. Texts are tokenised once: the first pass stores plain 16- or 32-bit ids with the counts of
@@ -31,7 +32,7 @@ from cohortum.llm.tokens import encoder
 from cohortum.llm.wordcache import groups
 from cohortum.sources.tables import shared_folder
 
-BLOCK_CHARACTERS = 2 << 20
+BLOCK_CHARACTERS, HEAD = 2 << 20, 64
 PLAIN = "shard int, block int, doc_ids array<bigint>, sizes array<bigint>, ids binary, seen array<int>, times array<bigint>"
 CODED = "shard int, block int, n_ids bigint, doc_ids array<bigint>, sizes array<bigint>, control binary, data binary"
 LENGTHS = np.stack([np.arange(256) >> shift & 3 for shift in (0, 2, 4, 6)], axis=1).astype(np.uint8) + 1
@@ -111,10 +112,20 @@ def recoded(batches: Iterator[pa.RecordBatch], rank: np.ndarray) -> Iterator[pa.
             yield pa.RecordBatch.from_arrays(columns, [x.split(" ")[0] for x in CODED.split(", ")])
 
 
+def dealt(docs: DataFrame) -> DataFrame:
+    """Texts in ascending order of ``doc_id``, by ranges that split the rows of a frequent one: by
+    how their texts begin and, where that is equal too, by where they come from."""
+    keys = {"head": F.substring("text", 1, HEAD), "place": F.monotonically_increasing_id()}
+    return (
+        texts(docs).withColumns(keys).repartitionByRange("doc_id", *keys)
+        .sortWithinPartitions("doc_id", "head", "text").drop(*keys)
+    )
+
+
 def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str, spaced: bool = False) -> None:
     """Write the ids of all texts, each followed by ``end_id``, and the ranked vocabulary."""
-    rows = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     plain = f"{folder}/plain"
+    rows = dealt(docs)
     rows.mapInArrow(lambda it: tokenised(it, path, spaced, end_id), PLAIN).write.option(
         "compression", "zstd"
     ).parquet(plain)

@@ -9,10 +9,11 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortum.llm import byte_pairs, token_files
-from cohortum.llm.grouped_packing import CAPACITY, make_plan, packed, places
+from cohortum.llm.grouped_packing import CAPACITY, best_fit, make_plan, packed, places
 from cohortum.llm.token_files import pack, token_file_digests, unpack
 from cohortum.llm.tokens import encoder
 from tests.llm.helpers import documents, odd_texts
@@ -91,6 +92,21 @@ def test_token_files(spark, monkeypatch):
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_rows_of_one_identifier_are_dealt_over_tasks(spark, doc_id):
+    others = spark.range(0, 2000, 1, 4).selectExpr("id AS doc_id", "'x ' || id AS text")
+    same = spark.range(0, 4000, 1, 4).select(F.lit(doc_id).cast("bigint").alias("doc_id"), F.lit("the same").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as for large partitions
+    try:
+        rows = token_files.dealt(others.unionByName(same))
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 6000 and max(sizes) < 2000
+    ids = [r["doc_id"] for r in rows.collect()]
+    assert ids == sorted(ids, key=lambda x: (x is not None, x or 0))
+
+
 def test_token_files_of_an_empty_table(spark):
     found = token_file_digests(documents(spark, []), public_tokenizers.path("word_bpe_49k.json"), 1)
     assert found.collect() == []
@@ -128,12 +144,22 @@ def test_plans_place_every_length_once(counts):
         for length in lengths:
             placed[length] = placed.get(length, 0) + times
     assert placed == counts
-    bound = -(-sum(x * n for x, n in counts.items()) // 100)
-    large = sum(n for x, n in counts.items() if x > 50)
-    assert sum(times for times, _ in plan) <= 1.25 * max(bound, large) + 6
+    # Never worse than a best fit of all lengths from the longest on, by more than a sequence.
+    full = [(counts[100], (100,))] if 100 in counts else []
+    alone = best_fit({x: n for x, n in counts.items() if x < 100}, full, 100)
+    assert sum(times for times, _ in plan) <= sum(times for times, _ in alone) + 1
     lengths, firsts, _, _ = places(plan)
     assert all(firsts[lengths == x].min() == 0 for x in counts)
 
 
+def test_sequences_are_as_few_as_the_tokens_allow():
+    """Lengths like those of documents; the bound is the sum of all tokens."""
+    draw = np.random.default_rng(5)
+    lengths = np.minimum(draw.lognormal(6, 1.1, 20_000).astype(int) + 2, CAPACITY)
+    counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+    bound = -(-int(lengths.sum()) // CAPACITY)
+    assert sum(times for times, _ in make_plan(counts)) <= 1.002 * bound + 1
+
+
 def test_packing_of_an_empty_table(spark):
     assert packed(documents(spark, []), public_tokenizers.path("byte_bpe_50k.json"), 0).collect() == []
