@@ -115,6 +115,12 @@ def bucket_of(anchors: np.ndarray, buckets: int) -> np.ndarray:
     return ((anchors >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def runs(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values that occur in a sorted array, and where each begins and ends."""
+    begins = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])[: len(sorted_)])
+    return sorted_[begins], begins, np.append(begins[1:], len(sorted_))[: len(begins)]
+
+
 def in_order(batch: pa.Table) -> pa.Table:
     pa.default_memory_pool().release_unused()  # of earlier batches
     return batch.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
@@ -126,15 +132,14 @@ def send(batch: pa.Table, symbols: Symbols, buckets: int) -> pa.Table:
     usable = batch["doc_id"].is_valid().to_numpy()
     found = segments_of(*symbols(batch["text"].to_pylist()), usable)
     anchors, _, counts = distinct_anchors(found)
-    cuts = np.searchsorted(bucket_of(anchors, buckets), np.arange(buckets + 1))
+    held, begins, ends = runs(bucket_of(anchors, buckets))
     packed = np.ascontiguousarray(anchors.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
-    held = np.flatnonzero(np.diff(cuts))
     number = batch["batch"][0].as_py()
     return pa.table(
         [
             pa.array(held, pa.int32()), pa.array([number] * len(held), pa.int32()),
-            pa.array([packed[cuts[i] : cuts[i + 1]].tobytes() for i in held], pa.binary()),
-            pa.array([counts[cuts[i] : cuts[i + 1]].tobytes() for i in held], pa.binary()),
+            pa.array([packed[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary()),
+            pa.array([counts[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary()),
         ],
         ["bucket", "batch", "hashes", "counts"],
     )
@@ -204,11 +209,11 @@ def told(
     part = bucket_of(mixed(found["segment" if single else "anchor"][first]), parts)
     order = np.argsort(part, kind="stable")
     first, least, most = first[order], least[order], most[order]
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    held, out = np.flatnonzero(np.diff(cuts)), []
+    held, begins, ends = runs(part[order])
+    out = []
     press = zstandard.ZstdCompressor(level=1)
-    for at in held:
-        own = slice(cuts[at], cuts[at + 1])
+    for a, b in zip(begins, ends):
+        own = slice(a, b)
         counts = found["windows"][first[own]]
         content = gathered(symbols, found["start"][first[own]], counts + WINDOW - 1)
         anchors = found["anchor"][first[own]] if single else np.zeros(0, np.uint64)
@@ -257,10 +262,10 @@ def find(batch: pa.Table, answers: pa.Table, symbols: Symbols, buckets: int) ->
     all_symbols, ends = symbols(batch["text"].to_pylist())
     found = segments_of(all_symbols, ends, batch["doc_id"].is_valid().to_numpy())
     anchors, place, _ = distinct_anchors(found)
-    cuts = np.searchsorted(bucket_of(anchors, buckets), np.arange(buckets + 1))
+    held, begins, stops = runs(bucket_of(anchors, buckets))
+    at = np.searchsorted(held, answers["bucket"].to_numpy())
     shared, crowded = np.zeros(len(anchors), dtype=bool), np.zeros(len(anchors), dtype=bool)
-    for bucket, *bits in zip(*(answers[c].to_pylist() for c in ("bucket", "shared", "crowded"))):
-        low, high = cuts[bucket], cuts[bucket + 1]
+    for low, high, *bits in zip(begins[at], stops[at], *(answers[c].to_pylist() for c in ("shared", "crowded"))):
         for flags, raw in zip((shared, crowded), bits):
             flags[low:high] = np.unpackbits(np.frombuffer(raw, np.uint8), count=high - low)
     pick = lambda flags: {name: values[flags[place]] for name, values in found.items()}
@@ -383,7 +388,9 @@ def later_copies_removed(
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = blocks(size, BATCH_BYTES)
-    rows = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).cast("int"))
+    # Rows are dealt one by one, so that no batch gets all copies of a row that is there very often.
+    place = F.xxhash64("doc_id", F.length("text"), F.monotonically_increasing_id())
+    rows = rows.withColumn("batch", F.pmod(place, F.lit(count)).cast("int"))
     answers = (
         rows.groupBy("batch").applyInArrow(lambda t: send(t, symbols, count), SENT)
         .groupBy("bucket").applyInArrow(answer, ANSWER)

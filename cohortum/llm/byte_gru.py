@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortum.llm.common import held_out
-from cohortum.llm.wordcache import Words, groups
+from cohortum.llm.wordcache import Words, groups, one_model
 
 HIDDEN, WINDOW, DOCS, WORDS, LANGUAGES = 16, 24, 400, 12_000, 64
 STEPS, BATCH, UNKNOWN = 700, 256, "und"
@@ -221,7 +220,7 @@ class Labeller:
         return names, scores
 
 
-@cache
+@one_model
 def labeller(model: bytes) -> Labeller:
     """One per Python worker and model."""
     return Labeller(model)

@@ -22,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortum.llm.anchors import WINDOW, later_copies_removed
+from cohortum.llm.wordcache import release
 
 DIGESTS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
 def byte_symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    release()  # words that earlier steps of a pipeline remember here
     raw = [(text or "").encode() for text in texts]
     return np.frombuffer(b"".join(raw), np.uint8) , np.cumsum([len(x) for x in raw], dtype=np.int64)
 
@@ -69,6 +71,7 @@ def previous_factors(content: np.ndarray, starts: np.ndarray, docs: np.ndarray)
 
 def core(content: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """The smallest document of every window of the segments."""
+    release()
     counts, begins = sizes - WINDOW + 1, np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), counts)
     place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)

@@ -25,7 +25,6 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortum.llm.common import held_out, texts
-from cohortum.llm.wordcache import Words, groups
+from cohortum.llm.wordcache import Words, groups, one_model
 
 LABELLED, FEATURES, LEAST_DOCS, LEAST_GAIN = 12_000, 512, 3, 12.0
 STRETCH, DENSITIES, HEAD = 150, (0, 1, 2, 4), 4
@@ -399,7 +398,7 @@ class Scorer:
         return 1 / (1 + np.exp(-np.array(logits, dtype=np.float64)))
 
 
-@cache
+@one_model
 def scorer(trained: bytes) -> Scorer:
     """One per Python worker and model."""
     return Scorer(trained)

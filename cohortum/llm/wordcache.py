@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from weakref import WeakSet
 
 # Between two characters that are no white space a space always starts a new piece of text.
@@ -51,6 +52,26 @@ class Words:
         return self.known.__getitem__
 
 
+# Forget the models that steps keep in a worker.
+MODELS: list[Callable[[], None]] = []
+
+
+def one_model(build: Callable) -> Callable:
+    """Keep what ``build`` made last, per worker, until another is asked for or ``release``."""
+    kept = lru_cache(maxsize=1)(build)
+    MODELS.append(kept.cache_clear)
+    return kept
+
+
+def release() -> None:
+    """Drop what earlier steps keep in this worker; for steps that remember no words themselves."""
+    Words.in_use = None
+    for words in Words.alive:
+        words.known = {}
+    for forget in MODELS:
+        forget()
+
+
 def groups(texts: list[str | None], most: int = TOGETHER) -> Iterator[tuple[int, list[str]]]:
     """Start and texts of runs of rows with about ``most`` characters at most; null is empty."""
     start, size = 0, 0
