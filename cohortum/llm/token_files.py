@@ -32,7 +32,7 @@ from cohortum.llm.tokens import encoder
 from cohortum.llm.wordcache import groups
 from cohortum.sources.tables import shared_folder
 
-BLOCK_CHARACTERS, HEAD = 2 << 20, 64
+BLOCK_CHARACTERS, HEAD = 4 << 20, 64
 PLAIN = "shard int, block int, doc_ids array<bigint>, sizes array<bigint>, ids binary, seen array<int>, times array<bigint>"
 CODED = "shard int, block int, n_ids bigint, doc_ids array<bigint>, sizes array<bigint>, control binary, data binary"
 LENGTHS = np.stack([np.arange(256) >> shift & 3 for shift in (0, 2, 4, 6)], axis=1).astype(np.uint8) + 1

@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from cohortum.llm.wordcache import BETWEEN, Words
 
 MARK, CUT, END = "\x01", "\x00", "\x02"
+WORD_END, UNITS = "</w>", 1_200_000  # units remembered: some 150 bytes each
 # White space other than single spaces and line breaks between other characters.
 UNUSUAL = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
 TWICE, SELDOM = ("  ", "\n\n", " \n", "\n "), "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
@@ -133,7 +134,7 @@ class Encoder(WordwiseEncoder):
         from tokenizers import Tokenizer
 
         super().__init__(leading_space)
-        self.units = Words(self.encoded_units)
+        self.units = Words(self.encoded_units, UNITS)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
@@ -144,6 +145,12 @@ class Encoder(WordwiseEncoder):
             self.starts[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
         else:
             self.starts[self.tokenizer.encode(MARK, add_special_tokens=False).ids] = True
+        # Tokens that end a run of letters, in a vocabulary that has marks for that.
+        self.ends = np.zeros(self.size, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def joined(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def marked(self, texts: list[str], odd: bool) -> bytes:
         """All texts with a mark at every place where they may be cut, and ``END`` after each."""
@@ -197,8 +204,11 @@ class Encoder(WordwiseEncoder):
     def encoded(self, words: list[str]) -> list[bytes]:
         """Ids of any texts; those that can be told apart are encoded together."""
         out: list[bytes] = [b""] * len(words)
-        together, alone = [], []
+        together, alone, letters = [], [], []
         for i, w in enumerate(words):
+            if not self.leading_space and w.isalpha() and max(w) < "Ā":
+                letters.append(i)
+                continue
             if self.leading_space:
                 clear = w[:1] == " " and " " not in w[1:] and not (w[1:2].isspace() or w[-1].isspace())
             else:
@@ -209,12 +219,20 @@ class Encoder(WordwiseEncoder):
             done = self.tokenizer.encode_batch_fast([words[i] for i in some], add_special_tokens=False)
             for i, x in zip(some, done):
                 out[i] = np.array(x.ids, dtype="<u4").tobytes()
+        for start in range(0, len(letters), 16384):
+            some = letters[start : start + 16384]
+            ids = self.joined(" ".join([words[i] for i in some]))
+            raw, stops = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) != len(some):
+                raise AssertionError("words and their tokens do not match")
+            for i, a, b in zip(some, [0, *stops], stops):
+                out[i] = raw[a:b]
         between = "" if self.leading_space else f" {MARK} "
         for start in range(0, len(together), 16384):
             some = together[start : start + 16384]
             text = between.join([words[i] for i in some])
             text = text if self.leading_space else f"{MARK} {text}"
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = self.joined(text)
             begins = np.flatnonzero(self.starts[ids])
             if len(begins) != len(some):
                 raise AssertionError("words and their tokens do not match")
