@@ -3,10 +3,10 @@
 The network reads a word's bytes from both sides, gives every byte position probabilities of the
 languages, and a document's are pooled over all its positions: the language with the largest sum
 of log probabilities is predicted, its mean probability is the score. The state starts anew at
-white space (and every ``WINDOW`` bytes of a longer word), so a word is worked out once per worker
-however often it occurs. Training is backpropagation through time in numpy, with Adam, on a
-bounded sample: ``DOCS`` documents and ``WORDS`` words of each language, chosen by hash among the
-rows that may be learned from.
+white space, so a word is worked out once per worker however often it occurs; a word of more than
+``WINDOW`` bytes is read in overlapping windows. Training is backpropagation through time in numpy,
+with Adam, on a bounded sample: ``DOCS`` documents and ``WORDS`` words of each language, fewer of
+each beyond ``LANGUAGES`` languages, chosen by hash among the rows that may be learned from.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is every text
 if nothing could be learned; rows without a language are not learned from; repeated rows and null
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from cohortum.llm.common import held_out
 from cohortum.llm.wordcache import Words, groups, one_model
 
-HIDDEN, WINDOW, DOCS, WORDS, LANGUAGES = 16, 24, 400, 12_000, 64
+HIDDEN, WINDOW, CONTEXT, DOCS, WORDS, LANGUAGES = 16, 24, 6, 400, 12_000, 64
 STEPS, BATCH, UNKNOWN = 700, 256, "und"
 Weights = dict[str, np.ndarray]
 
@@ -109,19 +109,45 @@ def gradients(bytes_: np.ndarray, label: np.ndarray, weights: Weights) -> Weight
     return out
 
 
-def windows(words: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Bytes and word numbers of all windows, by length."""
-    by_length: dict[int, tuple[list[bytes], list[int]]] = {}
+def spans(word: bytes) -> list[tuple[int, int, int, int]]:
+    """Windows of a word, and which of its positions each stands for.
+
+    A word of up to ``WINDOW`` bytes is one window. A longer one, such as a text without spaces, is
+    cut into steps at character borders; each is read with ``CONTEXT`` bytes more on either side.
+    """
+    size = len(word)
+    if size <= WINDOW:
+        return [(0, size, 0, size)]
+
+    def border(at: int) -> int:
+        while 0 < at < size and word[at] & 0xC0 == 0x80:
+            at -= 1
+        return min(max(at, 0), size)
+
+    step = WINDOW - 2 * CONTEXT
+    cuts = sorted({*(border(at) for at in range(0, size, step)), size})
+    return [(border(a - CONTEXT), border(b + CONTEXT), a, b) for a, b in zip(cuts, cuts[1:])]
+
+
+def windows(words: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By length: the bytes of all windows, the numbers of their words, and a mark for each
+    position that the window stands for."""
+    by_length: dict[int, tuple[list[bytes], list[int], list[tuple[int, int]]]] = {}
     for number, word in enumerate(words):
-        for start in range(0, len(word), WINDOW):
-            part = word[start : start + WINDOW]
-            texts, numbers = by_length.setdefault(len(part), ([], []))
-            texts.append(part)
+        for start, end, low, high in spans(word):
+            texts, numbers, own = by_length.setdefault(end - start, ([], [], []))
+            texts.append(word[start:end])
             numbers.append(number)
-    return {
-        length: (np.frombuffer(b"".join(texts), np.uint8).reshape(-1, length), np.array(numbers))
-        for length, (texts, numbers) in by_length.items()
-    }
+            own.append((low - start, high - start))
+    out = {}
+    for length, (texts, numbers, own) in by_length.items():
+        low, high = np.array(own).T
+        at = np.arange(length)
+        out[length] = (
+            np.frombuffer(b"".join(texts), np.uint8).reshape(-1, length), np.array(numbers),
+            (at[:, None] >= low) & (at[:, None] < high),
+        )
+    return out
 
 
 def train(words: list[bytes], labels: list[int], count: int, steps: int = STEPS) -> Weights:
@@ -130,9 +156,9 @@ def train(words: list[bytes], labels: list[int], count: int, steps: int = STEPS)
     second = {k: np.zeros_like(v) for k, v in weights.items()}
     label = np.array(labels)
     parts = list(windows(words).values())
-    share = np.array([bytes_.size for bytes_, _ in parts], dtype=float)
+    share = np.array([bytes_.size for bytes_, _, _ in parts], dtype=float)
     for step in range(1, steps + 1):
-        bytes_, numbers = parts[noise.choice(len(parts), p=share / share.sum())]
+        bytes_, numbers, _ = parts[noise.choice(len(parts), p=share / share.sum())]
         rows = noise.integers(len(bytes_), size=min(BATCH, len(bytes_)))
         rate = 0.01 * min(1.0, 2 * (1 - step / (steps + 1)))
         for k, slope in gradients(bytes_[rows], label[numbers[rows]], weights).items():
@@ -143,31 +169,46 @@ def train(words: list[bytes], labels: list[int], count: int, steps: int = STEPS)
     return weights
 
 
+def quota(most: int, least: int, languages: int) -> int:
+    """What each language may have of a sample: ``most``, or less if there are very many."""
+    return max(least, min(most, LANGUAGES * most // max(1, languages)))
+
+
 def fit(docs: DataFrame) -> bytes:
-    """A network for the languages of the documents that may be learned from, as bytes."""
-    rows = docs.select("doc_id", "text", "lang").where(
+    """A network for the languages of the documents that may be learned from, as bytes.
+
+    Every language is learned: up to ``LANGUAGES`` of them with the whole sample of each, more of
+    them with smaller ones, of 4 documents and 50 words at least.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang").where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
+    # A row for each language.
+    found = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
+    docs_each, words_each = quota(DOCS, 4, len(found)), quota(WORDS, 50, len(found))
+    # The documents of least hash; few have a hash below what about twice as many would have.
+    limits = rows.sparkSession.createDataFrame(
+        [(lang, int(-(2**63) + 2**64 * min(1.0, (2 * docs_each + 50) / max(1, n))) - 1) for lang, n in found.items()],
+        "lang string, highest bigint",
+    )
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Chosen by identifier and language alone; no more than LANGUAGES * DOCS rows to broadcast.
+    # Chosen by identifier and language alone; no more rows to broadcast than the quotas allow.
     chosen = (
-        rows.select("doc_id", "lang").withColumn("place", F.row_number().over(by_hash))
-        .where(F.col("place") <= DOCS)
-        .orderBy("lang", "place").limit(LANGUAGES * DOCS)
-        .select("doc_id", "lang").distinct()
-    )
-    sample = (
-        rows.join(F.broadcast(chosen), ["doc_id", "lang"])
-        .select("lang", F.explode(F.split("text", r"\s+")).alias("word"))
-        .where("word <> ''")
+        rows.select("doc_id", "lang").join(F.broadcast(limits), "lang")
+        .where(F.xxhash64("doc_id") <= F.col("highest")).select("doc_id", "lang").distinct()
+        .withColumn("place", F.row_number().over(by_hash))
+        .where(F.col("place") <= docs_each)
+        .select("doc_id", "lang")
     )
+    # One text of each, however many rows an identifier has.
+    texts = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    sample = texts.select("lang", F.explode(F.split("text", r"\s+")).alias("word")).where("word <> ''")
     by_word = Window.partitionBy("lang").orderBy(F.xxhash64("word"), "word")
     sample = (
         sample.withColumn("place", F.row_number().over(by_word))
-        .where(F.col("place") <= WORDS)
+        .where(F.col("place") <= words_each)
         .select("lang", F.encode("word", "UTF-8").alias("word"))
         .orderBy("lang", "place")
-        .limit(LANGUAGES * WORDS)
         .toArrow()
     )
     langs = sorted(set(sample["lang"].to_pylist()))
@@ -191,13 +232,12 @@ class Labeller:
         """For each word the sums over its bytes: log probabilities, probabilities, one."""
         labels = len(self.langs)
         out = np.zeros((len(words), 2 * labels + 1), dtype=np.float32)
-        for bytes_, numbers in windows([w.encode() for w in words]).values():
+        for bytes_, numbers, own in windows([w.encode() for w in words]).values():
             for start in range(0, len(bytes_), 4096):
-                some = bytes_[start : start + 4096]
+                some, mine = bytes_[start : start + 4096], own[:, start : start + 4096, None]
                 logs = log_probabilities(some, self.weights)
-                sums = np.concatenate(
-                    [logs.sum(axis=0), np.exp(logs).sum(axis=0), np.full((len(some), 1), some.shape[1])], axis=1
-                )
+                parts = [(x if mine.all() else x * mine).sum(axis=0) for x in (logs, np.exp(logs))]
+                sums = np.concatenate([*parts, mine.sum(axis=0)], axis=1)
                 np.add.at(out, numbers[start : start + 4096], sums)
         whole, size = out.tobytes(), 4 * out.shape[1]
         return [whole[i : i + size] for i in range(0, len(whole), size)]

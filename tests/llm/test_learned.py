@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pickle
 from itertools import product
 
 import numpy as np
@@ -143,3 +144,51 @@ def test_a_text_of_very_many_words(spark, tables):
     scores = toxicity.toxicity_scores(long, toxicity.fit(docs, labels)).orderBy("doc_id").collect()
     assert scores[0]["score"] < 0.3 < scores[1]["score"]
     assert {r["lang_pred"] for r in byte_gru.language_predictions(long, byte_gru.fit(docs)).collect()} == {"en"}
+
+
+def test_every_language_is_learned(spark):
+    """More languages than have a whole sample each; each writes with three letters of its own."""
+    letters = [chr(c) for c in range(0x3B1, 0x3B1 + 24)] + [chr(c) for c in range(0x430, 0x430 + 32)] + list("abcdefghijklmnopqrstuvwxyz")
+    rows, languages = [], 80
+    for i in range(languages * 12):
+        own = letters[i % languages : i % languages + 3]
+        text = " ".join("".join(own[(j * k + k) % 3] for k in range(4)) for j in range(60))
+        rows.append((i, text, f"l{i % languages:02d}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = byte_gru.fit(docs)
+    langs, _ = pickle.loads(model)
+    assert len(langs) == languages
+    predicted = {r["lang_pred"] for r in byte_gru.language_predictions(docs, model).collect()}
+    assert predicted <= set(langs) and max(predicted) > "l70"
+
+
+def test_rows_of_one_identifier_are_one_of_the_sample(spark, tables):
+    docs, _ = tables
+    few = docs.where("doc_id < 60")
+    again = few.unionByName(few.where("doc_id = 2")).unionByName(few.where("doc_id = 2"))
+    assert byte_gru.fit(again) == byte_gru.fit(few)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("aé日😀", max_size=60))
+def test_windows_of_long_words_stand_for_every_position_once(word):
+    raw, seen = word.encode(), []
+    for start, end, low, high in byte_gru.spans(raw):
+        raw[start:end].decode()  # cut at characters
+        assert end - start <= byte_gru.WINDOW + 8 and start <= low and high <= end
+        seen += range(low, high)
+    assert seen == list(range(len(raw)))
+
+
+def test_sums_of_words_are_those_of_a_plain_loop():
+    weights = byte_gru.start_weights(3, seed=2)
+    labeller = byte_gru.Labeller(pickle.dumps((["a", "b", "c"], weights)))
+    words = ["a", "wörter", "日本語" * 9, "x" * 70]
+    for word, found in zip(words, labeller.sums(words)):
+        expected = np.zeros(7)
+        for start, end, low, high in byte_gru.spans(word.encode()):
+            part = np.frombuffer(word.encode()[start:end], np.uint8)[None]
+            logs = byte_gru.log_probabilities(part, weights)[:, 0]
+            for at in range(low - start, high - start):
+                expected += [*logs[at], *np.exp(logs[at]), 1]
+        assert np.frombuffer(found, np.float32) == pytest.approx(expected, rel=1e-4)
