@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortum.llm.common import held_out
-from cohortum.llm.wordcache import Words, groups, one_model
+from cohortum.llm.wordcache import FEWER, SMALLER, Words, groups, one_model
 
 HIDDEN, WINDOW, CONTEXT, DOCS, WORDS, LANGUAGES = 16, 24, 6, 400, 12_000, 64
 STEPS, BATCH, UNKNOWN = 700, 256, "und"
@@ -226,7 +226,7 @@ class Labeller:
 
         self.langs, self.weights = pickle.loads(model)
         self.letter = regex.compile(r"\p{L}").search
-        self.words = Words(self.sums)
+        self.words = Words(self.sums, FEWER)
 
     def sums(self, words: list[str]) -> list[bytes]:
         """For each word the sums over its bytes: log probabilities, probabilities, one."""
@@ -244,7 +244,7 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores, labels = [], [], len(self.langs)
-        for _, some in groups(texts):
+        for _, some in groups(texts, SMALLER):
             rows = [text.split() for text in some]
             known = self.words.learn(rows) if labels else None
             for text, row in zip(some, rows):

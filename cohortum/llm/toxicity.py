@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortum.llm.common import held_out, texts
-from cohortum.llm.wordcache import Words, groups, one_model
+from cohortum.llm.wordcache import FEWER, SMALLER, Words, groups, one_model
 
 LABELLED, FEATURES, LEAST_DOCS, LEAST_GAIN = 12_000, 512, 3, 12.0
 STRETCH, DENSITIES, HEAD = 150, (0, 1, 2, 4), 4
@@ -81,7 +81,7 @@ def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of character trigrams over all words of a task."""
     total = np.zeros(SYMBOLS**3)
     for batch in batches:
-        for _, some in groups(batch["text"].to_pylist()):
+        for _, some in groups(batch["text"].to_pylist(), SMALLER):
             counts: Counter[str] = Counter()
             for text in some:
                 counts.update(text.split())
@@ -238,7 +238,7 @@ class Reader:
         self.model, self.wanted = model, wanted
         # All features of a word begin with its first letters, which few wanted ones have.
         self.heads = {name[:HEAD] for name in wanted}
-        self.words = Words(self.numbers)
+        self.words = Words(self.numbers, FEWER)
 
     def numbers(self, words: list[str]) -> list[bytes]:
         get, heads = self.wanted.get, self.heads
@@ -299,7 +299,7 @@ def feature_counts(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iter
     reader = Reader(model, {})
     for batch in batches:
         toxic = batch["toxic"].to_pylist()
-        for start, some in groups(batch["text"].to_pylist()):
+        for start, some in groups(batch["text"].to_pylist(), SMALLER):
             counts: tuple[Counter, Counter] = (Counter(), Counter())
             memory: dict[str, list[str]] = {}
             for text, label in zip(some, toxic[start:]):
@@ -319,7 +319,7 @@ def found_features(batches: Iterator[pa.RecordBatch], model: np.ndarray, wanted:
     reader = Reader(model, wanted)
     for batch in batches:
         toxic = batch["toxic"].to_pylist()
-        for start, some in groups(batch["text"].to_pylist()):
+        for start, some in groups(batch["text"].to_pylist(), SMALLER):
             rows = [x.tolist() for x in reader.present(some)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(toxic[start : start + len(some)], pa.int32()), pa.array(rows, pa.list_(pa.int32()))],
@@ -392,7 +392,7 @@ class Scorer:
     def score(self, texts_: list[str | None]) -> np.ndarray:
         logits = [
             self.bias + float(self.weight[found].sum())
-            for _, some in groups(texts_)
+            for _, some in groups(texts_, SMALLER)
             for found in self.reader.present(some)
         ]
         return 1 / (1 + np.exp(-np.array(logits, dtype=np.float64)))

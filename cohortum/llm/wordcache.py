@@ -15,6 +15,8 @@ from weakref import WeakSet
 # Between two characters that are no white space a space always starts a new piece of text.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 TOGETHER = 8 << 20
+# For steps that keep a model in the worker beside the words: half of what others hold.
+FEWER, SMALLER = 300_000, 4 << 20
 
 
 class Words:
