@@ -168,6 +168,19 @@ def test_bad_lines_are_counted_and_listed(spark, layout):
     assert '"score":"?"' in listed.where("text = 'soon'").first()["line"]
 
 
+def test_texts_that_are_no_numbers_are_not_cast_and_others_once(spark, tmp_path):
+    odd = ["12", " 12 ", "+5", "1.0", ".", "1e3", "\u0661\u0662", "0x10", "?", "x1", "soon", "9223372036854775808",
+           "NaN", " nan", "-inf", "Infinity", "1d", "0x1p3", ".5", "--1", "1_0", "\x7f3", None]
+    texts = spark.createDataFrame([(x,) for x in odd], "text string")
+    for kind in ("double", "bigint", "int", "decimal(10,2)", "date"):
+        both = texts.select(F.col("text").try_cast(kind).cast("string").alias("cast"), tables.parsed("text", kind).cast("string").alias("ours"))
+        assert both.where("NOT (cast <=> ours)").count() == 0
+    texts.where("text IS NOT NULL").select(F.col("text").alias("id"), F.col("text").alias("n")).write.csv(f"{tmp_path}/raw", header=True)
+    read = tables.read_raw_with_rejects(spark, f"{tmp_path}/raw", {"id": "bigint", "n": "int"})
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_cast") == 2 and plan.count("RLIKE") == 2 and "filter(" not in plan
+
+
 def test_too_many_bad_lines_publish_nothing(spark, layout):
     with open(layout.raw("vle"), "w") as file:
         file.write("id_site,kind\n1,a\n")
