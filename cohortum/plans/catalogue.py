@@ -433,14 +433,21 @@ def _outcomes(roles: Roles) -> DataFrame:
 
 @registered
 def risk_scores(roles: Roles) -> DataFrame:
-    """Scores of a forest fitted to the outcomes: whose they are, and what holds for any of them."""
+    """Scores of every enrolment by two forests: of one fitted to a label that the features decide,
+    the scores themselves; of one fitted to the outcomes, what holds for any of them."""
+    features = _separable(roles)
+    decided = models.risk_scores(
+        _separable_model(features).model, features, features.select("id_student")
+    )
     model = models.fit_risk(_outcomes(roles)).model
     risk = F.col("risk_probability")
-    return models.risk_scores(model, roles.stored_engagement, roles.enrolments).select(
+    checked = models.risk_scores(model, roles.stored_engagement, roles.enrolments).select(
         "id_student",
         risk.between(0, 1).alias("in_range"),
         ((risk > 0.5) == (F.col("prediction") == 1)).alias("class_agrees"),
     )
+    # A row for each student on one side.
+    return decided.join(checked, "id_student")
 
 
 @registered

@@ -370,7 +370,13 @@ ORACLES: dict[str, str] = {
     ),
     "risk_auc_separable": "SELECT 1.0::DOUBLE AS auc FROM events LIMIT 1",
     "risk_scores": over(
-        ("labelled",), "SELECT id_student, TRUE AS in_range, TRUE AS class_agrees FROM labelled"
+        ("engagement", "enrolments"),
+        """SELECT id_student, CASE WHEN total_interactions % 8 >= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+                      AS prediction,
+                  CASE WHEN total_interactions % 8 >= 4 THEN 1.0::FLOAT ELSE 0.0::FLOAT END
+                      AS risk_probability,
+                  TRUE AS in_range, TRUE AS class_agrees
+           FROM engagement JOIN enrolments USING (id_student)""",
     ),
     "risk_layouts": over(
         ("labelled",),

@@ -130,3 +130,12 @@ def test_a_student_with_very_many_rows_is_split(spark, small_partitions):
     ):
         assert len(result.collect()) >= 60_000
         assert "skew=true" in plan_of(result)
+
+
+def test_risk_scores_gives_the_scores_and_their_checks(spark):
+    roles = Roles(spark, FOLDER)
+    found = QUERIES["risk_scores"](spark, FOLDER)
+    assert found.columns == ["id_student", "prediction", "risk_probability", "in_range", "class_agrees"]
+    assert found.count() == outcome_rows(roles.engagement, roles.enrolments).count()
+    scores = "prediction IN (0, 1) AND risk_probability BETWEEN 0 AND 1 AND in_range AND class_agrees"
+    assert found.where(scores).count() == found.count()
