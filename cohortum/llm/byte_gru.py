@@ -32,7 +32,11 @@ Weights = dict[str, np.ndarray]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    out = 0.5 * x
+    np.tanh(out, out=out)
+    out *= 0.5
+    out += 0.5
+    return out
 
 
 def start_weights(labels: int, seed: int = 5) -> Weights:
@@ -47,7 +51,8 @@ def start_weights(labels: int, seed: int = 5) -> Weights:
 def read_side(bytes_: np.ndarray, w: np.ndarray, u: np.ndarray, keep: bool = False):
     """States after each byte, shape (time, rows, HIDDEN), and what going back needs."""
     rows, time = bytes_.shape
-    state, states, kept = np.zeros((rows, HIDDEN), np.float32), [], []
+    state, kept = np.zeros((rows, HIDDEN), np.float32), []
+    states = np.empty((time, rows, HIDDEN), np.result_type(np.float32, w, u))
     gates, other = u[:, : 2 * HIDDEN], u[:, 2 * HIDDEN :]
     for t in range(time):
         x = w[bytes_[:, t]]
@@ -57,8 +62,8 @@ def read_side(bytes_: np.ndarray, w: np.ndarray, u: np.ndarray, keep: bool = Fal
         if keep:
             kept.append((state, z, r, c))
         state = state + z * (c - state)
-        states.append(state)
-    return np.stack(states), kept
+        states[t] = state
+    return states, kept
 
 
 def back_through_time(bytes_: np.ndarray, slopes: np.ndarray, kept: list, u: np.ndarray):
@@ -132,20 +137,29 @@ def spans(word: bytes) -> list[tuple[int, int, int, int]]:
 def windows(words: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By length: the bytes of all windows, the numbers of their words, and a mark for each
     position that the window stands for."""
-    by_length: dict[int, tuple[list[bytes], list[int], list[tuple[int, int]]]] = {}
-    for number, word in enumerate(words):
-        for start, end, low, high in spans(word):
-            texts, numbers, own = by_length.setdefault(end - start, ([], [], []))
-            texts.append(word[start:end])
-            numbers.append(number)
-            own.append((low - start, high - start))
+    if not words:
+        return {}
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    content, begins = np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes
+    # Most words are one window; only the others are looked at one by one.
+    several = np.flatnonzero(sizes > WINDOW)
+    cuts = [spans(words[i]) for i in several.tolist()]
+    counts = np.ones(len(words), np.int64)
+    counts[several] = [len(x) for x in cuts]
+    number = np.repeat(np.arange(len(words)), counts)
+    end = sizes[number]
+    start, low, high = np.zeros_like(end), np.zeros_like(end), end.copy()
+    if cuts:
+        part = end > WINDOW
+        start[part], end[part], low[part], high[part] = np.array([x for one in cuts for x in one]).T
+    lengths, first, held = np.unique(end - start, return_index=True, return_counts=True)
+    rows_of = np.split(np.argsort(end - start, kind="stable"), np.cumsum(held)[:-1])
     out = {}
-    for length, (texts, numbers, own) in by_length.items():
-        low, high = np.array(own).T
-        at = np.arange(length)
-        out[length] = (
-            np.frombuffer(b"".join(texts), np.uint8).reshape(-1, length), np.array(numbers),
-            (at[:, None] >= low) & (at[:, None] < high),
+    for i in np.argsort(first).tolist():
+        rows, at = rows_of[i], np.arange(lengths[i])
+        out[int(lengths[i])] = (
+            content[(begins[number[rows]] + start[rows])[:, None] + at], number[rows],
+            (at[:, None] >= (low - start)[rows]) & (at[:, None] < (high - start)[rows]),
         )
     return out
 
@@ -238,7 +252,11 @@ class Labeller:
                 logs = log_probabilities(some, self.weights)
                 parts = [(x if mine.all() else x * mine).sum(axis=0) for x in (logs, np.exp(logs))]
                 sums = np.concatenate([*parts, mine.sum(axis=0)], axis=1)
-                np.add.at(out, numbers[start : start + 4096], sums)
+                own_rows = numbers[start : start + 4096]
+                if (own_rows[1:] > own_rows[:-1]).all():
+                    out[own_rows] += sums
+                else:
+                    np.add.at(out, own_rows, sums)
         whole, size = out.tobytes(), 4 * out.shape[1]
         return [whole[i : i + size] for i in range(0, len(whole), size)]
 

@@ -1,8 +1,8 @@
 """Texts cut at single spaces into words, and a bounded memory of what was worked out for a word.
 
 Words repeat far more often than texts do, so what depends on a word alone is worked out once per
-word and Python worker, for a whole batch of new words together. The memory is emptied when it
-holds ``most`` words; results never depend on it.
+word and Python worker, for a whole batch of new words together. When the memory would hold more
+than ``most`` words, it keeps those that the batch has too; results never depend on it.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ class Words:
                     other.known = {}
         new = set().union(*rows)
         if len(self.known) + len(new) > self.most:
-            self.known = {}
+            self.known = {word: self.known[word] for word in new & self.known.keys()}
         new = [word for word in new if word not in self.known]
         self.known.update(zip(new, self.compute(new)))
         return self.known.__getitem__

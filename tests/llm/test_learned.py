@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cohortum.llm import byte_gru, toxicity
+from cohortum.llm.wordcache import Words
 from tests.llm.helpers import documents, odd_texts
 
 FOLDER = "/root/testdata/sf0.01"
@@ -55,6 +56,30 @@ def test_languages_of_held_out_documents(spark, tables):
     assert kept.columns == odd.columns and kept.where("doc_id <= 4").count() == 0
 
 
+def test_windows_are_the_spans_of_their_words(monkeypatch):
+    words = [b"abc", "日本語のテキスト".encode() * 9, b"x", b"de" * 12, b"fgh", b"y" * 25]
+    expected: dict = {}
+    for number, word in enumerate(words):
+        for a, b, low, high in byte_gru.spans(word):
+            expected.setdefault(b - a, []).append((word[a:b], number, [low <= a + i < high for i in range(b - a)]))
+    looked_at = []
+    plain = byte_gru.spans
+    monkeypatch.setattr(byte_gru, "spans", lambda word: looked_at.append(word) or plain(word))
+    found = byte_gru.windows(words)
+    assert list(found) == list(expected) and byte_gru.windows([]) == {}
+    for length, (bytes_, numbers, own) in found.items():
+        assert [(x.tobytes(), n, o) for x, n, o in zip(bytes_, numbers.tolist(), own.tolist())] == expected[length]
+    assert looked_at == [words[1], words[5]]
+
+
+def test_a_full_memory_keeps_the_words_that_come_again():
+    asked = []
+    words = Words(lambda new: asked.append(sorted(new)) or [w.encode() for w in new], most=4)
+    words.learn([["a", "b", "c"]])
+    known = words.learn([["b", "d"], ["c", "e"]])
+    assert asked == [["a", "b", "c"], ["d", "e"]] and known("b") == b"b" and len(words.known) == 4
+
+
 def test_nothing_to_learn_languages_from(spark):
     docs = documents(spark, ["some text", None]).withColumn("lang", F.lit(None).cast("string"))
     found = byte_gru.language_predictions(docs, byte_gru.fit(docs)).collect()
