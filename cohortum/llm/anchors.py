@@ -25,8 +25,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortum.llm.common import blocks
 
@@ -356,7 +357,7 @@ def removed(found: dict[str, np.ndarray], firsts: pa.Table, docs: np.ndarray) ->
 def take_out(batch: pa.Table, firsts: pa.Table, symbols: Symbols, finish: Callable) -> pa.Table:
     """``finish`` over the documents of a batch and what to remove from each."""
     if not batch.num_rows:
-        return pa.Table.from_batches([finish(batch["doc_id"].combine_chunks(), [], [])])
+        return pa.Table.from_batches([finish(batch.drop_columns(["batch"]), [], [])])
     batch = in_order(batch)
     texts = batch["text"].to_pylist()
     all_symbols, ends = symbols(texts)
@@ -373,19 +374,21 @@ def take_out(batch: pa.Table, firsts: pa.Table, symbols: Symbols, finish: Callab
     order = np.argsort(document, kind="stable")
     cuts = np.searchsorted(document[order], np.arange(batch.num_rows + 1))
     removals = [merged(low[order[a:b]], high[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
-    return pa.Table.from_batches([finish(batch["doc_id"].combine_chunks(), texts, removals)])
+    return pa.Table.from_batches([finish(batch.drop_columns(["batch"]), texts, removals)])
 
 
 def later_copies_removed(
-    docs: DataFrame, symbols: Symbols, kind: type, core: Callable, finish: Callable, schema: str
+    docs: DataFrame, symbols: Symbols, kind: type, core: Callable, finish: Callable, schema: str | T.StructType,
+    *carried: Column,
 ) -> DataFrame:
-    """``finish(doc_ids, texts, removals)`` over all documents; a removal is lows and highs.
+    """``finish(batch, texts, removals)`` over all documents; a removal is lows and highs.
 
+    A batch has the columns ``doc_id``, ``text`` and those ``carried`` along from ``docs``.
     ``kind`` is the type of symbols. ``core`` gets the contents of a shard's different segments one
     after the other, their sizes and smallest documents, and returns the smallest document that has
     each window, for all windows of all segments in order.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *carried)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = blocks(size, BATCH_BYTES)
     # Rows are dealt one by one, so that no batch gets all copies of a row that is there very often.

@@ -173,7 +173,7 @@ def core(content: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray
     return least[which][np.lexsort((place, owner))]
 
 
-def digests(doc_ids: pa.Array, texts: list[str | None], removals: list) -> pa.RecordBatch:
+def digests(batch: pa.Table, texts: list[str | None], removals: list) -> pa.RecordBatch:
     counts, removed, hashes = [], [], []
     for text, (lows, highs) in zip(texts, removals):
         words = (text or "").encode().split()
@@ -186,7 +186,7 @@ def digests(doc_ids: pa.Array, texts: list[str | None], removals: list) -> pa.Re
         removed.append(len(words) - len(kept))
         hashes.append(hashlib.sha256(b" ".join(kept)).hexdigest())
     return pa.RecordBatch.from_arrays(
-        [doc_ids, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(hashes, pa.string())],
+        [batch["doc_id"].combine_chunks(), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(hashes, pa.string())],
         [x.split(" ")[0] for x in DIGESTS.split(", ")],
     )
 

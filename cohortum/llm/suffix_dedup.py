@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortum.llm.anchors import WINDOW, later_copies_removed
 from cohortum.llm.wordcache import release
@@ -86,12 +87,12 @@ def kept_bytes(text: str | None, removal: tuple[np.ndarray, np.ndarray]) -> byte
     return b"".join([*out, raw[at:]])
 
 
-def digests(doc_ids: pa.Array, texts: list[str | None], removals: list) -> pa.RecordBatch:
+def digests(batch: pa.Table, texts: list[str | None], removals: list) -> pa.RecordBatch:
     sizes = [len((t or "").encode()) for t in texts]
     kept = [kept_bytes(t, r) for t, r in zip(texts, removals)]
     return pa.RecordBatch.from_arrays(
         [
-            doc_ids, pa.array(sizes, pa.int64()), pa.array([n - len(k) for n, k in zip(sizes, kept)], pa.int64()),
+            batch["doc_id"].combine_chunks(), pa.array(sizes, pa.int64()), pa.array([n - len(k) for n, k in zip(sizes, kept)], pa.int64()),
             pa.array([len(r[0]) for r in removals], pa.int64()),
             pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
         ],
@@ -104,33 +105,28 @@ def without_later_copies(docs: DataFrame, finish=digests, schema: str = DIGESTS)
     return later_copies_removed(docs, byte_symbols, np.uint8, core, finish, schema)
 
 
-CHANGED = "doc_id bigint, old_sha256 string, new_text string"
-
-
-def changed_texts(doc_ids: pa.Array, texts: list[str | None], removals: list) -> pa.RecordBatch:
-    """The texts that lose bytes; a character that loses some of its bytes goes whole."""
-    at = [i for i, removal in enumerate(removals) if len(removal[0])]
+def cut_texts(batch: pa.Table, texts: list[str | None], removals: list) -> pa.RecordBatch:
+    """Texts without later copies, and which of them changed, beside what was carried along; a
+    character that loses some of its bytes goes whole."""
+    cut = [len(removal[0]) > 0 for removal in removals]
+    kept = [kept_bytes(t, r).decode(errors="ignore") if c else t for t, r, c in zip(texts, removals, cut)]
     return pa.RecordBatch.from_arrays(
-        [
-            doc_ids.take(pa.array(at, pa.int64())),
-            pa.array([hashlib.sha256(texts[i].encode()).hexdigest() for i in at], pa.string()),
-            pa.array([kept_bytes(texts[i], removals[i]).decode(errors="ignore") for i in at], pa.string()),
-        ],
-        [x.split(" ")[0] for x in CHANGED.split(", ")],
+        [pa.array(kept, batch.schema.field("text").type), pa.array(cut, pa.bool_()), batch["row"].combine_chunks()],
+        ["text", "cut", "row"],
     )
 
 
 def with_texts_cut(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``, texts without later copies; ``n_chars`` follows them."""
-    changed = without_later_copies(docs, changed_texts, CHANGED).dropDuplicates(["doc_id", "old_sha256"])
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.sha2("text", 256).alias("old_sha256"),
-    ).join(changed, ["doc_id", "old_sha256"], "left")
-    text = F.coalesce("new_text", "row.text")
-    new = {"text": text}
+    """All rows and columns of ``docs``, texts without later copies; ``n_chars`` follows them.
+
+    The other columns go with the texts into their batches, so that rows are shuffled only once.
+    """
+    row = F.struct(*(name for name in docs.columns if name != "text")).alias("row")
+    kind = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema if f.name != "text"])
+    schema = T.StructType().add("text", "string").add("cut", "boolean").add("row", kind)
+    rows = later_copies_removed(docs, byte_symbols, np.uint8, core, cut_texts, schema, row)
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        length = F.length("new_text").cast(docs.schema["n_chars"].dataType)
-        new["n_chars"] = F.when(F.col("new_text").isNotNull(), length).otherwise(F.col("row.n_chars"))
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("cut"), length).otherwise(F.col("row.n_chars"))
     return rows.select(*[new.get(name, F.col("row")[name]).alias(name) for name in docs.columns])

@@ -90,6 +90,16 @@ def test_texts_are_cut_and_other_columns_kept(spark):
     assert found[2]["n_chars"] == len(found[2]["text"]) and found[2]["batch"] == "b"
 
 
+def test_rows_are_shuffled_once_to_cut_their_texts(spark):
+    texts, ids = corpus()
+    docs = documents(spark, texts, ids)
+    found = suffix_dedup.with_texts_cut(docs)
+    assert found.dtypes == docs.dtypes and found.count() == len(texts)
+    assert " Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    left = found.where("doc_id IS NULL OR length(text) >= n_chars").count()
+    assert left == len([t for t in texts if t is not None]) + found.where("doc_id IS NULL AND text IS NULL").count()
+
+
 def shingles(text: str | None) -> frozenset:
     words = WORD.findall((text or "").translate(LOWER))
     if not words:

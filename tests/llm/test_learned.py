@@ -68,7 +68,7 @@ def test_windows_are_the_spans_of_their_words(monkeypatch):
     found = byte_gru.windows(words)
     assert list(found) == list(expected) and byte_gru.windows([]) == {}
     for length, (bytes_, numbers, own) in found.items():
-        assert [(x.tobytes(), n, o) for x, n, o in zip(bytes_, numbers.tolist(), own.tolist())] == expected[length]
+        assert [(x.tobytes(), n, o) for x, n, o in zip(bytes_, numbers.tolist(), own.T.tolist())] == expected[length]
     assert looked_at == [words[1], words[5]]
 
 
