@@ -207,11 +207,15 @@ def build_averages(spark: SparkSession, layout: Layout, rewrite: Rewrite | None
 def build_grades(spark: SparkSession, layout: Layout, how: str = "key", **options) -> GradeReport:
     """Fit the grade model, predict for every student with a grade, and report its quality.
 
+    Only active students have grade rows, so submissions of others are left out before they are
+    dealt and sorted by assessment.
+
     Capped predictions are counted in the written table, of which that reads one short column. An
     observation of the write would save that, but a session that has used one can no longer ship
     forest models to its tasks (Spark 4.1).
     """
     submissions, engagement = students_of(spark, layout, "studentAssessment", fixed.ENGAGEMENT_TABLE)
+    submissions = submissions.join(engagement.select("id_student"), "id_student", "left_semi")
     assessments = read_table(spark, layout, "assessments")
     with intermediate_folder(spark) as folder:
         rows = materialise(

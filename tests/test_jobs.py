@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortum import fixed_values as fixed
 from cohortum.plans import jobs
-from cohortum.sources.tables import Layout, read_table
+from cohortum.sources.tables import Layout, read_table, write_table
+from tests import data
 from tests.data import as_set, rows
 
 STUDENTS = 120
@@ -181,3 +182,17 @@ def test_command_line_runs_a_step(spark, layout, reports, capsys):
     assert capsys.readouterr().out.startswith("engagement: ")
     with pytest.raises(SystemExit):
         main(["nothing", "--raw", "a", "--processed", "b"])
+
+
+def test_submissions_of_inactive_students_do_not_reach_the_grades(spark, tmp_path, monkeypatch):
+    layout, seen, plain = Layout(f"{tmp_path}/raw", f"{tmp_path}/processed"), [], jobs.weighted_grades
+    monkeypatch.setattr(jobs, "weighted_grades", lambda rows_, weights: seen.append(rows_) or plain(rows_, weights))
+    active = data.engagement(spark, *((student, 10 * student + student % 7, student % 9) for student in range(1, 31)))
+    write_table(active, layout, fixed.ENGAGEMENT_TABLE)
+    lines = [(1, student, 2, float((student or 0) % 50)) for student in [*range(1, 61), None]]
+    columns = "id_assessment long, id_student long, date_submitted int, score double"
+    write_table(spark.createDataFrame(lines, columns), layout, "studentAssessment")
+    write_table(spark.createDataFrame([(1, 50.0)], "id_assessment long, weight double"), layout, "assessments")
+    jobs.build_grades(spark, layout)
+    assert seen[0].count() == 30
+    assert sorted(r[0] for r in read_table(spark, layout, fixed.GRADE_TABLE).select("id_student").collect()) == [*range(1, 31)]
