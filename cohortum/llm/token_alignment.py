@@ -9,7 +9,7 @@ overlap. Many lists are searched in step with each other, in pieces of ``LANE``
 Neither vocabulary has a token across the space between two other characters, so texts are cut
 there, the distinct units of a block of documents are aligned once, and documents are put together
 from their units. Blocks are stored with their units' links; the links' counts over the corpus are
-sums over the blocks' distinct pairs of ids, which come back to each block by a join.
+sums over the blocks' distinct pairs of ids, which meet each block again, one block at a time.
 
 Defined cases: a null or empty text, or one whose tokens do not give back its bytes after a space,
 has no tokens: zeros and an empty digest. Null and repeated ``doc_id`` are rows like any other;
@@ -18,10 +18,10 @@ other columns are left out; an empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from cohortum.llm.byte_pairs import Strings
 from cohortum.llm.common import share_code, texts
-from cohortum.llm.tokens import encoder
-from cohortum.llm.wordcache import BETWEEN, groups
+from cohortum.llm.tokens import Encoder
+from cohortum.llm.wordcache import BETWEEN, groups, one_model, release
 from cohortum.sources.tables import materialise
 
 LANE, BLOCK_CHARACTERS, BLOCK_ROWS, STEP = 64, 2 << 20, 1000, 1 << 16
@@ -160,7 +160,7 @@ class Pair:
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
 
-        self.a = encoder(a_path, True)
+        self.a = Encoder(a_path, True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         symbols, vocabulary = byte_of_symbol(), self.a.tokenizer.get_vocab()
         pieces = [b""] * (max(vocabulary.values()) + 1)
@@ -206,12 +206,20 @@ class Pair:
         return Aligned(a, b, a_ends, b_ends, self.a_pieces.sizes[a], self.b_pieces.sizes[b]), good
 
 
-@cache
+@one_model
 def tokenizer_pair(a_path: str, b_path: str) -> Pair:
-    """One per Python worker."""
+    """One per Python worker, until the blocks are put together."""
     return Pair(a_path, b_path)
 
 
+def forget() -> None:
+    """Drop the tokenizers and what else a worker keeps for other steps."""
+    if tokenizer_pair.cache_info().currsize:
+        release()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sum of each run of values."""
     total = np.append(0, np.cumsum(values, dtype=np.int64))
@@ -278,29 +286,32 @@ def aligned_blocks(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str)
             number += 1
 
 
-def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums over each document's links of what the corpus holds of their pairs."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            numbers = lambda name: np.frombuffer(zstandard.decompress(batch[name][row].as_py()), "<i4").astype(np.int64)  # noqa: E731, B023
-            lists = lambda name: batch[name][row].values if batch[name][row].is_valid else pa.array([])  # noqa: E731, B023
-            units, ends, links, sizes = map(numbers, ("units", "unit_ends", "links", "link_sizes"))
-            link_ends = np.cumsum(sizes)
-            answer = lists("answer")
-            times, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-            if len(answer):
-                times = answer.field("n").to_numpy(zero_copy_only=False)
-                best = answer.field("best").to_numpy(zero_copy_only=False).astype(np.int64)
-            n_a, n_b, n_groups = (lists(name).to_numpy() for name in ("n_a", "n_b", "n_groups"))
-            of_unit = [sums(values[links], link_ends) if len(links) else np.zeros(len(link_ends), np.int64) for values in (best, times)]
-            n_best, count_sum = (sums(values[units], ends) for values in of_unit)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    lists("doc_ids"), pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_a + n_b - n_groups),
-                    pa.array(n_best), pa.array(count_sum), lists("groups_sha256"),
-                ],
-                [x.split(" ")[0] for x in RESULT.split(", ")],
-            )
+def finished(block: pa.Table, answers: pa.Table) -> pa.Table:
+    """Sums over the links of each document of a block of what the corpus holds of their pairs."""
+    import pyarrow
+
+    names = [x.split(" ")[0] for x in RESULT.split(", ")]
+    forget()
+    if not block.num_rows:
+        return pyarrow.table([pa.array([], pa.string() if x == "groups_sha256" else pa.int64()) for x in names], names)
+    numbers = lambda name: np.frombuffer(zstandard.decompress(block[name][0].as_py()), "<i4").astype(np.int64)
+    lists = lambda name: block[name][0].values
+    units, ends, links, sizes = map(numbers, ("units", "unit_ends", "links", "link_sizes"))
+    link_ends, place = np.cumsum(sizes), answers["place"].to_numpy()
+    of_unit = []
+    for name in ("best", "n"):
+        values = np.zeros(len(place), dtype=np.int64)
+        values[place] = answers[name].to_numpy()
+        of_unit.append(sums(values[links], link_ends) if len(links) else np.zeros(len(link_ends), np.int64))
+    n_a, n_b, n_groups = (lists(name).to_numpy() for name in ("n_a", "n_b", "n_groups"))
+    n_best, count_sum = (sums(values[units], ends) for values in of_unit)
+    return pyarrow.table(
+        [
+            lists("doc_ids"), pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_a + n_b - n_groups),
+            pa.array(n_best), pa.array(count_sum), lists("groups_sha256"),
+        ],
+        names,
+    )
 
 
 def aligned_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -314,9 +325,6 @@ def aligned_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     totals = materialise(totals)
     # A row for each entry of the second vocabulary at most.
     highest = totals.groupBy("b").agg(F.max("n").alias("highest"))
-    known = totals.join(F.broadcast(highest), "b").select("pair", "n", (F.col("n") == F.col("highest")).alias("best"))
-    answers = (
-        each.select("block", "place", "pair").join(known, "pair")
-        .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "n", "best"))).alias("answer"))
-    )
-    return stored.drop("pairs", "times").join(answers, "block", "left").mapInArrow(finished, RESULT)
+    known = totals.join(F.broadcast(highest), "b").select("pair", "n", (F.col("n") == F.col("highest")).cast("bigint").alias("best"))
+    answers = each.select("block", "place", "pair").join(known, "pair").select(F.col("block").alias("of"), "place", "n", "best")
+    return stored.drop("pairs", "times").groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(finished, RESULT)

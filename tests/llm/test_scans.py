@@ -198,6 +198,18 @@ def test_token_alignment(spark, monkeypatch):
     assert aligned_tokens(documents(spark, []), A, B).collect() == []
 
 
+def test_alignment_puts_one_block_together_at_a_time(spark):
+    found = aligned_tokens(documents(spark, ["a b", "b c"]), A, B)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" in plan and "collect_list" not in plan
+
+
+def test_tokenizers_go_before_blocks_are_put_together():
+    tokenizer_pair(A, B)
+    token_alignment.forget()
+    assert tokenizer_pair.cache_info().currsize == 0
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.sets(st.integers(1, 400)), st.sets(st.integers(1, 400))), max_size=6))
 def test_galloping_finds_all_places(lists):
