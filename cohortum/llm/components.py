@@ -1,7 +1,7 @@
 """Connected components of an edge table, with every step a bounded Spark job.
 
-Edges are first contracted inside each partition; then large-star and small-star steps alternate
-until nothing changes. A step takes each node's smallest neighbour (combined before the shuffle)
+Edges are first contracted inside each partition, and those left again, up to ``TOGETHER`` at a
+time; then large-star and small-star steps alternate until all that is left are stars. A step takes each node's smallest neighbour (combined before the shuffle)
 and joins it back to the edges; both sides are stored, so that adaptive execution can split the
 edges of a node that very many share.
 """
@@ -15,9 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortum.llm.common import blocks
 from cohortum.sources.tables import materialise
 
-EDGES = "a bigint, b bigint"
+EDGES, TOGETHER = "a bigint, b bigint", 1 << 17
 
 
 def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,17 +61,20 @@ def star_steps(edges: DataFrame) -> DataFrame:
     return materialise(small.distinct())
 
 
+def only_stars(edges: DataFrame) -> bool:
+    """Whether each larger node has one edge, to a node that is no larger node itself."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    times = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return times.where("out > 1 OR (out = 1 AND into = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node that it is linked to, for every node but roots."""
     edges = materialise(edges.select("a", "b").where("a <> b").mapInArrow(contracted, EDGES))
-
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    before = state(edges)
-    while before[0]:
+    if left := edges.count():
+        edges = materialise(edges.coalesce(blocks(left, TOGETHER)).mapInArrow(contracted, EDGES))
+    while not only_stars(edges):
         edges = star_steps(edges)
-        if (now := state(edges)) == before:
-            break
-        before = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -377,7 +377,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     held = materialise(partners.join(of, "node").join(sets, "node"))
     size = materialise(held.groupBy("prefix").agg(F.sum(F.length("shingles")).alias("size")))
     most = materialise(in_blocks(held, size, SET_BYTES).groupBy(*pair).applyInArrow(links_of_sets, "a bigint, b bigint"))
-    roots = components(links.unionByName(more).unionByName(most))
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(known.unionByName(more).unionByName(most))
     known = classes.select("node", "id").join(roots, "node", "left")
     known = materialise(known.select("node", "id", F.coalesce("root", "node").alias("root")))
     smallest = materialise(known.groupBy("root").agg(F.min("id").alias("component_id")))

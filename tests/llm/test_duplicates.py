@@ -188,3 +188,19 @@ def test_fm_index_counts_like_a_scan():
     starts = np.cumsum(sizes) - sizes
     parts = [symbols[a : a + n].tolist() for a, n in zip(starts, sizes)]
     assert int(high[0] - low[0]) == sum(p[i : i + 2] == [1, 2] for p in parts for i in range(len(p) - 1))
+
+
+def test_few_edges_need_no_star_steps(spark, monkeypatch):
+    from cohortum.llm import components as module
+
+    steps, written = [], []
+    star_steps, materialise = module.star_steps, module.materialise
+    monkeypatch.setattr(module, "star_steps", lambda e: steps.append(1) or star_steps(e))
+    monkeypatch.setattr(module, "materialise", lambda df: written.append(1) or materialise(df))
+    frame = spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint").repartition(5)
+    expected = {i: 0 for i in range(1, 41)}
+    assert {r["node"]: r["root"] for r in components(frame).collect()} == expected
+    assert (len(steps), len(written)) == (0, 2)
+    monkeypatch.setattr(module, "TOGETHER", 8)  # several partitions: steps until only stars are left
+    assert {r["node"]: r["root"] for r in components(frame).collect()} == expected
+    assert steps
