@@ -23,47 +23,85 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from cohortum.llm.anchors import WINDOW, later_copies_removed
-from cohortum.llm.wordcache import Words, groups
+from cohortum.llm.anchors import BASE, WINDOW, later_copies_removed, mixed
+from cohortum.llm.wordcache import groups
 
+LONG, HALF = 64, 32  # HALF: a power of two, from half of WINDOW on
+ONE_SPACE = bytes(32 if 9 <= c <= 13 else c for c in range(256))
+LOW_BYTES = np.array([2 ** (8 * n) - 1 for n in range(9)], dtype="<u8")
 DIGESTS = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
-def word_hashes(words: list[bytes]) -> list[bytes]:
-    return [xxhash.xxh3_64_intdigest(word).to_bytes(8, "little") for word in words]
-
-
-HASHED = Words(word_hashes)
+class Cut:
+    """The words of texts, as places in the bytes of all texts with a space around each."""
+
+    def __init__(self, texts: list[str]):
+        raw = [text.encode() for text in texts]
+        joined = b" ".join([b"", *raw, b""]).translate(ONE_SPACE)
+        self.data = np.frombuffer(joined, np.uint8)
+        self.white = self.data == 32
+        edges = np.flatnonzero(self.white[1:] != self.white[:-1]) + 1
+        self.starts, self.ends = edges[::2], edges[1::2]
+        after = np.cumsum([len(x) + 1 for x in raw], dtype=np.int64)
+        self.words = np.searchsorted(self.starts, after)  # of all texts up to each
+
+    def hashes(self) -> np.ndarray:
+        """Of each word, eight bytes at a time; the rest of long words at once."""
+        sizes = self.ends - self.starts
+        out, padded = sizes.astype(np.uint64) * BASE, np.append(self.data, np.zeros(8, np.uint8))
+        eight = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))
+        left, at = np.arange(len(sizes)), 0
+        while len(left) and at < LONG:
+            some = eight[self.starts[left] + at] & LOW_BYTES[np.minimum(sizes[left] - at, 8)]
+            out[left] = mixed(mixed(out[left] ^ some))
+            at += 8
+            left = left[sizes[left] > at]
+        places = zip((self.starts[left] + at).tolist(), self.ends[left].tolist())
+        rest = [xxhash.xxh3_64_intdigest(self.data[a:b]) for a, b in places]
+        out[left] = mixed(out[left] ^ np.array(rest, dtype=np.uint64))
+        return out
 
 
 def word_symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    parts, sizes = [], []
+    parts, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, some in groups(texts):
-        rows = [text.encode().split() for text in some]
-        known = HASHED.learn(rows)
-        parts.extend(b"".join(map(known, row)) for row in rows)
-        sizes.extend(map(len, rows))
-    return np.frombuffer(b"".join(parts), np.uint64), np.cumsum(sizes, dtype=np.int64)
+        cut = Cut(some)
+        parts.append(cut.hashes())
+        sizes.append(np.diff(cut.words, prepend=0))
+    return np.concatenate(parts), np.cumsum(np.concatenate(sizes), dtype=np.int64)
+
 
+def in_order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of keys of twice ``bits``, as many as fit into ``bits``, ties by place; and the sorted keys.
+
+    Sorted together with their places where both fit into a number, which is faster.
+    """
+    if 3 * bits > 63:
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    both = key << bits | np.arange(len(key))
+    both.sort()
+    return both & (1 << bits) - 1, both >> bits
 
-def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Order of all suffixes, by doubling the length that is sorted."""
+
+def suffixes(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of all suffixes, by doubling the length that is sorted; and numbers that are equal for
+    suffixes that agree in the first ``HALF`` symbols."""
     rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-    n, length = len(rank), 1
-    order = np.argsort(rank, kind="stable")
+    n, length, agree = len(rank), 1, rank
+    order, bits = np.arange(n), n.bit_length()
     while length < n:
         second = np.zeros(n, dtype=np.int64)
         second[:-length] = rank[length:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        order, key = in_order(rank << bits | second, bits)
         fresh = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
         rank = np.empty(n, dtype=np.int64)
         rank[order] = fresh
+        length *= 2
+        agree = rank if length <= HALF else agree
         if fresh[-1] == n - 1:
             break
-        length *= 2
-    return order
+    return order, agree
 
 
 class WaveletTree:
@@ -110,7 +148,7 @@ class FMIndex:
         # For sorting, separators differ, so that no order depends on what follows a segment.
         apart = text + count
         apart[self.starts + sizes] = np.arange(count)
-        order = suffix_array(apart)
+        order, agree = suffixes(apart)
         self.text, kinds = text, int(symbols.max()) + 1
         self.tree = WaveletTree(text[order - 1], kinds)
         smaller = np.cumsum(np.bincount(text, minlength=kinds)) - np.bincount(text, minlength=kinds)
@@ -125,10 +163,8 @@ class FMIndex:
         whole = reach - np.arange(len(text)) >= WINDOW
         deep = np.zeros(len(text), dtype=bool)
         both = np.flatnonzero(whole[order[1:]] & whole[order[:-1]])
-        for start in range(0, len(both), 1 << 14):
-            some = both[start : start + (1 << 14)]
-            one, two = order[some][:, None] + np.arange(WINDOW), order[some + 1][:, None] + np.arange(WINDOW)
-            deep[some + 1] = (text[one] == text[two]).all(axis=1)
+        one, two, rest = order[both], order[both + 1], WINDOW - HALF
+        deep[both + 1] = (agree[one] == agree[two]) & (agree[one + rest] == agree[two + rest])
         places = np.arange(len(text))
         self.low = np.maximum.accumulate(np.where(deep, 0, places))
         ends = np.append(np.flatnonzero(~deep)[1:], len(text))

@@ -204,3 +204,29 @@ def test_few_edges_need_no_star_steps(spark, monkeypatch):
     monkeypatch.setattr(module, "TOGETHER", 8)  # several partitions: steps until only stars are left
     assert {r["node"]: r["root"] for r in components(frame).collect()} == expected
     assert steps
+
+
+@pytest.mark.parametrize("texts", [[], [None], ["", " \t"], odd_texts(), ["a" * n + " " for n in range(200)]])
+def test_words_are_cut_and_hashed_alike(texts):
+    symbols, ends = fm_index.word_symbols(texts)
+    words = [WORD.findall(t or "") for t in texts]
+    assert np.diff(ends, prepend=0).tolist() == list(map(len, words))
+    numbers: dict = {}
+    for word, symbol in zip([w for row in words for w in row], symbols.tolist()):
+        assert numbers.setdefault(word, symbol) == symbol
+    assert len(set(numbers.values())) == len(numbers)
+
+
+@pytest.mark.parametrize("bits", [4, 40])
+def test_suffixes_in_order_and_their_first_symbols(monkeypatch, bits):
+    in_order = fm_index.in_order
+    monkeypatch.setattr(fm_index, "in_order", lambda key, own: in_order(key, max(own, bits)) if bits > 21 else in_order(key, own))
+    draw = np.random.default_rng(bits)
+    block = draw.integers(0, 3, 80)
+    symbols = np.concatenate([block, [7], block, [8], draw.integers(0, 2, 100), [9]])
+    order, agree = fm_index.suffixes(symbols)
+    rows = symbols.tolist()
+    assert order.tolist() == sorted(range(len(rows)), key=lambda i: rows[i:])
+    first = [rows[i : i + fm_index.HALF] for i in range(len(rows))]
+    same = agree[:, None] == agree
+    assert all(same[i, j] == (first[i] == first[j]) for i in range(len(rows)) for j in range(len(rows)))
