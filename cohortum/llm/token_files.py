@@ -36,36 +36,32 @@ BLOCK_CHARACTERS, HEAD = 4 << 20, 64
 PLAIN = "shard int, block int, doc_ids array<bigint>, sizes array<bigint>, ids binary, seen array<int>, times array<bigint>"
 CODED = "shard int, block int, n_ids bigint, doc_ids array<bigint>, sizes array<bigint>, control binary, data binary"
 LENGTHS = np.stack([np.arange(256) >> shift & 3 for shift in (0, 2, 4, 6)], axis=1).astype(np.uint8) + 1
+LOW_BYTES = np.array([2 ** (8 * n) - 1 for n in range(5)], dtype=np.uint32)
 
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
-    sizes = 1 + (numbers >= 1 << 8).astype(np.int64) + (numbers >= 1 << 16) + (numbers >= 1 << 24)
-    starts = np.cumsum(sizes) - sizes
-    data = np.zeros(int(sizes.sum()), dtype=np.uint8)
-    for byte in range(4):
-        held = sizes > byte
-        if held.any():
-            data[starts[held] + byte] = numbers[held] >> (8 * byte) & 255
     codes = np.zeros(-(-len(numbers) // 4) * 4, dtype=np.uint8)
-    codes[: len(numbers)] = sizes - 1
+    for byte in (1, 2, 3):
+        codes[: len(numbers)] += numbers >= 1 << 8 * byte
+    ends = np.cumsum(codes[: len(numbers)], dtype=np.int64) + np.arange(1, len(numbers) + 1)
+    starts = ends - codes[: len(numbers)] - 1
+    # A byte that a number does not have is overwritten by those of the numbers after it.
+    data = np.zeros((int(ends[-1]) if len(ends) else 0) + 3, dtype=np.uint8)
+    for byte in range(int(codes.max(initial=0)), -1, -1):
+        data[starts + byte] = (numbers >> np.uint32(8 * byte)).astype(np.uint8)
     four = codes.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    return control.tobytes(), data.tobytes()
+    return control.tobytes(), data[:-3].tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The numbers of ``pack``."""
-    sizes = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:count].astype(np.int64)
-    starts = np.cumsum(sizes) - sizes
-    held = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)]).astype(np.uint32)
-    out = np.zeros(count, dtype=np.uint32)
-    for byte in range(4):
-        longer = np.flatnonzero(sizes > byte) if byte else slice(None)
-        if byte and not len(longer):
-            break
-        out[longer] |= held[starts[longer] + byte] << np.uint32(8 * byte)
-    return out
+    sizes = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
+    # The four bytes from each place on, of which those that follow a number go.
+    four = np.ndarray((len(data) + 1,), "<u4", data + bytes(4), strides=(1,))
+    return four[starts] & LOW_BYTES[sizes]
 
 
 def tokenised(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -126,8 +122,9 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str, spac
     """Write the ids of all texts, each followed by ``end_id``, and the ranked vocabulary."""
     plain = f"{folder}/plain"
     rows = dealt(docs)
+    # Not the files themselves: a compression that takes little time.
     rows.mapInArrow(lambda it: tokenised(it, path, spaced, end_id), PLAIN).write.option(
-        "compression", "zstd"
+        "compression", "snappy"
     ).parquet(plain)
     spark = docs.sparkSession
     blocks = spark.read.schema(PLAIN).parquet(plain)

@@ -163,7 +163,7 @@ class Encoder(WordwiseEncoder):
         return data if odd else data.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0")
 
     def encoded_units(self, units: list[bytes]) -> list[bytes]:
-        return self.encoded([unit.decode() for unit in units])
+        return self.encoded(CUT.encode().join(units).decode().split(CUT)) if units else []
 
     def ids(self, texts: list[str], odd: bool) -> list[bytes]:
         """Ids of texts without marks of ours; ``odd``: with unusual white space."""
@@ -206,7 +206,7 @@ class Encoder(WordwiseEncoder):
         out: list[bytes] = [b""] * len(words)
         together, alone, letters = [], [], []
         for i, w in enumerate(words):
-            if not self.leading_space and w.isalpha() and max(w) < "Ā":
+            if not self.leading_space and w.isalpha() and (w.isascii() or max(w) < "Ā"):
                 letters.append(i)
                 continue
             if self.leading_space:

@@ -163,3 +163,20 @@ def test_sequences_are_as_few_as_the_tokens_allow():
 
 def test_packing_of_an_empty_table(spark):
     assert packed(documents(spark, []), public_tokenizers.path("byte_bpe_50k.json"), 0).collect() == []
+
+
+def test_packed_bytes_are_those_of_the_format():
+    from cohortum.llm import token_files
+
+    draw = np.random.default_rng(3)
+    for bits in ([8], [8, 16], [8, 16, 24, 32], [32], []):
+        many = 1003 if bits else 0
+        tops = draw.choice(bits, many) if bits else np.zeros(0, dtype=np.int64)
+        numbers = np.array([draw.integers(0, 2**b) for b in tops], dtype=np.uint32)
+        numbers[: len(numbers) // 50 * 10] = np.resize([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 1, 0], len(numbers) // 50 * 10)
+        sizes = [max(1, -(-int(x).bit_length() // 8)) for x in numbers]
+        padded = [*sizes, *[1] * (-len(sizes) % 4)]
+        control = bytes(sum((padded[i + k] - 1) << 2 * k for k in range(4)) for i in range(0, len(padded), 4))
+        data = b"".join(int(x).to_bytes(n, "little") for x, n in zip(numbers, sizes))
+        assert token_files.pack(numbers) == (control, data)
+        assert token_files.unpack(control, data, len(numbers)).tolist() == numbers.tolist()
