@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortum.llm.common import held_out
+from cohortum.llm.common import held_out, pieces
 from cohortum.llm.wordcache import FEWER, SMALLER, Words, groups, one_model
 
 HIDDEN, WINDOW, CONTEXT, DOCS, WORDS, LANGUAGES = 16, 24, 6, 400, 12_000, 64
@@ -201,9 +201,10 @@ def fit(docs: DataFrame) -> bytes:
     found = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
     docs_each, words_each = quota(DOCS, 4, len(found)), quota(WORDS, 50, len(found))
     # The documents of least hash; few have a hash below what about twice as many would have.
+    highest = [int(-(2**63) + 2**64 * min(1.0, (2 * docs_each + 50) / max(1, n))) - 1 for n in found.values()]
+    # From Arrow: rows of Python objects would start Python workers of their own kind beside the others.
     limits = rows.sparkSession.createDataFrame(
-        [(lang, int(-(2**63) + 2**64 * min(1.0, (2 * docs_each + 50) / max(1, n))) - 1) for lang, n in found.items()],
-        "lang string, highest bigint",
+        pa.table([pa.array(list(found), pa.string()), pa.array(highest, pa.int64())], ["lang", "highest"])
     )
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # Chosen by identifier and language alone; no more rows to broadcast than the quotas allow.
@@ -285,7 +286,7 @@ def labeller(model: bytes) -> Labeller:
 
 
 def predicted(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, SMALLER):
         names, scores = labeller(model).label(batch["text"].to_pylist())
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["held_out"], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
@@ -307,7 +308,7 @@ def with_language(docs: DataFrame, model: bytes, least: float) -> DataFrame:
     """The rows, unchanged, whose text has a language with a score of at least ``least``."""
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, SMALLER):
             names, scores = labeller(model).label(batch["text"].to_pylist())
             yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)], pa.bool_()))
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows, in order, with about ``most`` bytes of text at most, so that what a step makes
+    of them does not grow with a batch, which may hold a whole partition."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def blocks(rows: int, most: int) -> int:
     """Number of blocks of about ``most`` rows."""
     return max(1, -(-rows // most))

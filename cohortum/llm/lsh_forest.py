@@ -30,16 +30,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortum.llm.common import texts
+from cohortum.llm.common import pieces, texts
 from cohortum.llm.components import components
-from cohortum.llm.wordcache import Words, groups
+from cohortum.llm.wordcache import release
 from cohortum.sources.tables import materialise
 
 SHINGLE, TREES, DEPTH, LEAST_DEPTH, WINDOW = 5, 10, 12, 2, 256
-BLOCK, SET_BYTES = 2048, 8 << 20
+BLOCK, SET_BYTES, TEXT_BYTES = 2048, 8 << 20, 2 << 20
 PLAUSIBLE = 0.6  # about four deviations of the estimate under the similarity of 0.75
 SHARE, OF = 75, 100
 HASHES = TREES * DEPTH
+# A-Z in lower case, and white space as spaces.
+PLAIN = bytes(32 if 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 SIGNED = "doc_id bigint, n_shingles bigint, node bigint, labels binary, brief binary"
 
 _noise = np.random.default_rng(20)
@@ -48,30 +50,47 @@ ADDENDS = _noise.integers(0, 2**63, size=HASHES, dtype=np.uint64)
 PLACES = _noise.integers(1, 2**63, size=SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def word_hashes(words: list[bytes]) -> list[bytes]:
-    return [xxhash.xxh3_64_digest(word) for word in words]
-
-
-HASHED = Words(word_hashes)
-
+def word_hashes(column: pa.Array) -> Iterator[np.ndarray]:
+    """Hashes of the words of each text. Only distinct words become objects; none is remembered."""
+    import pyarrow
 
-def shingle_sets(texts_: list[str | None]) -> Iterator[np.ndarray]:
+    column = column.fill_null("").cast(pyarrow.large_binary())
+    _, offsets, content = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    content = content.slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if content else b""
+    offsets, content = offsets - offsets[0], np.frombuffer(content.translate(PLAIN), np.uint8)
+    filled = content != 32
+    # Places of the first and last bytes of words, which end with their text at the latest.
+    inner = offsets[(offsets > 0) & (offsets < len(content))]
+    first, last = filled.copy(), filled.copy()
+    first[1:] &= ~filled[:-1]
+    last[:-1] &= ~filled[1:]
+    first[inner], last[inner - 1] = filled[inner], filled[inner - 1]
+    first, last = np.flatnonzero(first), np.flatnonzero(last)
+    ends = np.concatenate([[0], np.cumsum(last + 1 - first)]).astype(np.int64)
+    words = pyarrow.Array.from_buffers(
+        pyarrow.large_binary(), len(first), [None, pyarrow.py_buffer(ends), pyarrow.py_buffer(content[filled])]
+    ).dictionary_encode()
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words.dictionary.to_pylist())), np.uint64)
+    hashes = hashes[words.indices.to_numpy()]
+    cuts = np.searchsorted(first, offsets).tolist()
+    for low, high in zip(cuts, cuts[1:]):
+        yield hashes[low:high]
+
+
+def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text, as 64-bit hashes."""
-    for _, some in groups(texts_):
-        rows = [text.encode().lower().split() for text in some]
-        known = HASHED.learn(rows)
-        for row in rows:
-            words = np.frombuffer(b"".join(map(known, row)), np.uint64)
-            size = min(len(words), SHINGLE)
-            if not size:
-                yield np.zeros(0, np.uint64)
-                continue
-            ends = len(words) - size + 1
-            mixed = np.full(ends, size, dtype=np.uint64)
-            for place in range(size):
-                mixed += words[place : place + ends] * PLACES[place]
-            mixed ^= mixed >> np.uint64(31)
-            yield np.unique(mixed * np.uint64(0x9E3779B97F4A7C15))
+    for words in word_hashes(column):
+        size = min(len(words), SHINGLE)
+        if not size:
+            yield np.zeros(0, np.uint64)
+            continue
+        ends = len(words) - size + 1
+        mixed = np.full(ends, size, dtype=np.uint64)
+        for place in range(size):
+            mixed += words[place : place + ends] * PLACES[place]
+        mixed ^= mixed >> np.uint64(31)
+        yield np.unique(mixed * np.uint64(0x9E3779B97F4A7C15))
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -89,9 +108,10 @@ def node_of(shingles: np.ndarray) -> int:
 
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, class and signature of each document; ``brief`` has a byte of each value."""
-    for batch in batches:
+    release()  # what earlier steps of a pipeline remember here
+    for batch in pieces(batches, TEXT_BYTES):
         sizes, nodes, labels, brief = [], [], [], []
-        for shingles in shingle_sets(batch["text"].to_pylist()):
+        for shingles in shingle_sets(batch["text"]):
             sizes.append(len(shingles))
             values = signature(shingles) if len(shingles) else None
             nodes.append(node_of(shingles) if len(shingles) else None)
@@ -280,8 +300,8 @@ def in_blocks(rows: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
 
 
 def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = list(shingle_sets(batch["text"].to_pylist()))
+    for batch in pieces(batches, TEXT_BYTES):
+        sets = list(shingle_sets(batch["text"]))
         yield pa.RecordBatch.from_arrays(
             [
                 batch["node"], pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortum.llm.common import held_out, texts
+from cohortum.llm.common import held_out, pieces, texts
 from cohortum.llm.wordcache import FEWER, SMALLER, Words, groups, one_model
 
 LABELLED, FEATURES, LEAST_DOCS, LEAST_GAIN = 12_000, 512, 3, 12.0
@@ -80,7 +80,7 @@ def symbols(text: str) -> np.ndarray:
 def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of character trigrams over all words of a task."""
     total = np.zeros(SYMBOLS**3)
-    for batch in batches:
+    for batch in pieces(batches, SMALLER):
         for _, some in groups(batch["text"].to_pylist(), SMALLER):
             counts: Counter[str] = Counter()
             for text in some:
@@ -405,7 +405,7 @@ def scorer(trained: bytes) -> Scorer:
 
 
 def scored(batches: Iterator[pa.RecordBatch], trained: bytes) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, SMALLER):
         scores = scorer(trained).score(batch["text"].to_pylist())
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["held_out"], pa.array(scores), pa.array((scores >= LIMIT).astype(np.int32))],
@@ -427,7 +427,7 @@ def without_toxic(docs: DataFrame, trained: bytes) -> DataFrame:
     """The rows, unchanged, whose text is not predicted to be toxic."""
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, SMALLER):
             yield batch.filter(pa.array(scorer(trained).score(batch["text"].to_pylist()) < LIMIT))
 
     return docs.mapInArrow(kept, docs.schema)

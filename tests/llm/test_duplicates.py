@@ -2,14 +2,18 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cohortum.llm import anchors, fm_index, lsh_forest, suffix_dedup
 from cohortum.llm.components import components
+from cohortum.llm.wordcache import Words
 from tests.llm.helpers import WORD, documents, odd_texts, prose
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -230,3 +234,33 @@ def test_suffixes_in_order_and_their_first_symbols(monkeypatch, bits):
     first = [rows[i : i + fm_index.HALF] for i in range(len(rows))]
     same = agree[:, None] == agree
     assert all(same[i, j] == (first[i] == first[j]) for i in range(len(rows)) for j in range(len(rows)))
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_shingles_are_those_of_each_text_alone(kind):
+    texts = [*odd_texts(), "A b\tC\nd\x0be\x0cF\rg", "end", "start", None, " lead", "trail ", "É\x1cÉ a\0b"]
+    expected = []
+    for text in texts[2:]:
+        words = [int.from_bytes(xxhash.xxh3_64_digest(x), "little") for x in (text or "").encode().lower().split()]
+        size, sets = min(len(words), lsh_forest.SHINGLE), set()
+        for at in range(len(words) - size + 1 if words else 0):
+            mixed = (size + sum(x * y for x, y in zip(words[at : at + size], lsh_forest.PLACES.tolist()))) % 2**64
+            sets.add((mixed ^ mixed >> 31) * 0x9E3779B97F4A7C15 % 2**64)
+        expected.append(sorted(sets))
+    assert [x.tolist() for x in lsh_forest.shingle_sets(pa.array(texts, kind).slice(2))] == expected
+    assert list(lsh_forest.shingle_sets(pa.array([], kind))) == []
+
+
+def test_signing_holds_few_words_and_remembers_none():
+    before = Words(lambda new: [w.encode() for w in new])
+    before.learn([["a", "word", "of", "an", "earlier", "step"]])
+    texts = pa.array([" ".join(f"{doc:04d}{i:04d}" for i in range(2500)) for doc in range(400)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), texts], ["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        rows = sum(some.num_rows for some in lsh_forest.signed(iter([batch])))
+        left, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert rows == 400 and not before.known
+    assert most < 64 << 20 and left < 4 << 20  # a million different words in nine megabytes

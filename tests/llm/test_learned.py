@@ -4,6 +4,7 @@ import pickle
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,6 +81,40 @@ def test_a_full_memory_keeps_the_words_that_come_again():
     assert asked == [["a", "b", "c"], ["d", "e"]] and known("b") == b"b" and len(words.known) == 4
 
 
+@pytest.mark.parametrize("step", ["language", "toxicity"])
+def test_a_batch_is_read_a_piece_at_a_time(monkeypatch, step):
+    texts = ["one", None, "two", "a longer text than a piece", "", "three", "4"]
+    asked = []
+
+    class Stub:
+        def label(self, some):
+            asked.append(some)
+            return ["en"] * len(some), [0.5] * len(some)
+
+        def score(self, some):
+            asked.append(some)
+            return np.full(len(some), 0.5)
+
+    for module, name in ((byte_gru, "labeller"), (toxicity, "scorer")):
+        monkeypatch.setattr(module, name, lambda model: Stub())
+        monkeypatch.setattr(module, "SMALLER", 8)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(7), "held_out": [False] * 7, "text": texts})
+    found = list((byte_gru.predicted if step == "language" else toxicity.scored)(iter([batch, batch[:0]]), b""))
+    assert asked == [texts[:3], [texts[3]], texts[4:]]
+    assert [x for some in found for x in some["doc_id"].to_pylist()] == list(range(7))
+
+
+def test_learning_languages_starts_no_workers_for_rows_of_objects(spark, monkeypatch):
+    docs = documents(spark, odd_texts())
+
+    def refused(*_):
+        raise AssertionError("rows of Python objects")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refused)
+    assert pickle.loads(byte_gru.fit(docs))[0] == ["en"]
+    assert pickle.loads(byte_gru.fit(docs.limit(0)))[0] == []
+
+
 def test_nothing_to_learn_languages_from(spark):
     docs = documents(spark, ["some text", None]).withColumn("lang", F.lit(None).cast("string"))
     found = byte_gru.language_predictions(docs, byte_gru.fit(docs)).collect()
