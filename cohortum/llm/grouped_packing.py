@@ -29,9 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortum.llm.common import texts
+from cohortum.llm.common import pieces, texts
 from cohortum.llm.tokens import encoder
-from cohortum.llm.wordcache import groups
+from cohortum.llm.wordcache import SMALLER
 from cohortum.sources.tables import materialise
 
 CAPACITY, GROUPS, SMALL = 2048, 32, 8
@@ -51,19 +51,19 @@ def pieces_of(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, end_id
     tokens, task = encoder(path, spaced), TaskContext.get().partitionId()
     end, numbers = np.array([end_id], dtype="<u4").tobytes(), [0] * (capacity + 1)
     names = [x.split(" ")[0] for x in PIECES.split(", ")]
-    for batch in batches:
-        doc_ids, found = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-        for at, some in groups(found):
-            rows: list[tuple] = []
-            for doc_id, ids in zip(doc_ids[at:], tokens.encode(some)):
-                raw, start = memoryview(ids + end), 0
-                for piece, length in enumerate(cut(len(raw) // 4, capacity)):
-                    checksum = zlib.crc32(raw[4 * start : 4 * (start + length)])
-                    rows.append((doc_id, piece, start, length, checksum, task, numbers[length]))
-                    numbers[length] += 1
-                    start += length
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+    for batch in pieces(batches, SMALLER):
+        pa.default_memory_pool().release_unused()  # of earlier pieces, and of earlier steps
+        rows: list[tuple] = []
+        some = [text or "" for text in batch["text"].to_pylist()]
+        for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokens.encode(some)):
+            raw, start = memoryview(ids + end), 0
+            for piece, length in enumerate(cut(len(raw) // 4, capacity)):
+                checksum = zlib.crc32(raw[4 * start : 4 * (start + length)])
+                rows.append((doc_id, piece, start, length, checksum, task, numbers[length]))
+                numbers[length] += 1
+                start += length
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
 
 def linear_groups(counts: dict[int, int], number: int) -> tuple[list[int], list[list[list[int]]]]:

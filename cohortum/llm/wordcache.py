@@ -45,7 +45,7 @@ class Words:
             Words.in_use = self.family
             for other in Words.alive:
                 if other.family != self.family:
-                    other.known = {}
+                    other.forget()
         new = set().union(*rows)
         if len(self.known) + len(new) > self.most:
             self.known = {word: self.known[word] for word in new & self.known.keys()}
@@ -53,6 +53,9 @@ class Words:
         self.known.update(zip(new, self.compute(new)))
         return self.known.__getitem__
 
+    def forget(self) -> None:
+        self.known = {}
+
 
 # Forget the models that steps keep in a worker.
 MODELS: list[Callable[[], None]] = []
@@ -69,7 +72,7 @@ def release() -> None:
     """Drop what earlier steps keep in this worker; for steps that remember no words themselves."""
     Words.in_use = None
     for words in Words.alive:
-        words.known = {}
+        words.forget()
     for forget in MODELS:
         forget()
 

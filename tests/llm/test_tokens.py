@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -12,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortum.llm import byte_pairs, token_files
+from cohortum.llm import byte_pairs, grouped_packing, token_files, tokens
 from cohortum.llm.grouped_packing import CAPACITY, best_fit, make_plan, packed, places
 from cohortum.llm.token_files import pack, token_file_digests, unpack
 from cohortum.llm.tokens import encoder
@@ -161,6 +163,48 @@ def test_sequences_are_as_few_as_the_tokens_allow():
     assert sum(times for times, _ in make_plan(counts)) <= 1.002 * bound + 1
 
 
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+@pytest.mark.parametrize("most, most_bytes, hashed", [(40, 1 << 20, True), (10**6, 400, True), (200, 1 << 20, False)])
+def test_ids_depend_on_no_memory(monkeypatch, name, spaced, most, most_bytes, hashed):
+    """A memory that is full again and again, and units that all have one hash."""
+    if not hashed:
+        monkeypatch.setattr(tokens, "hashes", lambda units: np.zeros(len(units), dtype=np.uint64))
+    coder, plain = tokens.Encoder(public_tokenizers.path(name), spaced), library(name)
+    coder.units = tokens.Units(most, most_bytes)
+    rows = [text or "" for text in odd_texts()] + ["a\nÉté, ×÷ µ\nb.", "long" * 40 + "\n" + "long" * 41, "common " * 9 + "é"]
+    for some in [rows, rows[::-1], rows[:9], *([text] for text in rows), [f"w{i} common" for i in range(300)], rows]:
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in coder.encode(some)]
+        assert found == [ids_of(plain, text) for text in some]
+
+
+def test_a_full_memory_of_units_stays_small():
+    coder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    coder.encode(["one " * 10])
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    for block in range(20):
+        coder.encode([" ".join(f"u{block}x{i}" for i in range(20_000)) + " again and again"])
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(coder.units.known) > 400_000 and held < 110 * len(coder.units.known)
+
+
+def test_pieces_are_encoded_a_few_megabytes_at_a_time(spark, monkeypatch):
+    """A batch with a whole partition is not encoded at once."""
+    seen = []
+
+    class Coder:
+        def encode(self, some):
+            seen.append(sum(map(len, some)))
+            return [b"" for _ in some]
+
+    monkeypatch.setattr(grouped_packing, "encoder", lambda path, spaced: Coder())
+    monkeypatch.setattr(grouped_packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(12)), "text": ["x" * (1 << 20)] * 11 + [None]})
+    out = list(grouped_packing.pieces_of(iter([batch]), "", True, 0, 100))
+    assert sum(x.num_rows for x in out) == 12 and max(seen) <= 4 << 20
+
+
 def test_packing_of_an_empty_table(spark):
     assert packed(documents(spark, []), public_tokenizers.path("byte_bpe_50k.json"), 0).collect() == []
 
