@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortum.llm.common import blocks
+from cohortum.llm.wordcache import give_back
 
 WINDOW, GRAM, PIECE, LONGEST = 50, 16, 1 << 17, 64
 BATCH_BYTES, CROWDED, SHARDS_PER_BATCH = 6 << 20, 2000, 3
@@ -123,7 +124,6 @@ def runs(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def in_order(batch: pa.Table) -> pa.Table:
-    pa.default_memory_pool().release_unused()  # of earlier batches
     return batch.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
 
 
@@ -395,14 +395,14 @@ def later_copies_removed(
     place = F.xxhash64("doc_id", F.length("text"), F.monotonically_increasing_id())
     rows = rows.withColumn("batch", F.pmod(place, F.lit(count)).cast("int"))
     answers = (
-        rows.groupBy("batch").applyInArrow(lambda t: send(t, symbols, count), SENT)
-        .groupBy("bucket").applyInArrow(answer, ANSWER)
+        rows.groupBy("batch").applyInArrow(lambda t: give_back(send(t, symbols, count)), SENT)
+        .groupBy("bucket").applyInArrow(lambda t: give_back(answer(t)), ANSWER)
     )
     segments = rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        lambda t, a: find(t, a, symbols, count), SEGMENTS
+        lambda t, a: give_back(find(t, a, symbols, count)), SEGMENTS
     )
     # An anchor's segments are all in one part.
-    firsts = segments.groupBy("part").applyInArrow(lambda t: earliest(t, kind, core), FIRSTS)
+    firsts = segments.groupBy("part").applyInArrow(lambda t: give_back(earliest(t, kind, core)), FIRSTS)
     return rows.groupBy("batch").cogroup(firsts.groupBy("batch")).applyInArrow(
-        lambda t, f: take_out(t, f, symbols, finish), schema
+        lambda t, f: give_back(take_out(t, f, symbols, finish)), schema
     )

@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortum.llm.wordcache import give_back
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     share_code(spark)
@@ -39,6 +41,7 @@ def pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
             end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    give_back()
 
 
 def blocks(rows: int, most: int) -> int:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cohortum.llm.common import pieces, texts
 from cohortum.llm.components import components
-from cohortum.llm.wordcache import release
+from cohortum.llm.wordcache import give_back, release
 from cohortum.sources.tables import materialise
 
 SHINGLE, TREES, DEPTH, LEAST_DEPTH, WINDOW = 5, 10, 12, 2, 256
@@ -392,11 +392,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pair = ["prefix", "i", "j"]
     partners = materialise(
         in_blocks(rooted, dense, BLOCK).join(of.select("node", "brief"), "node")
-        .groupBy(*pair).applyInArrow(partnered, "prefix bigint, node bigint").distinct()
+        .groupBy(*pair).applyInArrow(lambda t: give_back(partnered(t)), "prefix bigint, node bigint").distinct()
     )
     held = materialise(partners.join(of, "node").join(sets, "node"))
     size = materialise(held.groupBy("prefix").agg(F.sum(F.length("shingles")).alias("size")))
-    most = materialise(in_blocks(held, size, SET_BYTES).groupBy(*pair).applyInArrow(links_of_sets, "a bigint, b bigint"))
+    most = materialise(in_blocks(held, size, SET_BYTES).groupBy(*pair).applyInArrow(lambda t: give_back(links_of_sets(t)), "a bigint, b bigint"))
     known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = components(known.unionByName(more).unionByName(most))
     known = classes.select("node", "id").join(roots, "node", "left")

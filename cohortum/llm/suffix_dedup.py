@@ -49,7 +49,7 @@ def smaller(values: np.ndarray, step: int) -> np.ndarray:
 
 def previous_factors(content: np.ndarray, starts: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """For each window the smallest document that has it, by its longest previous factors."""
-    windows = content[starts[:, None] + np.arange(WINDOW)]
+    windows = np.lib.stride_tricks.sliding_window_view(content, WINDOW)[starts]
     order = np.argsort(np.ascontiguousarray(windows).view(f"S{WINDOW}").ravel(), kind="stable")
     windows, values = windows[order], docs[order]
     n, source = len(order), np.arange(len(order))

@@ -7,11 +7,15 @@ than ``most`` words, it keeps those that the batch has too; results never depend
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from typing import TypeVar
 from weakref import WeakSet
 
+import pyarrow as pa
+
 # Between two characters that are no white space a space always starts a new piece of text.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 TOGETHER = 8 << 20
@@ -75,6 +79,20 @@ def release() -> None:
         words.forget()
     for forget in MODELS:
         forget()
+    give_back()
+
+
+Any = TypeVar("Any")
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+
+
+def give_back(made: Any = None) -> Any:
+    """Return to the system what Arrow and the C library hold free. A worker may idle, or serve a
+    step of another kind, after what it worked on last; ``made`` is passed on."""
+    pa.default_memory_pool().release_unused()
+    if TRIM:
+        TRIM(0)
+    return made
 
 
 def groups(texts: list[str | None], most: int = TOGETHER) -> Iterator[tuple[int, list[str]]]:

@@ -264,3 +264,22 @@ def test_signing_holds_few_words_and_remembers_none():
         tracemalloc.stop()
     assert rows == 400 and not before.known
     assert most < 64 << 20 and left < 4 << 20  # a million different words in nine megabytes
+
+
+def test_windows_are_sorted_without_an_index_for_each_of_their_bytes():
+    content = np.random.default_rng(8).integers(0, 4, 40_000).astype(np.uint8)
+    starts = np.arange(len(content) - anchors.WINDOW + 1)
+    tracemalloc.start()
+    found = suffix_dedup.previous_factors(content, starts, starts // 1000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found <= starts // 1000).all() and peak < 350 * len(starts)
+
+
+def test_memory_goes_back_after_the_last_piece(monkeypatch):
+    from cohortum.llm import common
+
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 10] * 5})
+    assert [x.num_rows for x in common.pieces(iter([batch, batch]), 30)] == [3, 2, 3, 2] and given == [1]
